@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, ngram_join, quality, tokens
+from pyspark.sql import functions as F
+
+from . import decontam, langid, mixing, ngram_join, quality, sharding, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -51,3 +53,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.judge(docs.select("doc_id", "text"), quality.learn(docs))
     return found.drop("text")
+
+
+@query
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_of().alias("size"))
+    found = mixing.copies(docs, ["doc_id"])
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs).select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "page")
+
+
+ORACLE_SQL["op9_source_mix"] = mixing.SQL
+ORACLE_SQL["op10_extendible_shards"] = sharding.SQL
