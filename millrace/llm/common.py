@@ -149,6 +149,14 @@ def sliced(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         at = to
 
 
+_KINDS = {"string": T.StringType, "int": T.IntegerType, "long": T.LongType, "double": T.DoubleType, "boolean": T.BooleanType, "binary": T.BinaryType}
+
+
+def schema(text: str) -> T.StructType:
+    """The struct type of "name kind, ..."; unlike fromDDL it works before a session exists."""
+    return T.StructType([T.StructField(n, _KINDS[k]()) for n, k in (x.split() for x in text.split(","))])
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """df without columns of these names, in any case."""
     gone = {n.lower() for n in names}

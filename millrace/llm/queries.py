@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, ngram_join, quality, sharding, tokens
+from . import decontam, langid, mixing, ngram_join, quality, sharding, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,6 +29,11 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op1_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -68,5 +73,6 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "page")
 
 
+ORACLE_SQL["op1_warc_roundtrip"] = warc.SQL
 ORACLE_SQL["op9_source_mix"] = mixing.SQL
 ORACLE_SQL["op10_extendible_shards"] = sharding.SQL
