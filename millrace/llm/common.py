@@ -195,6 +195,15 @@ def lists(flat: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat, type=kind))
 
 
+def least(df: DataFrame, group: str, order: list[str], n: int, spread: int = 64) -> DataFrame:
+    """Of each group the n rows that come first; the rows of a group are thinned out in `spread` parts before they meet."""
+    part, i = "least__part", "least__i"
+    thin = df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(spread)))
+    for keys in ([group, part], [group]):
+        thin = thin.withColumn(i, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(i) <= n)
+    return thin.drop(part, i)
+
+
 # Scratch space ---------------------------------------------------------------------------------------------------
 
 _made: list[tuple[SparkSession, str]] = []

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Texts, annotate, per_text, sliced
+from .common import Texts, annotate, least, per_text, sliced, stored
 
 _LETTER = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
 _SPACE = 32
@@ -163,8 +163,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order
     """The trees of all languages that docs names. Counting runs on the executors; the driver gets the frozen counts."""
     rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).dropna()
     rows = rows.withColumn("h", F.xxhash64("text"))
-    nth = rows.select("lang", "h").withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= rows_per_language)
-    last = nth.groupBy("lang").agg(F.max("h").alias("last")).withColumnRenamed("lang", "of")
+    last = stored(least(rows.select("lang", "h"), "lang", ["h"], rows_per_language).groupBy("lang").agg(F.max("h").alias("last")), "last").withColumnRenamed("lang", "of")
+    last = F.broadcast(last) if last.count() <= 100_000 else last  # a row for each language
     chosen = rows.join(last, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last"))).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
