@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, ngram_join, quality, sharding, tokens, toxicity, warc
+from . import decontam, langid, license, mixing, ngram_join, quality, sharding, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,6 +42,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.roundtrip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -82,5 +88,6 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op1_warc_roundtrip"] = warc.SQL
+ORACLE_SQL["op3_license_scan"] = license.sql()
 ORACLE_SQL["op9_source_mix"] = mixing.SQL
 ORACLE_SQL["op10_extendible_shards"] = sharding.SQL
