@@ -20,3 +20,6 @@ def query(sql: str | None = None):
         return fn
 
     return add
+
+
+from . import q_signals  # noqa: E402,F401  the modules register their queries
