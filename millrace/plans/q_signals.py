@@ -11,6 +11,7 @@ from ..functions import text as t
 from ..operators import aggregates as ag
 from ..operators import score as sc
 from ..sources.readers import schema_ok
+from ..sources.scratch import stored
 from . import views as v
 from .catalogue import query
 
@@ -173,20 +174,25 @@ SELECT ord, coalesce(rn <= LIMIT_K, false) AS accepted, array_to_string(CASE WHE
 
 @query(RANK.replace("LIMIT_K", "100"))
 def select_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _picked(sc.select(v.scored(spark, sf_dir), top_k=100))
+    return _picked(sc.select(narrow(spark, sf_dir), top_k=100))
 
 
 @query(RANK.replace("LIMIT_K", "round_even(0.5 * alive, 0)"))
 def select_keep_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _picked(sc.select(v.scored(spark, sf_dir), keep_rate=0.5))
+    return _picked(sc.select(narrow(spark, sf_dir), keep_rate=0.5))
 
 
 KEPT = f"""WITH {SCORED}, r AS (SELECT *, CASE WHEN len(hard) = 0 THEN row_number() OVER (PARTITION BY len(hard) = 0 ORDER BY final_score DESC, ord) END AS rn, count(*) FILTER (len(hard) = 0) OVER () AS alive FROM scored),
 kept AS (SELECT *, coalesce(rn <= round_even(0.5 * alive, 0), false) AS accepted, CASE WHEN len(hard) > 0 THEN hard WHEN rn <= round_even(0.5 * alive, 0) THEN [] ELSE ['BELOW_THRESHOLD'] END AS rejected_by FROM r)"""
 
 
+def narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Composites without the texts, computed once: selection looks at them several times."""
+    return stored(v.scored(spark, sf_dir).drop("answer", "thinking_trace", "signal_raw", "signal_versions"), "scored")
+
+
 def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sc.select(v.scored(spark, sf_dir), keep_rate=0.5)
+    return sc.select(narrow(spark, sf_dir), keep_rate=0.5)
 
 
 @query(f"{KEPT} SELECT style_id, count(*) AS total, count(*) FILTER (accepted) AS kept, round_even(count(*) FILTER (accepted) / count(*), 4) AS keep_rate FROM kept GROUP BY style_id")
@@ -200,7 +206,7 @@ LABELLED = f"WITH {SCORED}, labelled AS (SELECT *, {LABEL} AS screening_label FR
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = v.scored(spark, sf_dir)
+    s = narrow(spark, sf_dir)
     return s.withColumn("screening_label", sc.screening_label(F.col("final_score"), F.col("hard")))
 
 
