@@ -218,22 +218,22 @@ def find_calls(s: str | None, known: frozenset[str]) -> dict:
     hints: list[str] = []
     free = lambda a, b: all(b <= x or a >= y for x, y, _ in taken)
 
-    def enclosed(opening: str, closing: str):
-        for m in re.finditer(opening, s, re.I):
+    def enclosed(opening: str, closing: str, flags: int = 0):
+        for m in re.finditer(opening, s, flags):
             a = s.find("{", m.end())
             b = _object_end(s, a) if a >= 0 else None
             c = s.find(closing, b) if b is not None else -1
             if c >= 0:
                 yield m.start(), c + len(closing), s[a:b]
 
-    for a, b, raw in enclosed(r"<tool_call\b[^>]*>", "</tool_call>"):
+    for a, b, raw in enclosed(r"<tool_call>", "</tool_call>"):
         call = _call(raw)
         taken.append((a, b, call))
         if call is None and s[a:b].strip():
             hints.append(s[a:b].strip())
     tags = len(taken)
     fences: list[tuple[int, int, dict | None]] = []
-    for a, b, raw in enclosed(r"```(?:json)?", "```"):
+    for a, b, raw in enclosed(r"```(?:json)?", "```", re.I):
         call = _call(raw)
         if call and all(b <= x or a >= y for x, y, _ in fences):
             fences.append((a, b, call))
@@ -252,7 +252,7 @@ def find_calls(s: str | None, known: frozenset[str]) -> dict:
         place = b
     cleaned = "".join([*kept, s[place:]]).strip()
     rest: list[str] = []
-    for pattern, before in ((r"<tool_call\b", 0), (r'\{\s*"name"\s*:', 16)):
+    for pattern, before in ((r"<tool_call\b[^>]*>", 0), (r'"name"\s*:\s*"([^"\\]+)"', 16)):
         for m in re.finditer(pattern, cleaned, re.I if not before else 0):
             hint = cleaned[max(0, m.start() - before) : m.end() + 80].strip()
             if hint and hint not in rest and len(rest) < 5:

@@ -53,10 +53,21 @@ class Signal:
         return F.struct(F.lit(self.code).alias("code"), F.lit(self.version).alias("version"), score.cast("double").alias("score"), raw.cast("string").alias("raw"), F.coalesce(hard, F.lit(False)).alias("hard"))
 
 
-A = t.text(F.col("answer"))
-TT = F.coalesce(t.full(F.col("thinking_trace")), t.full(F.col("reasoning")), F.lit(""))
-WHOLE = F.when((TT != "") & (A != ""), F.concat(TT, F.lit("\n"), A)).when(TT != "", TT).otherwise(A)
-THINKING = F.coalesce(F.col("mode") == "thinking", F.lit(False))
+def answer() -> Column:
+    return t.text(F.col("answer"))
+
+
+def trace() -> Column:
+    return F.coalesce(t.full(F.col("thinking_trace")), t.full(F.col("reasoning")), F.lit(""))
+
+
+def whole() -> Column:
+    a, tt = answer(), trace()
+    return F.when((tt != "") & (a != ""), F.concat(tt, F.lit("\n"), a)).when(tt != "", tt).otherwise(a)
+
+
+def thinking() -> Column:
+    return F.coalesce(F.col("mode") == "thinking", F.lit(False))
 
 
 def _yes(good: Column, raw: Column) -> tuple[Column, Column, Column]:
@@ -75,29 +86,29 @@ def _span(n: Column, lo: int, hi: int) -> tuple[Column, Column, Column]:
 
 
 def _ratio(x: Limits) -> tuple[Column, Column, Column]:
-    r = F.length(TT) / F.length(A)
-    empty = A == ""
+    r = F.try_divide(F.length(trace()), F.length(answer()))
+    empty = answer() == ""
     score = F.when(empty, 0.0).when(r.between(*x.ratio_good), 1.0).otherwise(0.5)
-    return _only(THINKING, (score, F.when(~empty, r), empty | (r < x.ratio[0]) | (r > x.ratio[1])))
+    return _only(thinking(), (score, F.when(~empty, r), empty | (r < x.ratio[0]) | (r > x.ratio[1])))
 
 
 def _truncated(x: Limits) -> tuple[Column, Column, Column]:
     reason = F.col("finish_reason")
-    guess = t.looks_truncated(A) & ~F.coalesce(reason == "tool_loop_exhausted", F.lit(False))
+    guess = t.looks_truncated(answer()) & ~F.coalesce(reason == "tool_loop_exhausted", F.lit(False))
     bad = F.when(reason == "length", True).when(reason == "stop", False).otherwise(guess)
     return _yes(~bad, F.when(reason.isin("length", "stop"), reason).when(bad, "heuristic").otherwise("ok"))
 
 
 def _think_tags(x: Limits) -> tuple[Column, Column, Column]:
-    both = F.concat(A, t.text(F.col("thinking_trace")))
+    both = F.concat(answer(), t.text(F.col("thinking_trace")))
     opened, closed = F.regexp_count(both, F.lit("<think>")), F.regexp_count(both, F.lit("</think>"))
-    return _only(THINKING, _yes(opened == closed, F.concat_ws("/", opened.cast("string"), closed.cast("string"))))
+    return _only(thinking(), _yes(opened == closed, F.concat_ws("/", opened.cast("string"), closed.cast("string"))))
 
 
 def _language(x: Limits) -> tuple[Column, Column, Column]:
-    bare = F.regexp_replace(A, t.rx(r"[\s\p{P}]"), "")
+    bare = F.regexp_replace(answer(), t.rx(r"[\s\p{P}]"), "")
     n = F.length(bare)
-    share = F.when(n > 0, F.length(F.regexp_replace(bare, f"[^{x.script}]", "")) / n).otherwise(0.0)
+    share = F.when(n > 0, F.try_divide(F.length(F.regexp_replace(bare, f"[^{x.script}]", "")), n)).otherwise(0.0)
     return share, share, (n == 0) | (share < x.script_share)
 
 
@@ -105,12 +116,12 @@ def repeat_share(c: Column, n: int = 4) -> Column:
     """The share of character n-grams that occur more than once; sorted, they equal a neighbour."""
     grams = F.sort_array(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
     twins = F.filter(F.transform(grams, lambda g, i: (g == F.get(grams, i - 1)) | (g == F.get(grams, i + 1))), lambda b: b)
-    return F.size(twins) / F.size(grams)
+    return F.try_divide(F.size(twins), F.size(grams))
 
 
 def _repeat_grams(x: Limits) -> tuple[Column, Column, Column]:
-    share = parse.repeat_share(A)
-    return _only(F.length(A) >= 8, (1 - share, share, share > x.repeat_ng))
+    share = parse.repeat_share(answer())
+    return _only(F.length(answer()) >= 8, (1 - share, share, share > x.repeat_ng))
 
 
 def longest_run(c: Column) -> Column:
@@ -119,7 +130,7 @@ def longest_run(c: Column) -> Column:
 
 
 def _repeat_run(x: Limits) -> tuple[Column, Column, Column]:
-    run = longest_run(A)
+    run = longest_run(answer())
     return F.when(run <= 5, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - (run - 5) / 50)), run, run > x.repeat_run
 
 
@@ -127,7 +138,7 @@ def _style(x: Limits) -> tuple[Column, Column, Column]:
     score, hard = F.lit(1.0), F.lit(False)
     for style, rule in x.style_rules.items():
         mine = F.col("style_id") == style
-        own = style_adherence(A, rule)
+        own = style_adherence(answer(), rule)
         score = F.when(mine, own).otherwise(score)
         hard = F.when(mine, own < rule.get("least", 0.3)).otherwise(hard)
     return score, score, hard
@@ -137,7 +148,7 @@ def style_adherence(c: Column, rule: dict) -> Column:
     """0.7 of the share of sentences that end as the rule says plus 0.3 of the share of its keywords that occur."""
     parts = t.sentences(c)
     fits = F.size(F.filter(parts, lambda s: t.like(s, "|".join(rule["endings"]))))
-    share = F.when(F.size(parts) > 0, fits / F.size(parts)).otherwise(0.0)
+    share = F.when(F.size(parts) > 0, F.try_divide(fits, F.size(parts))).otherwise(0.0)
     words = rule.get("keywords", ())
     if not words:
         return share
@@ -145,12 +156,16 @@ def style_adherence(c: Column, rule: dict) -> Column:
     return F.when(F.size(parts) > 0, 0.7 * share + 0.3 * F.least(F.lit(1.0), hits / len(words))).otherwise(0.0)
 
 
-TOOLS = F.coalesce(F.size(F.col("tools")), F.lit(0)) > 0
-CALLS = F.coalesce(F.exists("tool_calls", lambda c: c["name"].isNotNull() & ~c["name"].isin("", "<malformed>")), F.lit(False))
+def has_tools() -> Column:
+    return F.coalesce(F.size(F.col("tools")), F.lit(0)) > 0
+
+
+def has_calls() -> Column:
+    return F.coalesce(F.exists("tool_calls", lambda c: c["name"].isNotNull() & ~c["name"].isin("", "<malformed>")), F.lit(False))
 
 
-def _tools(pattern: str, where: Column) -> Callable[[Limits], tuple[Column, Column, Column]]:
-    return lambda x: _only(TOOLS & ~CALLS, _yes(~t.like(where, pattern, "i"), t.full(F.regexp_extract(where, t.rx(f"({pattern})", "i"), 1))))
+def _tools(pattern: str, where: Callable[[], Column]) -> Callable[[Limits], tuple[Column, Column, Column]]:
+    return lambda x: _only(has_tools() & ~has_calls(), _yes(~t.like(where(), pattern, "i"), t.full(F.regexp_extract(where(), t.rx(f"({pattern})", "i"), 1))))
 
 
 def _leak(x: Limits) -> tuple[Column, Column, Column]:
@@ -162,10 +177,10 @@ def _leak(x: Limits) -> tuple[Column, Column, Column]:
 def _format(x: Limits) -> tuple[Column, Column, Column]:
     style = F.col("style_id")
     bad = (
-        F.when(parse.triple_repeat(A), "triple_repeat")
-        .when((style == "prose") & (t.has_markdown(A) | t.like(A, PROSE_MARKS, "m")), "markdown")
-        .when((style == "qa_short") & t.qa_short_violation(A), "qa_short")
-        .when((style == "dialog") & (t.think_leak(A) | t.has_markdown(A)), "dialog")
+        F.when(parse.triple_repeat(answer()), "triple_repeat")
+        .when((style == "prose") & (t.has_markdown(answer()) | t.like(answer(), PROSE_MARKS, "m")), "markdown")
+        .when((style == "qa_short") & t.qa_short_violation(answer()), "qa_short")
+        .when((style == "dialog") & (t.think_leak(answer()) | t.has_markdown(answer())), "dialog")
     )
     return _yes(bad.isNull(), bad)
 
@@ -198,14 +213,14 @@ def _none(issue: Column) -> tuple[Column, Column, Column]:
 
 
 def _either(find: Callable[[Column], Column]) -> Callable[[Limits], tuple[Column, Column, Column]]:
-    return lambda x: _none(F.coalesce(find(WHOLE), find(t.text(F.col("prompt")))))
+    return lambda x: _none(F.coalesce(find(whole()), find(t.text(F.col("prompt")))))
 
 
 SIGNALS: dict[str, Signal] = {
     s.code: s
     for s in (
-        Signal("LEN-A", "v1", lambda x: _span(F.length(A), *x.len_a)),
-        Signal("LEN-T", "v1", lambda x: _only(THINKING, _span(F.length(TT), *x.len_t))),
+        Signal("LEN-A", "v1", lambda x: _span(F.length(answer()), *x.len_a)),
+        Signal("LEN-T", "v1", lambda x: _only(thinking(), _span(F.length(trace()), *x.len_t))),
         Signal("RATIO-TA", "v1", _ratio),
         Signal("TRUNC", "v2", _truncated),
         Signal("THINK-TAG", "v1", _think_tags),
@@ -213,16 +228,16 @@ SIGNALS: dict[str, Signal] = {
         Signal("REPEAT-NG", "v1", _repeat_grams),
         Signal("REPEAT-CHAR", "v1", _repeat_run),
         Signal("STYLE-ADH", "v1", _style),
-        Signal("TOOL-PLAN", "v1", _tools(TOOL_INTENT, TT)),
-        Signal("TOOL-CLAIM", "v1", _tools(ACTION_CLAIM, A)),
+        Signal("TOOL-PLAN", "v1", _tools(TOOL_INTENT, trace)),
+        Signal("TOOL-CLAIM", "v1", _tools(ACTION_CLAIM, answer)),
         Signal("TOOL-LEAK", "v1", _leak),
-        Signal("FACT-HALL", "v1", _tools(FACT_NUMBER, A)),
-        Signal("VIRT-DATA", "v1", lambda x: _yes(~t.like(A, VIRTUAL_DATA, "i"), t.full(F.regexp_extract(A, t.rx(f"({VIRTUAL_DATA})", "i"), 1)))),
+        Signal("FACT-HALL", "v1", _tools(FACT_NUMBER, answer)),
+        Signal("VIRT-DATA", "v1", lambda x: _yes(~t.like(answer(), VIRTUAL_DATA, "i"), t.full(F.regexp_extract(answer(), t.rx(f"({VIRTUAL_DATA})", "i"), 1)))),
         Signal("STYLE-FMT", "v1", _format),
-        Signal("END-WELL", "v1", lambda x: _yes(ends_well(WHOLE), ends_well(WHOLE))),
+        Signal("END-WELL", "v1", lambda x: _yes(ends_well(whole()), ends_well(whole()))),
         Signal("CTRL-CHAR", "v1", _either(control_issue)),
         Signal("TPL-LEAK", "v1", _either(template_leak)),
-        Signal("SYNTAX-BREAK", "v1", lambda x: _none(parse.syntax_break(WHOLE))),
+        Signal("SYNTAX-BREAK", "v1", lambda x: _none(parse.syntax_break(whole()))),
     )
 }
 #: The two lists that runs use; DUP-GLOB and SAMP-OUT look at all records and are in operators.

@@ -44,7 +44,7 @@ def top(counts: DataFrame, n: int, key: str = "key") -> DataFrame:
 def curation_totals(scores: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     kept = F.count_if("accepted")
-    return scores.agg(n.alias("total"), kept.alias("accepted"), (n - kept).alias("rejected"), F.when(n > 0, F.bround(kept / n, 4)).otherwise(0.0).alias("keep_rate"))
+    return scores.agg(n.alias("total"), kept.alias("accepted"), (n - kept).alias("rejected"), F.coalesce(F.bround(F.try_divide(kept, n), 4), F.lit(0.0)).alias("keep_rate"))
 
 
 def keep_by(scores: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,7 +119,7 @@ def tool_metrics(rows: DataFrame) -> DataFrame:
     n = F.count_if(has)
     return rows.agg(
         n.alias("with_tools"), F.count_if(has & called).alias("with_calls"), F.sum(F.greatest(F.lit(0), F.coalesce(F.size("tool_calls"), F.lit(0)))).cast("long").alias("calls"), F.count_if(has & ~called & F.col("planned")).alias("planned_not_called"),
-        F.when(n > 0, F.bround(F.count_if(has & called) / n, 4)).otherwise(0.0).alias("call_rate"),
+        F.coalesce(F.bround(F.try_divide(F.count_if(has & called), n), 4), F.lit(0.0)).alias("call_rate"),
     )
 
 
@@ -136,10 +136,10 @@ def calibrate(pairs: DataFrame, score: str = "final_score", good: str = "good",
     wide = pairs.agg(*sums)
     cell = lambda i: F.struct(F.lit(thresholds[i]).alias("threshold"), *[F.col(f"{k}{i}").alias(k) for k in ("tp", "fp", "fn", "tn")])
     long = wide.select(F.explode(F.array(*map(cell, range(len(thresholds))))).alias("x")).select("x.*")
-    p = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(0.0)
-    r = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(0.0)
+    p = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
     out = long.withColumn("precision", p).withColumn("recall", r)
-    out = out.withColumn("f1", F.when(p + r > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0))
+    out = out.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
     best = out.agg(F.max(F.struct(F.col("f1").alias("f"), (-F.col("threshold")).alias("t"))).alias("b")).select((-F.col("b.t")).alias("best_at"))  # one row
     return out.join(F.broadcast(best), F.lit(True)).withColumn("best", F.col("threshold") == F.col("best_at")).drop("best_at")
 

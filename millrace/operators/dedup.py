@@ -96,7 +96,7 @@ def cosine(a: Column, b: Column) -> Column:
     """0 for vectors of unlike length, empty ones and zero ones."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, z: s + z)
     size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0) & (size > 0), dot(a, b) / size).otherwise(0.0)
+    return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0), F.coalesce(F.try_divide(dot(a, b), size), F.lit(0.0))).otherwise(0.0)
 
 
 def vector_pairs(rows: DataFrame, threshold: float, name: str = "vec_id", vector: str = "embedding", block: int = 1024) -> DataFrame:

@@ -11,7 +11,7 @@ BELOW = "BELOW_THRESHOLD"
 def mean_score(signals: Column) -> Column:
     """The plain mean of the signals' scores; 0 without signals."""
     total = F.aggregate(signals["score"], F.lit(0.0), lambda a, x: a + x)
-    return F.when(F.size(signals) > 0, total / F.size(signals)).otherwise(0.0)
+    return F.coalesce(F.try_divide(total, F.size(signals)), F.lit(0.0))
 
 
 def hard_codes(signals: Column) -> Column:
@@ -88,7 +88,7 @@ def sample_outliers(scored: DataFrame, z_min: float = -2.0, least: int = 5, by:
     stats = scored.groupBy(*by).agg(F.count(F.lit(1)).alias("bucket_n"), F.avg(score).alias("bucket_mean"), F.stddev_pop(score).alias("bucket_sd"))
     on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
     met = scored.alias("a").join(stats.alias("b"), on).select("a.*", "bucket_n", "bucket_mean", "bucket_sd")
-    z = F.when((F.col("bucket_n") >= least) & (F.col("bucket_sd") > 0), (F.col(score) - F.col("bucket_mean")) / F.col("bucket_sd"))
+    z = F.when((F.col("bucket_n") >= least) & (F.col("bucket_sd") > 0), F.try_divide(F.col(score) - F.col("bucket_mean"), F.col("bucket_sd")))
     out = met.withColumn("z_score", z)
     return out.withColumn("hard", F.when(F.coalesce(z < z_min, F.lit(False)), F.array_append("hard", F.lit("SAMP-OUT"))).otherwise(F.col("hard"))).drop("bucket_n", "bucket_mean", "bucket_sd")
 

@@ -43,7 +43,7 @@ def domain_gap(rows: DataFrame, domains: DataFrame) -> DataFrame:
     """(domain, target, have, gap, ratio, done) for every domain; done: at least 0.8 of the target."""
     have = rows.groupBy("domain").agg(F.count(F.lit(1)).alias("h"))
     out = domains.join(have, "domain", "left").withColumn("have", F.coalesce("h", F.lit(0)).cast("long"))
-    return out.select("domain", "target", "have", F.greatest(F.lit(0), F.col("target") - F.col("have")).cast("long").alias("gap"), F.bround(F.col("have") / F.col("target"), 4).alias("ratio"), (F.col("have") >= 0.8 * F.col("target")).alias("done"))
+    return out.select("domain", "target", "have", F.greatest(F.lit(0), F.col("target") - F.col("have")).cast("long").alias("gap"), F.bround(F.try_divide("have", "target"), 4).alias("ratio"), (F.col("have") >= 0.8 * F.col("target")).alias("done"))
 
 
 def scale_targets(domains: DataFrame, total: int) -> DataFrame:

@@ -58,7 +58,7 @@ RECORD_CUT = f"(CASE WHEN finish_reason = 'length' THEN true WHEN finish_reason
 def truncated_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.count_if(t.record_truncated(F.col("finish_reason"), F.col("answer")))
     n = F.count(F.lit(1))
-    return v.docs(spark, sf_dir).agg(n.alias("n"), cut.alias("truncated"), F.when(n > 0, F.bround(cut / n, 4)).otherwise(0.0).alias("rate"))
+    return v.docs(spark, sf_dir).agg(n.alias("n"), cut.alias("truncated"), F.coalesce(F.bround(F.try_divide(cut, n), 4), F.lit(0.0)).alias("rate"))
 
 
 @query(

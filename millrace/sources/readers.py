@@ -35,11 +35,11 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path).withColumn("ord", F.monotonically_increasing_id())
 
 
-def objects(raw: DataFrame, value: str = "value") -> DataFrame:
-    """raw's lines that hold a JSON object, with json, a VARIANT. Lines that the strict parser refuses but from_json reads (repeated keys) are read by that."""
+def objects(raw: DataFrame, value: str = "value", schema: str = RECORD) -> DataFrame:
+    """raw's lines that hold a JSON object, with json, a VARIANT. What the strict parser refuses for repeated keys is read by schema, the last one winning."""
     v = F.try_parse_json(F.col(value))
-    loose = F.from_json(F.col(value), "map<string,string>", {"allowNonNumericNumbers": "true"})
-    again = F.when(v.isNull() & F.col(value).rlike(r"^\s*\{") & (F.size(loose) > 0), F.try_parse_json(F.to_json(loose)))
+    loose = F.from_json(F.col(value), f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    again = F.when(v.isNull() & F.col(value).rlike(r"^\s*\{") & loose["_corrupt"].isNull(), F.try_parse_json(F.to_json(loose)))
     out = raw.withColumn("json", F.coalesce(v, again))
     return out.filter(F.schema_of_variant("json").startswith("OBJECT"))
 
@@ -108,13 +108,13 @@ def json_directory(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def tail(spark: SparkSession, path: str, offset: int) -> tuple[str, int]:
     """(text from a character offset on, its end) of one file; a negative offset counts as 0."""
-    row = spark.read.option("wholetext", True).text(path).select(F.substring("value", max(0, offset) + 1, 1 << 30), F.length("value")).first()
+    row = spark.read.text(path, wholetext=True).select(F.substring("value", max(0, offset) + 1, 1 << 30), F.length("value")).first()
     return (row[0], row[1]) if row else ("", max(0, offset))
 
 
 def prompt_file(spark: SparkSession, path: str) -> DataFrame:
     """(version, eval_version, body): the headers of a prompt file, and it without its # lines."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     head = lambda k: t.full(F.regexp_extract("value", rf"(?m)^#\s*{k}:\s*(\S+)", 1))
     return raw.select(head("version").alias("version"), head("eval_version").alias("eval_version"), t.strip(F.regexp_replace("value", r"(?m)^#.*\n?", "")).alias("body"))
 
