@@ -16,15 +16,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _share(s: str, n: int = 4) -> float:
-    points = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    if len(points) < n:
+def _points(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+
+
+def _fours(points: np.ndarray) -> np.ndarray:
+    """A 64-bit word for each four characters in a row; equal words are equal characters: those beyond 16 bits are numbered first."""
+    if points.max() >= 1 << 16:
+        points = np.unique(points, return_inverse=True)[1].astype(np.uint64)
+    a, b, c, d = (points[i : len(points) - 3 + i] for i in range(4))
+    return a << np.uint64(48) | b << np.uint64(32) | c << np.uint64(16) | d
+
+
+def _share(s: str) -> float:
+    points = _points(s)
+    if len(points) < 4:
         return 0.0
-    if n == 4 and points.max() < 1 << 16:  # four characters fit a word
-        g = points[:-3] << np.uint64(48) | points[1:-2] << np.uint64(32) | points[2:-1] << np.uint64(16) | points[3:]
-        _, times = np.unique(g, return_counts=True)
-    else:
-        _, times = np.unique(np.lib.stride_tricks.sliding_window_view(points, n), axis=0, return_counts=True)
+    _, times = np.unique(_fours(points), return_counts=True)
     return float(times[times > 1].sum() / times.sum())
 
 
@@ -38,14 +46,34 @@ def repeat_share(c: Column) -> Column:
     return run(c)
 
 
-def _tripled(s: str, least: int = 4) -> bool:
-    points = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    for unit in range(least, len(points) // 3 + 1):
-        same = points[unit:] == points[:-unit]
-        off = np.flatnonzero(~same)
-        edges = np.concatenate([[-1], off, [len(same)]])
-        if (np.diff(edges) - 1).max() >= 2 * unit:
-            return True
+def _tripled(s: str, least: int = 4, at_once: int = 1_000_000) -> bool:
+    """Three equal units in a row are 2 * unit characters that each equal the one a unit on.
+
+    Such a stretch holds a multiple of the unit from which four characters lie within it, so for each unit only its
+    multiples are looked at, by words of four characters; what matches is measured. That is n log n looks in all.
+    """
+    points = _points(s)
+    n = len(points)
+    if n < 3 * least:
+        return False
+    g = _fours(points)
+    units = np.arange(least, n // 3 + 1)
+    looks = (n - 4) // units
+    cuts = np.searchsorted(np.cumsum(looks), np.arange(at_once, looks.sum() + at_once, at_once))
+    for lo, hi in zip([0, *cuts], [*cuts, len(units)], strict=True):
+        u, m = units[lo:hi], looks[lo:hi]
+        unit = np.repeat(u, m)
+        place = (np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)) * unit
+        hit = np.flatnonzero(g[place] == g[place + unit])
+        for p, k in zip(place[hit].tolist(), unit[hit].tolist(), strict=True):
+            a = max(0, p - 2 * k)
+            same = points[a : min(n - k, p + 2 * k)] == points[a + k : min(n, p + 3 * k)]
+            off = np.flatnonzero(~same)
+            i = np.searchsorted(off, p - a)
+            left = off[i - 1] if i else -1
+            right = off[i] if i < len(off) else len(same)
+            if right - left - 1 >= 2 * k:
+                return True
     return False
 
 
