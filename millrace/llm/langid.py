@@ -7,8 +7,8 @@ next shorter context is asked; below the empty context a byte costs 8 bits. The
 shortest code wins, and the score is its share of exp(-code length).
 
 Texts are lower-cased (A-Z) and each run of bytes that are neither ASCII letters nor part of a longer character counts
-as one space. The trees are learned from at most `rows_per_language` whole texts of each language, those with the least
-text hash, and hold at most `nodes_per_order` grams of each length in each language (those seen most); both bounds are parameters.
+as one space. The trees are learned from at most `rows_per_language` different whole texts of each language, those with
+the least text hash, and hold at most `nodes_per_order` grams of each length in each language (those seen most); both bounds are parameters.
 
 Defined results: a null text or one without letters is `und` with score 0; so is every text if nothing could be learned.
 Ties between languages go to the least name. Rows with a null language or text teach nothing. All rows are kept;
@@ -163,9 +163,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order
     """The trees of all languages that docs names. Counting runs on the executors; the driver gets the frozen counts."""
     rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).dropna()
     rows = rows.withColumn("h", F.xxhash64("text"))
-    last = stored(least(rows.select("lang", "h"), "lang", ["h"], rows_per_language).groupBy("lang").agg(F.max("h").alias("last")), "last").withColumnRenamed("lang", "of")
+    last = stored(least(rows.select("lang", "h").distinct(), "lang", ["h"], rows_per_language).groupBy("lang").agg(F.max("h").alias("last")), "last").withColumnRenamed("lang", "of")
     last = F.broadcast(last) if last.count() <= 100_000 else last  # a row for each language
-    chosen = rows.join(last, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last"))).select("lang", "text")
+    chosen = rows.join(last, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last"))).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

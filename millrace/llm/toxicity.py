@@ -11,7 +11,7 @@ The index keeps postings by term within blocks of BLOCK examples and each term's
 in order of their bounds until no bound exceeds the k-th cosine found, so the neighbours are exact. Of
 equal cosines the lower place in the index wins.
 
-Examples are at most `rows_per_class` whole labelled texts of each class, those with the least text hash.
+Examples are at most `rows_per_class` different whole labelled texts of each class, those with the least text hash.
 
 Defined results: a text without terms (null and empty ones too) scores the prior; without labelled rows of both classes every
 score is the share of toxic rows, or 0; a label that repeats counts once, toxic if any says so; null labels teach nothing. All rows are kept; input columns named
@@ -153,7 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
     hashed = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("h")).join(marks, "id")
     hashed = stored(hashed, "labelled")
-    chosen = stored(least(hashed, "y", ["h", "id"], rows_per_class).select("id", "y").distinct(), "chosen")
+    # One row of each text: copies would fill the sample.
+    single = hashed.groupBy("y", "h").agg(F.min("id").alias("id"))
+    chosen = stored(least(single, "y", ["h", "id"], rows_per_class).select("id", "y").distinct(), "chosen")
     counts = {r["y"]: r["n"] for r in hashed.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     some = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(chosen), "id")  # 2 x rows_per_class rows at most
 
@@ -168,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     yield pa.RecordBatch.from_arrays([pa.array(term), pa.array([c] * len(term), pa.int32()), pa.array(n.astype(np.int64))], names=["term", "y", "n"])
 
     seen = some.mapInArrow(count, "term long, y int, n long").groupBy("term").agg(*[F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
-    size = {c: min(counts.get(c, 0), rows_per_class) for c in (0, 1)}
+    size = {0: 0, 1: 0} | {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     held = sum(counts.values())
     share = counts.get(1, 0) / held if held else 0.0
     empty = Index(KeyTable(np.zeros(0, dtype=np.int64)), np.zeros(0), np.zeros(0), np.zeros(0), [], share, k, sharpness, prior_weight)
