@@ -320,3 +320,66 @@ def test_streams(spark, tmp_path):
     batch = live.assemble(spark.createDataFrame(rows, kind).filter("tool_call_index IS NOT NULL"))
     assert {tuple(r)[1:] for r in batch.select("request_id", "tool_call_index", "call_id", "name", "arguments").collect()} == want
     assert [(r.request_id, r.streak) for r in run(live.runaway_stream, "runaway")] == [("q", 5)]
+
+
+def test_dimensions(spark, tmp_path):
+    from millrace.sources import dimensions as dm
+
+    (tmp_path / "d.json").write_text(json.dumps([{"key": "x", "target": 3, "aliases": ["y"], "other": 1}]))
+    domains, aliases = dm.domains(spark, dm.load(spark, str(tmp_path / "d.json")))
+    assert tuple(domains.first()) == ("x", 3, [], []) and [r.category for r in aliases.collect()] == ["x", "y"]
+    assert dm.styles(spark, {"a": {"label": "A", "x": 1}}).first().label == "A"
+    assert dm.tools(spark, {"t": {"description": "d"}}).first().parameters == "{}"
+    scores = spark.createDataFrame([(True,), (False,), (True,)], "accepted boolean")
+    body = dm.write_run_manifest(scores, str(tmp_path / "m.json"), {"all": dm.fingerprint({"a": 1})}, {"LEN-A": "v1"})
+    assert body["keep_rate"] == 0.6667 and json.loads((tmp_path / "m.json").read_text())["kept"] == 2
+
+
+def test_record_functions(spark):
+    from millrace.functions import records as rc
+
+    assert one(spark, '{"name": "n", "description": "d \\"q\\"", "parameters": {"a": 1}}', rc.adhoc_tool) == '{"type":"function","function":{"name":"n","description":"d \\"q\\"","parameters":{"a":1}}}'
+    with pytest.raises(Exception, match="lacks name"):
+        one(spark, '{"name": "n"}', rc.adhoc_tool)
+    tools = F.array(F.struct(F.lit("s").alias("name"), F.lit("d").alias("description"), F.lit("when asked").alias("rule")))
+    assert one(spark, "", lambda c: rc.usage_hint(tools, "none")).split("\n")[1] == "- s: when asked"
+    assert one(spark, "", lambda c: rc.usage_hint(F.filter(tools, lambda x: F.lit(False)), "none")) == "none"
+    assert one(spark, ["a"], lambda c: rc.needs_recovery(c, F.array(), F.lit("use search function"), F.lit(""), F.array()), "array<string>")
+    assert not one(spark, [], lambda c: rc.needs_recovery(c, F.array(), F.lit("use search function"), F.lit(""), F.array()), "array<string>")
+    assert one(spark, "prompt too long", lambda c: rc.retry_without_tools(c, F.lit(True)))
+    assert one(spark, ['{"function": {"name": "a"}}', "{}"], rc.tool_names, "array<string>") == ["a"]
+    assert [one(spark, x, rc.schema_version_ok) for x in ("1", "0", None, "x")] == [True, False, False, False]
+    assert one(spark, 5, lambda c: rc.clamp(c, F.lit(3)), "int") == 3
+    assert one(spark, "c", lambda c: rc.reconstruct_raw(F.lit("r"), c)) == "<think>r</think>\nc"
+    assert one(spark, " ", lambda c: rc.first_filled(c, F.lit("b"))) == "b"
+    assert "rescore" not in one(spark, 0, lambda c: rc.incremental_report(*[F.lit(1)] * 6, c), "int")
+
+
+def test_sqlite_and_pages(spark, tmp_path):
+    import sqlite3
+
+    from pyspark.sql import types as T
+
+    with sqlite3.connect(tmp_path / "s.db") as db:
+        db.execute("CREATE TABLE sessions (session_id TEXT, updated REAL)")
+        db.executemany("INSERT INTO sessions VALUES (?, ?)", [(f"s{i}", i // 2) for i in range(7)])
+    kind = T.StructType([T.StructField("session_id", T.StringType()), T.StructField("updated", T.DoubleType())])
+    rows = readers.sqlite_table(spark, str(tmp_path / "s.db"), "sessions", kind)
+    page = readers.keyset_page(rows, "updated", "session_id", None, 3).collect()
+    assert [(r.session_id, r.has_more) for r in page] == [("s6", True), ("s5", True), ("s4", True)]
+    rest = readers.keyset_page(rows, "updated", "session_id", (2.0, "s4"), 9).collect()
+    assert [(r.session_id, r.has_more) for r in rest] == [("s3", False), ("s2", False), ("s1", False), ("s0", False)]
+    with pytest.raises(ValueError):
+        readers.sqlite_table(spark, "x", "a; DROP TABLE b", kind)
+
+
+def test_files_and_marks(spark, tmp_path):
+    (tmp_path / "runs" / "a").mkdir(parents=True)
+    (tmp_path / "runs" / "a" / "scores.jsonl").write_text("{}\n\n")
+    assert readers.newest_artifact(spark, str(tmp_path / "runs"), "scores.jsonl").endswith("runs/a")
+    assert readers.fingerprint(spark, str(tmp_path / "runs" / "a"))[1] == 1
+    (tmp_path / "jobs").mkdir()
+    (tmp_path / "jobs" / "1.json").write_text('{"id": "1", "created_at": "2024"}')
+    (tmp_path / "jobs" / "2.json").write_text("{broken")
+    assert [r.id for r in readers.json_directory(spark, str(tmp_path / "jobs"), "id string, created_at string").collect()] == ["1"]
+    assert readers.has_content(spark.createDataFrame([(" ",), ("x",)], "value string"))
