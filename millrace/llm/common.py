@@ -252,9 +252,10 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], rank: str, name:
     rows and is shifted by what the tasks before it hold of the group. Rows that tie share out their numbers among
     them in any order. Only the columns that df has are moved: give it narrow rows.
     """
-    part, own, before = f"{rank}__part", f"{rank}__own", f"{rank}__before"
-    keys = [F.col(f"`{c}`").asc_nulls_last() for c in [*groups, *order]]
-    dealt = stored(df.repartitionByRange(*keys).withColumn(part, F.spark_partition_id()), name)
+    part, own, before, row = f"{rank}__part", f"{rank}__own", f"{rank}__before", f"{rank}__row"
+    # The row's own number comes last, so that rows that tie can be dealt to several tasks as well.
+    keys = [*(F.col(f"`{c}`").asc_nulls_last() for c in [*groups, *order]), F.col(row).asc()]
+    dealt = stored(df.withColumn(row, F.monotonically_increasing_id()).repartitionByRange(*keys).withColumn(part, F.spark_partition_id()), name)
     counts = dealt.groupBy(part, *groups).agg(F.count(F.lit(1)).alias(own))
     shift = counts.withColumn(before, F.sum(own).over(Window.partitionBy(*groups).orderBy(part)) - F.col(own))
     shift = shift.select(before, *[F.col(f"`{c}`").alias(f"{rank}__{i}") for i, c in enumerate([part, *groups])])

@@ -162,7 +162,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     The texts are dealt and sorted before they are encoded: they are smaller than their ids, and each is encoded once.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(f"`{text_col}`").alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
-    dealt = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text_hash")).withColumn("part", F.spark_partition_id())
+    # Repeated rows tie in id and hash; by their own number they can be dealt to several tasks.
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    dealt = numbered.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text_hash"), F.col("row")).drop("row").withColumn("part", F.spark_partition_id())
     encoded = encode(dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text_hash"), tokenizer, end_id=end_id)
     writer = encoded.select("doc_id", "part", "text_hash", "n_tokens", "ids").write.format("orc").option("compression", "zstd")
     options = {"orc.stripe.size": stripe_bytes, "orc.row.index.stride": index_rows, "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": false_positives}
