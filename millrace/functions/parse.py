@@ -32,8 +32,12 @@ def _share(s: str) -> float:
     points = _points(s)
     if len(points) < 4:
         return 0.0
-    _, times = np.unique(_fours(points), return_counts=True)
-    return float(times[times > 1].sum() / times.sum())
+    g = np.sort(_fours(points))
+    same = g[1:] == g[:-1]
+    twin = np.zeros(len(g), dtype=bool)
+    twin[1:] |= same
+    twin[:-1] |= same
+    return float(twin.mean())
 
 
 def repeat_share(c: Column) -> Column:

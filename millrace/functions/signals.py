@@ -106,10 +106,9 @@ def _think_tags(x: Limits) -> tuple[Column, Column, Column]:
 
 
 def _language(x: Limits) -> tuple[Column, Column, Column]:
-    bare = F.regexp_replace(answer(), t.rx(r"[\s\p{P}]"), "")
-    n = F.length(bare)
-    share = F.when(n > 0, F.try_divide(F.length(F.regexp_replace(bare, f"[^{x.script}]", "")), n)).otherwise(0.0)
-    return share, share, (n == 0) | (share < x.script_share)
+    bare = F.regexp_replace(answer(), t.rx(r"[\s\p{P}]+"), "")
+    share = F.coalesce(F.try_divide(F.length(F.regexp_replace(bare, f"[^{x.script}]+", "")), F.length(bare)), F.lit(0.0))
+    return share, share, (share < x.script_share) | (share <= 0)
 
 
 def repeat_share(c: Column, n: int = 4) -> Column:
@@ -188,7 +187,7 @@ def _format(x: Limits) -> tuple[Column, Column, Column]:
 def ends_well(c: Column) -> Column:
     a = t.strip(t.text(c))
     fences = F.regexp_count(a, F.lit("```"))
-    return (a != "") & (fences % 2 == 0) & (F.endswith(a, F.lit("```")) | t.like(a, t.TERMINAL))
+    return (a != "") & (fences % 2 == 0) & (F.endswith(a, F.lit("```")) | t.ends_in(a))
 
 
 def control_issue(c: Column) -> Column:

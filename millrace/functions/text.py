@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns, limits and messages that results depend on.
-TERMINAL = r"[。！？.!?」』）)\]]\s*$"
+TERMINAL = "。！？.!?」』）)]"
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 HEADER = r"^#{1,6}\s+\S"
 BULLET = r"^\s*[-*+]\s+\S"
 NUMBERED = r"^\s*\d+\.\s+\S"
@@ -39,11 +40,16 @@ def full(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(c, rx(r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"), "")
+    return F.btrim(c, F.lit(WHITE))
+
+
+def ends_in(c: Column, signs: str = TERMINAL) -> Column:
+    """Whether the last character is one of these."""
+    return F.right(c, F.lit(1)).isin(*signs)
 
 
 def last_line(c: Column) -> Column:
-    return strip(F.element_at(F.split(c, "\n"), -1))
+    return strip(F.substring_index(c, "\n", -1))
 
 
 def looks_truncated(answer: Column) -> Column:
@@ -51,11 +57,11 @@ def looks_truncated(answer: Column) -> Column:
     last = last_line(a)
     return (
         F.when(a == "", True)
-        .when(like(a, TERMINAL), False)
+        .when(ends_in(a), False)
         .when(like(last, HEADER), True)
         .when(F.contains(last, F.lit("|")) & ~F.endswith(last, F.lit("|")), True)
-        .when(like(last, r"[、，,：:]\s*$"), True)
-        .when(like(last, KANJI + "$") & (F.length(a) > 200), True)
+        .when(ends_in(last, "、，,：:"), True)
+        .when(F.right(last, F.lit(1)).rlike(KANJI) & (F.length(a) > 200), True)
         .otherwise(False)
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..sources.scratch import stored
 
 # The constants of the scorer.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -26,8 +27,11 @@ class Index:
 def build(rows: DataFrame, doc: str = "ord", text: str = "search_text") -> Index:
     """The index; a term in more than half of all documents gets EPSILON of the mean idf."""
     tokens = rows.select(F.col(doc).alias("doc"), t.tokenize(F.col(text)).alias("tokens"))
-    docs = tokens.select("doc", F.size("tokens").alias("dl"))
-    postings = tokens.select("doc", F.explode("tokens").alias("term")).groupBy("term", "doc").agg(F.count(F.lit(1)).alias("tf"))
+    # The index is what other queries read: it is written once. A document's terms are counted where it stands.
+    counted = tokens.select("doc", F.size("tokens").alias("dl"), F.explode_outer("tokens").alias("term")).groupBy("doc", "dl", "term").agg(F.count("term").alias("tf"))
+    counted = stored(counted, "postings")
+    postings = counted.filter("term IS NOT NULL").select("term", "doc", "tf")
+    docs = counted.select("doc", "dl").distinct()
     n, average = docs.agg(F.count(F.lit(1)), F.avg("dl")).first()
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     raw = df.withColumn("raw", F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))

@@ -228,7 +228,7 @@ def review_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT ord, round(CASE WHEN bn >= 5 AND s > 0 THEN (final_score - m) / s END, 6) AS z_score, coalesce(bn >= 5 AND s > 0 AND (final_score - m) / s < -2, false) AS outlier FROM z"""
 )
 def samp_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = sc.sample_outliers(v.scored(spark, sf_dir))
+    out = sc.sample_outliers(narrow(spark, sf_dir))
     return out.select("ord", v.r6("z_score").alias("z_score"), F.array_contains("hard", "SAMP-OUT").alias("outlier"))
 
 
@@ -237,7 +237,7 @@ def samp_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT ord, coalesce(rn > 1, false) AS lost, (CASE WHEN count(*) FILTER (len(hard) = 0) OVER (PARTITION BY prompt, mode) > 0 THEN count(*) FILTER (len(hard) = 0) OVER (PARTITION BY prompt, mode) END)::BIGINT AS group_size FROM w"""
 )
 def best_of_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = v.scored(spark, sf_dir).withColumn("prompt", F.substring_index("answer", " ", 1))
+    rows = stored(v.scored(spark, sf_dir).select("ord", "mode", "hard", "stat_score", "record_hash", F.substring_index("answer", " ", 1).alias("prompt")), "scored")
     out = sc.best_of_n(rows)
     return out.select("ord", F.array_contains("hard", "BEST-OF-N").alias("lost"), "group_size")
 

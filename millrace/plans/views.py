@@ -17,9 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A table in fewer files than there are cores, dealt out to all of them; a larger one is read as it lies."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         d.alias("ord"),
         F.col("text").alias("answer"),
         F.substring_index("text", "\n", 1).alias("thinking_trace"),
