@@ -64,10 +64,30 @@ class Encoder:
         self.plain = self.cuts and self._plain()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, dtype=np.int64)
-        self.table = KeyTable(self.keys)
-        self.start = np.zeros(1, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.int32)
+        """Entry e has the ids ids[begin[e]:begin[e] + size[e]]; two tables lead from keys to entries, a large one and one of recent keys."""
+        none = np.zeros(0, dtype=np.int64)
+        self.begin, self.size, self.ids = none, none, np.zeros(0, dtype=np.int32)
+        self.tables = [(KeyTable(none), none), (KeyTable(none), none)]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Entries, -1 where a key is unknown."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        for table, entry in self.tables:
+            left = np.flatnonzero(out < 0)
+            at = table.find(keys[left])
+            out[left[at >= 0]] = entry[at[at >= 0]]
+        return out
+
+    def _add(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        main, recent = self.tables
+        keys, entries = np.concatenate([recent[0].keys, keys]), np.concatenate([recent[1], entries])
+        full = len(keys) > max(50_000, len(main[0].keys) // 4)
+        if full:  # so each key is moved into the large table's successors a few times only
+            keys, entries = np.concatenate([main[0].keys, keys]), np.concatenate([main[1], entries])
+        order = np.argsort(keys)
+        made = KeyTable(keys[order]), entries[order]
+        none = np.zeros(0, dtype=np.int64)
+        self.tables = [made, (KeyTable(none), none)] if full else [main, made]
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -94,18 +114,18 @@ class Encoder:
             return np.array([i for x in own for i in x], dtype=np.int32), bounds
         starts, ends, h, bounds = pieces(texts)
         keys, first, which = np.unique(h.view(np.int64), return_index=True, return_inverse=True)
-        at = self.table.find(keys)
+        at = self.find(keys)
         if (at < 0).any():
-            if len(self.keys) > CACHE:
+            if len(self.size) > CACHE:
                 self.clear()
-                at = np.full(len(keys), -1, dtype=np.int32)
+                at = np.full(len(keys), -1, dtype=np.int64)
             self._learn(texts.data, keys, first, at < 0, starts, ends)
-            at = self.table.find(keys)
+            at = self.find(keys)
         entry = at[which]
-        n = self.start[entry + 1] - self.start[entry]
+        n = self.size[entry]
         end = np.cumsum(n)
         total = np.concatenate([[0], end])
-        source = np.arange(total[-1]) + np.repeat(self.start[entry] - (end - n), n)
+        source = np.arange(total[-1]) + np.repeat(self.begin[entry] - (end - n), n)
         return self.ids[source], total[bounds]
 
     def _learn(self, data: np.ndarray, keys: np.ndarray, first: np.ndarray, new: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
@@ -114,17 +134,12 @@ class Encoder:
         rest = [i for i, x in enumerate(found) if x is None]
         for i, ids in zip(rest, self.whole([words[i] for i in rest]), strict=True):
             found[i] = ids
-        # The cache is one run of ids; its entries are in key order.
-        n = np.concatenate([np.diff(self.start), [len(x) for x in found]])
-        begin = np.concatenate([self.start[:-1], len(self.ids) + np.cumsum([0, *(len(x) for x in found)])[:-1]])
-        pool = np.concatenate([self.ids, np.array([i for x in found for i in x], dtype=np.int32)])
-        all_keys = np.concatenate([self.keys, keys[new]])
-        order = np.argsort(all_keys)
-        self.keys, n, begin = all_keys[order], n[order], begin[order]
-        end = np.cumsum(n)
-        self.ids = pool[np.arange(end[-1] if len(end) else 0) + np.repeat(begin - (end - n), n)]
-        self.start = np.concatenate([[0], end]).astype(np.int64)
-        self.table = KeyTable(self.keys)
+        sizes = np.array([len(x) for x in found], dtype=np.int64)
+        at = len(self.size)
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], dtype=np.int32)])
+        self._add(keys[new], np.arange(at, at + len(sizes)))
 
 
 _encoders: dict[str, Encoder] = {}
