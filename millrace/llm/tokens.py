@@ -198,12 +198,14 @@ def lookup(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
     return read(spark, path).filter(F.col("doc_id").isin(ids))
 
 
-def spans(stored: DataFrame) -> DataFrame:
+def spans(stored: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """The files' rows with start: the number of ids of all documents before theirs.
 
+    sizes: where part and n_tokens of the same rows can be read without the ids.
+
     Parts are summed first; a part's rows, dealt by range, are then numbered among themselves and shifted.
     """
-    totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("own"))
+    totals = (stored if sizes is None else sizes).groupBy("part").agg(F.sum("n_tokens").alias("own"))
     # One row for each part: as many as there are shuffle partitions.
     shift = totals.select(F.col("part").alias("of"), (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("before"))
     order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -232,4 +234,5 @@ def roundtrip(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Write docs as ORC in the shared folder, and read back doc_id, start, n_tokens and ids_crc32."""
     path = scratch(docs.sparkSession, "tokens")
     write(docs, path, tokenizer, end_id=end_id)
-    return spans(checksums(read(docs.sparkSession, path))).select("doc_id", "start", "n_tokens", "ids_crc32")
+    back = read(docs.sparkSession, path)
+    return spans(checksums(back), back.select("part", "n_tokens")).select("doc_id", "start", "n_tokens", "ids_crc32")
