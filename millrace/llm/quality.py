@@ -6,6 +6,10 @@ reference by Jensen-Shannon distance (base 2, 0 to 1) and keeps the least of eac
 `min_chars` characters in words and the word distance `min_words` words; a reference needs `reference_words` words. What a
 guard turns away passes.
 
+Common words are a part of a language's words only, so a text without any of them is not at distance 1 but at the
+reference's reach. The limit of the word distance is therefore a share of the reach, `far_share`, or for short texts what
+chance explains, up to `most_share` of the reach (see word_limits); `max_word_distance` holds in any case.
+
 Common words are found exactly in bounded memory: a word with a share of all of a language's words has at least that
 share in some batch of it, so the words that reach it in some batch are the candidates, and only they are counted.
 
@@ -15,6 +19,7 @@ Defined results: a null or empty text has no words and fails the base rule; with
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -199,13 +204,26 @@ def distances(texts: Texts, ref: References) -> tuple[np.ndarray, np.ndarray, np
     return by_class, by_word, n
 
 
+def reaches(ref: References) -> np.ndarray:
+    """[language] the word distance of a text without common words."""
+    return np.array([js_distance(np.append(np.zeros(len(share)), 1.0), np.append(share, max(0.0, 1 - share.sum()))) for _, share in ref.common])
+
+
+def word_limits(ref: References, words: np.ndarray, far_share: float = 0.75, most_share: float = 0.9) -> np.ndarray:
+    """[text, language] limits of the word distance. n words drawn from a reference of k common words have a squared distance of k / (8 n ln 2) on average; twice that is allowed to chance."""
+    reach = reaches(ref)
+    k = np.array([len(keys) for keys, _ in ref.common])
+    chance = np.sqrt(2 * k / (8 * math.log(2) * np.maximum(words, 1)[:, None]))
+    return np.clip(chance, far_share * reach, most_share * reach)
+
+
 RESULT = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     + [T.StructField("class_distance", T.DoubleType()), T.StructField("word_distance", T.DoubleType()), T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())]
 )
 
 
-def judge(docs: DataFrame, ref: References, text_col: str = "text", max_class_distance: float = 0.3, max_word_distance: float = 0.5, min_chars: int = 200, min_words: int = 50) -> DataFrame:
+def judge(docs: DataFrame, ref: References, text_col: str = "text", max_class_distance: float = 0.3, max_word_distance: float = 0.5, min_chars: int = 200, min_words: int = 50, far_share: float = 0.75, most_share: float = 0.9) -> DataFrame:
     """docs with the base counts, the least distances, base_failed and kept."""
     shared = docs.sparkSession.sparkContext.broadcast(ref)
 
@@ -221,7 +239,7 @@ def judge(docs: DataFrame, ref: References, text_col: str = "text", max_class_di
                 return out | {"class_distance": none, "word_distance": none, "kept": ~out["base_failed"]}
             by_class, by_word, words = distances(texts, ref)
             ok_class = (out["word_chars"] < min_chars)[:, None] | (by_class <= max_class_distance)
-            ok_word = (words < min_words)[:, None] | (by_word <= max_word_distance)
+            ok_word = (words < min_words)[:, None] | (by_word <= np.minimum(max_word_distance, word_limits(ref, words, far_share, most_share)))
             good = (ok_class & ok_word).any(1)
             return out | {"class_distance": by_class.min(1), "word_distance": by_word.min(1), "kept": ~out["base_failed"] & good}
 

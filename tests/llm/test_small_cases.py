@@ -368,6 +368,23 @@ def test_quality(spark):
     assert quality.judge(docs, quality.learn(docs.limit(0))).filter("class_distance IS NULL").count() == len(items)
 
 
+def test_quality_rejects_word_salad(spark):
+    """Words are long runs of the language's syllables: the characters are right, but none of them is common."""
+    rng = random.Random(8)
+    common = [f"{a}{b}" for a in ("an", "the", "on") for b in ("er", "ti", "re", "sh", "ou")]
+    rare = lambda: "".join(rng.choice(SYLLABLES[:8]) for _ in range(rng.randint(4, 7)))
+    text = lambda n, share: " ".join(rng.choice(common) if rng.random() < share else rare() for _ in range(n))
+    sizes = [50, 60, 80, 100, 200, 400, 1000, 5000]
+    clean, salad = [text(n, 0.3) for n in sizes * 20], [text(n, 0) for n in sizes * 3]
+    docs = table(spark, clean + salad + [text(49, 0)])
+    ref = quality.learn(docs.filter(F.col("doc_id") < len(clean)))
+    got = {r.doc_id: r for r in quality.judge(docs, ref).collect()}
+    assert all(got[i].class_distance <= 0.3 and got[i].word_distance <= 0.5 for i in range(len(clean) + len(salad)))
+    assert [i for i in range(len(clean)) if not got[i].kept] == []
+    assert [i for i in range(len(clean), len(clean) + len(salad)) if got[i].kept] == []
+    assert not got[len(clean) + len(salad)].kept and got[len(clean) + len(salad)].base_failed
+
+
 # 9
 
 
