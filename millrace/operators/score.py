@@ -120,3 +120,22 @@ def pair_win_rate(rows: DataFrame, by: tuple[str, ...], order: str, winner) -> D
     each = duels.select(F.explode(F.array(F.struct(F.col(f"a.{order}").alias(order), points.alias("p")), F.struct(F.col(f"b.{order}").alias(order), (1 - points).alias("p")))).alias("x")).select("x.*")
     rate = each.groupBy(order).agg((F.sum("p") / F.count(F.lit(1))).alias("win_rate"))
     return rows.select(order).join(rate, order, "left").withColumn("win_rate", F.coalesce("win_rate", F.lit(1.0)))
+
+
+def value_win_rate(rows: DataFrame, by: tuple[str, ...], order: str, value: str, width: int = 256) -> DataFrame:
+    """pair_win_rate() where the higher whole number wins and a null ties with all, without making the pairs: a row has beaten what lies below it.
+
+    Rows are counted by value, and the counts summed up within ranges of `width` values and then over the ranges, so that no
+    window reads more of a group than its ranges.
+    """
+    same = lambda a, b, names: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names]
+    counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("same_n")).withColumn("range", F.floor(F.col(value) / width))
+    ranges = counts.groupBy(*by, "range").agg(F.sum("same_n").alias("range_n"))
+    group = Window.partitionBy(*by)
+    before = Window.unboundedPreceding, -1
+    ranges = ranges.select(*by, "range", F.coalesce(F.sum(F.when(F.col("range").isNotNull(), F.col("range_n"))).over(group.orderBy("range").rowsBetween(*before)), F.lit(0)).alias("ranges_below"), F.sum("range_n").over(group).alias("group_n"), F.coalesce(F.sum(F.when(F.col("range").isNull(), F.col("range_n"))).over(group), F.lit(0)).alias("null_n"))
+    within = counts.withColumn("below", F.coalesce(F.sum("same_n").over(Window.partitionBy(*by, "range").orderBy(value).rowsBetween(*before)), F.lit(0)))
+    placed = within.alias("a").join(ranges.alias("b"), same("a", "b", (*by, "range"))).select("a.*", "ranges_below", "group_n", "null_n")
+    won = F.when(F.col(value).isNull(), 0.5 * (F.col("group_n") - 1)).otherwise(F.col("ranges_below") + F.col("below") + 0.5 * (F.col("same_n") - 1 + F.col("null_n")))
+    rates = placed.select(*by, value, F.when(F.col("group_n") > 1, F.try_divide(won, F.col("group_n") - 1)).otherwise(1.0).alias("win_rate"))
+    return rows.alias("a").join(rates.alias("b"), same("a", "b", (*by, value))).select(f"a.{order}", "win_rate")

@@ -249,12 +249,24 @@ def best_of_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT ord, round(coalesce(avg(p), 1), 6) AS win_rate FROM g LEFT JOIN e USING (ord) GROUP BY ord"""
 )
 def pair_winrate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tournament within groups, the longer text winning."""
+    """A tournament within groups, the longer text winning, on a sample: every fifth document; pair_winrate_all has them all."""
     rows = v.docs(spark, sf_dir).filter("ord % 5 = 0").select("ord", "style_id", "category", "mode", F.length("answer").alias("n"))
     longer = lambda a, b: F.when(F.col(f"{a}.n") > F.col(f"{b}.n"), "a").when(F.col(f"{a}.n") < F.col(f"{b}.n"), "b").otherwise("tie")
     return sc.pair_win_rate(rows, ("style_id", "category", "mode"), "ord", longer).select("ord", v.r6("win_rate").alias("win_rate"))
 
 
+@query(
+    f"""WITH {DOCS}, g AS (SELECT ord, style_id, category, mode, length(answer) AS n FROM docs),
+    d AS (SELECT a.ord AS x, b.ord AS y, CASE WHEN a.n > b.n THEN 1 WHEN a.n < b.n THEN 0 ELSE 0.5 END::DOUBLE AS p FROM g a JOIN g b ON a.style_id IS NOT DISTINCT FROM b.style_id AND a.category IS NOT DISTINCT FROM b.category AND a.mode = b.mode AND a.ord < b.ord),
+    e AS (SELECT x AS ord, p FROM d UNION ALL SELECT y, 1 - p FROM d)
+    SELECT ord, round(coalesce(avg(p), 1), 6) AS win_rate FROM g LEFT JOIN e USING (ord) GROUP BY ord"""
+)
+def pair_winrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tournament of all documents within their groups, by counts of lengths."""
+    rows = v.docs(spark, sf_dir).select("ord", "style_id", "category", "mode", F.length("answer").alias("n"))
+    return sc.value_win_rate(rows, ("style_id", "category", "mode"), "ord", "n").select("ord", v.r6("win_rate").alias("win_rate"))
+
+
 @query(f"WITH {DOCS} SELECT count(*) AS n, count(*) FILTER (answer IS NOT NULL AND mode IS NOT NULL AND finish_reason IS NOT NULL) AS ok FROM docs")
 def schema_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = schema_ok(("answer", "mode", "finish_reason"))

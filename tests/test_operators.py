@@ -157,6 +157,16 @@ def test_best_of_n_ties_by_hash(spark):
     assert {r.record_hash: r.hard for r in sc.best_of_n(df).collect()} == {"a": [], "b": ["BEST-OF-N"], "c": ["X"], "d": []}
 
 
+def test_win_rates_without_pairs(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([None, 0, 1, 255, 256, 257, 511, 512, 5000, *range(20)])) for i in range(400)] + [(400, "alone", 7), (401, "nulls", None), (402, "nulls", None)]
+    got = {r.ord: r.win_rate for r in sc.value_win_rate(spark.createDataFrame(rows, "ord long, g string, n int"), ("g",), "ord", "n").collect()}
+    assert len(got) == len(rows)
+    for i, g, n in rows:
+        p = [0.5 if None in (n, m) or n == m else float(n > m) for j, h, m in rows if h == g and j != i]
+        assert got[i] == pytest.approx(sum(p) / len(p) if p else 1), i
+
+
 def test_compose(spark):
     f = lambda llm, **k: one(spark, llm, lambda c: sc.compose(F.lit(0.5), c, **k), "double")
     assert f(None) == 0.5 and f(1.0) == pytest.approx(0.8) and f(1.0, w_stat=0.0, w_llm=0.0) == 0.0
