@@ -111,10 +111,24 @@ def redo_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     p AS (SELECT unnest([0.8, 0.9, 1.0]::DOUBLE[]) AS top_p, unnest([0, 1, 2]) AS k) SELECT doc_id, style_id, temperature, top_p, (i * 6 + j * 3 + k)::INT AS variant_no FROM r, s, a, p"""
 )
 def expand_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = v.table(spark, sf_dir, "documents").filter("doc_id % 50 = 0").select("doc_id", F.col("lang").alias("style_id"))
+    """A sweep of a sample: every fiftieth document; expand_variants_all has them all."""
+    return _sweep(v.table(spark, sf_dir, "documents").filter("doc_id % 50 = 0"))
+
+
+def _sweep(docs: DataFrame) -> DataFrame:
+    rows = docs.select("doc_id", F.col("lang").alias("style_id"))
     return va.expand(rows, {"style_id": ["plain", "formal"], "temperature": [0.2, 0.7], "top_p": [0.8, 0.9, 1.0]}, "doc_id").withColumn("variant_no", F.col("variant_no").cast("int"))
 
 
+@query(
+    """WITH s AS (SELECT unnest(['plain', 'formal']) AS style_id, unnest([0, 1]) AS i), a AS (SELECT unnest([0.2, 0.7]::DOUBLE[]) AS temperature, unnest([0, 1]) AS j),
+    p AS (SELECT unnest([0.8, 0.9, 1.0]::DOUBLE[]) AS top_p, unnest([0, 1, 2]) AS k) SELECT doc_id, style_id, temperature, top_p, (i * 6 + j * 3 + k)::INT AS variant_no FROM documents, s, a, p"""
+)
+def expand_variants_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep of all documents."""
+    return _sweep(v.table(spark, sf_dir, "documents"))
+
+
 @query(
     """WITH v AS (SELECT doc_id, temperature, top_p FROM documents, (SELECT unnest([0.2, 0.7]::DOUBLE[]) AS temperature), (SELECT unnest([0.8, 0.9]::DOUBLE[]) AS top_p))
     SELECT * FROM v WHERE NOT (doc_id % 3 = 0 AND temperature = 0.2)"""

@@ -17,9 +17,11 @@ from millrace.operators import incremental as inc
 from millrace.operators import score as sc
 from millrace.operators import search as se
 from millrace.operators import variants as va
+from millrace.plans import catalogue
 from millrace.sources import readers, sinks
 from millrace.streaming import live
 
+SF = "/root/testdata/sf0.001"
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -216,6 +218,12 @@ def test_variants_keep_missing_axes(spark):
     assert va.expand(df, {}).count() == 1
 
 
+def test_every_document_is_expanded(spark):
+    ids = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
+    got = [(r.doc_id, r.variant_no) for r in catalogue.QUERIES["expand_variants_all"](spark, SF).collect()]
+    assert sorted(got) == [(i, k) for i in sorted(ids) for k in range(12)]
+
+
 def test_bins_keep_empty_ones(spark):
     df = spark.createDataFrame([(-1,), (0,), (10,), (25,)], "n int")
     assert [(r.lo, r.n) for r in ag.bins(df, F.col("n"), [0, 10, 20]).collect()] == [(0, 1), (10, 1), (20, 1)]
