@@ -11,9 +11,8 @@ from . import views as v
 from .catalogue import query
 
 
-def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _deltas(e: DataFrame) -> DataFrame:
     """Each event as three deltas of a tool call of its user's request, and a last one that ends it."""
-    e = v.table(spark, sf_dir, "events").filter("event_id % 10 = 0")
     none = F.lit(None).cast("string")
     parts = F.array(*[F.struct(d.alias("d"), n.alias("n")) for d, n in ((F.lit('{"v": '), F.col("event_type")), (F.rint("value").cast("int").cast("string"), none), (F.when(F.col("event_id") % 20 == 0, "}").otherwise("!"), none))])
     d = e.select(F.format_string("r%d", "event_id").alias("request_id"), "event_id", F.posexplode(parts).alias("pos", "x"))
@@ -26,7 +25,17 @@ CASE WHEN event_id % 20 = 0 THEN '{"v": ' || round_even(value, 0)::INT || '}' EL
 
 @query(DELTAS)
 def assemble_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return live.assemble(_deltas(spark, sf_dir))
+    """Tool calls of a sample: every tenth event; assemble_deltas_all has them all."""
+    return live.assemble(_deltas(v.table(spark, sf_dir, "events").filter("event_id % 10 = 0")))
+
+
+@query(
+    """SELECT 'r' || event_id AS request_id, 0 AS tool_call_index, 'r' || event_id AS call_id, event_type AS name,
+CASE WHEN event_id % 20 = 0 THEN '{"v": ' || round_even(value, 0)::INT || '}' ELSE '{}' END AS arguments FROM events"""
+)
+def assemble_deltas_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tool calls of all events."""
+    return live.assemble(_deltas(v.table(spark, sf_dir, "events")))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

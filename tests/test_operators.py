@@ -340,6 +340,13 @@ def test_streams(spark, tmp_path):
     assert [(r.request_id, r.streak) for r in run(live.runaway_stream, "runaway")] == [("q", 5)]
 
 
+def test_every_event_is_assembled(spark):
+    ids = [f"r{r.event_id}" for r in spark.read.parquet(f"{SF}/events.parquet").select("event_id").collect()]
+    got = catalogue.QUERIES["assemble_deltas_all"](spark, SF).collect()
+    assert sorted(r.request_id for r in got) == sorted(ids)
+    assert any(r.arguments != "{}" for r in got)
+
+
 def test_dimensions(spark, tmp_path):
     from millrace.sources import dimensions as dm
 
