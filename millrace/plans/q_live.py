@@ -58,6 +58,16 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, unnest([0, 1])::INT AS pos, unnest(['delta', 'message']) AS event, unnest([event_type, '[DONE]']) AS data FROM events WHERE event_id % 100 = 0")
 def sse_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = v.table(spark, sf_dir, "events").filter("event_id % 100 = 0")
+    """Server-sent text of a sample: every hundredth event; sse_explode_all has them all."""
+    return _sse(v.table(spark, sf_dir, "events").filter("event_id % 100 = 0"))
+
+
+@query("SELECT event_id, unnest([0, 1])::INT AS pos, unnest(['delta', 'message']) AS event, unnest([event_type, '[DONE]']) AS data FROM events")
+def sse_explode_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The server-sent text of all events."""
+    return _sse(v.table(spark, sf_dir, "events"))
+
+
+def _sse(e: DataFrame) -> DataFrame:
     text = F.concat(F.lit("event: delta\ndata: "), "event_type", F.lit("\n\ndata: [DONE]\n\ndata: unend"))
     return live.sse_blocks(e.select("event_id", text.alias("text"))).select("event_id", "pos", "event", "data")

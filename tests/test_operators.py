@@ -347,6 +347,12 @@ def test_every_event_is_assembled(spark):
     assert any(r.arguments != "{}" for r in got)
 
 
+def test_all_server_sent_text_is_parsed(spark):
+    rows = [(r.event_id, r.event_type) for r in spark.read.parquet(f"{SF}/events.parquet").select("event_id", "event_type").collect()]
+    got = [tuple(r) for r in catalogue.QUERIES["sse_explode_all"](spark, SF).select("event_id", "pos", "event", "data").collect()]
+    assert sorted(got) == sorted(x for i, kind in rows for x in ((i, 0, "delta", kind), (i, 1, "message", "[DONE]")))
+
+
 def test_dimensions(spark, tmp_path):
     from millrace.sources import dimensions as dm
 
