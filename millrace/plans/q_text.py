@@ -31,19 +31,40 @@ def sentence_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 THOUGHT = "'a <think> ' || thinking_trace || chr(10) || '</think> ' || left(answer, 50) || ' <think>x</think> end'"
 
 
-def _thought() -> Column:
-    return F.concat(F.lit("a <think> "), "thinking_trace", F.lit("\n</think> "), F.left(F.col("answer"), F.lit(50)), F.lit(" <think>x</think> end"))
+WHOLE_THOUGHT = "'a <think> ' || thinking_trace || chr(10) || '</think> ' || answer || ' <think>x</think> end'"
+
+
+def _thought(answer: Column) -> Column:
+    return F.concat(F.lit("a <think> "), "thinking_trace", F.lit("\n</think> "), answer, F.lit(" <think>x</think> end"))
+
+
+def _stripped(docs: DataFrame, answer: Column) -> DataFrame:
+    c = F.concat(F.lit("</think>"), _thought(answer), F.when(F.col("ord") % 2 == 0, " <think> open").otherwise(""))
+    return docs.select("ord", t.strip_think(c).alias("body"))
 
 
 @query(rf"WITH {DOCS}, x AS (SELECT ord, {THOUGHT} AS c FROM docs) SELECT ord, {v.strip("regexp_extract(c, '(?s)<think>(.*?)</think>', 1)")} AS thinking, {v.strip("regexp_replace(c, '(?s)<think>.*?</think>', '', 'g')")} AS body FROM x")
 def extract_thinking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.docs(spark, sf_dir).select("ord", t.extract_thinking(_thought()).alias("x")).select("ord", "x.*")
+    """Of the first 50 characters of each answer; extract_thinking_all has them whole."""
+    return v.docs(spark, sf_dir).select("ord", t.extract_thinking(_thought(F.left(F.col("answer"), F.lit(50)))).alias("x")).select("ord", "x.*")
+
+
+@query(rf"WITH {DOCS}, x AS (SELECT ord, {WHOLE_THOUGHT} AS c FROM docs) SELECT ord, {v.strip("regexp_extract(c, '(?s)<think>(.*?)</think>', 1)")} AS thinking, {v.strip("regexp_replace(c, '(?s)<think>.*?</think>', '', 'g')")} AS body FROM x")
+def extract_thinking_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of whole answers."""
+    return v.docs(spark, sf_dir).select("ord", t.extract_thinking(_thought(F.col("answer"))).alias("x")).select("ord", "x.*")
 
 
 @query(rf"WITH {DOCS}, x AS (SELECT ord, '</think>' || {THOUGHT} || CASE WHEN ord % 2 = 0 THEN ' <think> open' ELSE '' END AS c FROM docs) SELECT ord, {v.strip("regexp_replace(replace(regexp_replace(c, '(?s)<think>.*?</think>', '', 'g'), '</think>', ''), '(?s)<think>.*$', '')")} AS body FROM x")
 def strip_think(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.concat(F.lit("</think>"), _thought(), F.when(F.col("ord") % 2 == 0, " <think> open").otherwise(""))
-    return v.docs(spark, sf_dir).select("ord", t.strip_think(c).alias("body"))
+    """Of the first 50 characters of each answer; strip_think_all has them whole."""
+    return _stripped(v.docs(spark, sf_dir), F.left(F.col("answer"), F.lit(50)))
+
+
+@query(rf"WITH {DOCS}, x AS (SELECT ord, '</think>' || {WHOLE_THOUGHT} || CASE WHEN ord % 2 = 0 THEN ' <think> open' ELSE '' END AS c FROM docs) SELECT ord, {v.strip("regexp_replace(replace(regexp_replace(c, '(?s)<think>.*?</think>', '', 'g'), '</think>', ''), '(?s)<think>.*$', '')")} AS body FROM x")
+def strip_think_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of whole answers."""
+    return _stripped(v.docs(spark, sf_dir), F.col("answer"))
 
 
 @query(f"WITH {DOCS} SELECT ord, CASE WHEN length(answer) <= 1000 THEN answer ELSE left(answer, 500) || chr(10) || '...' || chr(10) || right(answer, 500) END AS clipped, CASE WHEN length(answer) > 200 THEN left(answer, 200) || '…' ELSE answer END AS preview FROM docs")
@@ -53,9 +74,16 @@ def clip_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {DOCS} SELECT ord, array_to_string(regexp_extract_all(lower(left(answer, 300)), '[a-z0-9]+'), ' ') AS tokens FROM docs")
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the first 300 characters of each answer; tokenize_all has them whole."""
     return v.docs(spark, sf_dir).select("ord", F.array_join(t.tokenize(F.left(F.col("answer"), F.lit(300))), " ").alias("tokens"))
 
 
+@query(f"WITH {DOCS} SELECT ord, array_to_string(regexp_extract_all(lower(answer), '[a-z0-9]+'), ' ') AS tokens FROM docs")
+def tokenize_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of whole answers."""
+    return v.docs(spark, sf_dir).select("ord", F.array_join(t.tokenize(F.col("answer")), " ").alias("tokens"))
+
+
 SNIP = """p AS (SELECT ord, answer, length(answer) AS n, instr(lower(answer), 'tion') - 1 AS place FROM docs),
 s AS (SELECT *, greatest(0, place - 100) AS s0, least(n, greatest(0, place - 100) + 200) AS e FROM p), u AS (SELECT *, CASE WHEN e - s0 < 200 THEN greatest(0, e - 200) ELSE s0 END AS b FROM s)"""
 

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -257,6 +258,17 @@ def test_text_functions(spark):
     assert one(spark, "", t.looks_truncated) is True
 
 
+def test_whole_texts_are_tokenized_and_stripped(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert max(map(len, texts.values())) > 2000
+    run = lambda name: {r.ord: r for r in catalogue.QUERIES[name](spark, SF).collect()}
+    tokens, extracted, stripped = run("tokenize_all"), run("extract_thinking_all"), run("strip_think_all")
+    assert set(tokens) == set(extracted) == set(stripped) == set(texts)
+    for i, x in texts.items():
+        assert (tokens[i].tokens or "").split() == re.findall("[a-z0-9]+", x.lower())
+        assert x.strip() in extracted[i].body and x.strip() in stripped[i].body
+
+
 def test_record_key_counts_code_points(spark):
     def plain(*parts):
         h = 2166136261
