@@ -1,8 +1,9 @@
 """Shared parts of the training-data operators: byte-level text kernels, Arrow plumbing and shared scratch space.
 
 The kernels work on the UTF-8 buffer of an Arrow string column, never on Python strings, and a batch is cut into
-slices of a few megabytes before any temporary array is made, so the memory of a task doesn't depend on how many
-rows Spark puts into a batch. A text longer than a slice is handled whole, in a slice of its own.
+slices of a megabyte before any temporary array is made, so the memory of a task doesn't depend on how many rows Spark
+puts into a batch. A text longer than a slice is a slice of its own; what is counted by the byte is counted in parts of it
+(Texts.parts), and what is kept for each word takes some 20 bytes of memory a byte of text.
 """
 
 from __future__ import annotations
@@ -20,29 +21,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-_BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_ODD = _U(0x9E3779B97F4A7C15)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Bytes of [^\x00-\x2F\x3A-\x60\x7B-\x7F]: digits, a-z, and every byte of a character beyond ASCII.
 ALNUM = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 #: Bytes of [^\x20\x09-\x0D].
 NOSPACE = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(kind: str, n: int) -> np.ndarray:
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        p = np.full(max(n, SLICE_BYTES + 65536), _BASE if kind == "up" else _BASE_INV, dtype=_U)
-        p[0] = 1
-        have = np.multiply.accumulate(p)
-        if n <= 4 * SLICE_BYTES:  # tables for a huge text aren't kept
-            _powers[kind] = have
-    return have
+#: The low bytes of a block of 8 that a run with so many bytes left has.
+_LEFT = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=_U)
+#: Runs that are hashed or compared at once.
+_RUNS = 1 << 16
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -59,10 +51,40 @@ class Texts:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data, self.offsets = data, offsets
+        self._blocks: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
+    def blocks(self) -> np.ndarray:
+        """For each byte, it and the 7 after it as one number, without a copy for each; beyond the end stand zeros."""
+        if self._blocks is None:
+            padded = np.concatenate([self.data, np.zeros(8, dtype=np.uint8)])
+            self._blocks = np.ndarray((len(self.data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+        return self._blocks
+
+    def parts(self, limit: int) -> Iterator[tuple[Texts, int, bool]]:
+        """Pieces of at most limit bytes, in order: (piece, number of its first text, whether that text began in a piece before).
+
+        A text longer than limit is divided, between any two bytes.
+        """
+        o, i, pos = self.offsets, 0, 0
+        while i < len(self):
+            j = int(np.searchsorted(o, pos + limit, "right")) - 1
+            if j > i:
+                yield Texts(self.data[pos : o[j]], np.maximum(o[i : j + 1], pos) - pos), i, pos > o[i]
+                i, pos = j, int(o[j])
+            else:
+                yield Texts(self.data[pos : pos + limit], np.array([0, limit], dtype=np.int64)), i, pos > o[i]
+                pos += limit
+
+    def count(self, member: np.ndarray) -> np.ndarray:
+        """How many bytes of each text member holds for."""
+        out = np.zeros(len(self), dtype=np.int64)
+        for part, i, _ in self.parts(SLICE_BYTES):
+            out[i : i + len(part)] += per_text(member[part.data], part.offsets)
+        return out
+
     def lowered(self) -> Texts:
         """A-Z to lower case; nothing else changes."""
         return Texts(np.frombuffer(self.data.tobytes().translate(_LOWER), dtype=np.uint8), self.offsets)
@@ -100,14 +122,44 @@ class Runs:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.texts)), self.counts())
 
+    def _cut(self, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The blocks of 8 bytes of runs of these sizes: (where a run's blocks begin, run, place from the run's start, mask)."""
+        many = np.maximum(1, (size + 7) >> 3)
+        first = np.cumsum(many) - many
+        run = np.repeat(np.arange(len(size)), many)
+        at = (np.arange(len(run)) - first[run]) << 3
+        return first, run, at, _LEFT[np.minimum(size[run] - at, 8)]
+
     def hashes(self) -> np.ndarray:
-        """64-bit hashes of the runs' bytes; they depend on nothing but the bytes."""
-        data = self.texts.data
-        x = (data.astype(_U) + _U(1)) * _power("up", len(data))[: len(data)]
-        total = np.zeros(len(data) + 1, dtype=_U)
-        np.cumsum(x, out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * _power("down", len(data) + 1)[self.starts]
-        return mix(h + (self.ends - self.starts).astype(_U))
+        """64-bit hashes of the runs' bytes; they depend on nothing but the bytes.
+
+        Each block of 8 bytes is mixed with its place before the blocks are summed, so the sum isn't linear in the bytes.
+        """
+        out = np.empty(len(self), dtype=_U)
+        blocks = self.texts.blocks()
+        for i in range(0, len(self), _RUNS):
+            starts = self.starts[i : i + _RUNS]
+            size = self.ends[i : i + _RUNS] - starts
+            first, run, at, mask = self._cut(size)
+            x = mix((blocks[starts[run] + at] & mask) ^ ((at + 8).astype(_U) * _ODD))
+            out[i : i + _RUNS] = mix(np.add.reduceat(x, first) + size.astype(_U) * _ODD)
+        return out
+
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the runs a[i] and b[i] have the same bytes."""
+        out = np.empty(len(a), dtype=bool)
+        blocks = self.texts.blocks()
+        for i in range(0, len(a), _RUNS):
+            x, y = a[i : i + _RUNS], b[i : i + _RUNS]
+            size = self.ends[x] - self.starts[x]
+            alike = size == self.ends[y] - self.starts[y]
+            left = np.flatnonzero(alike)
+            if len(left):
+                first, run, at, mask = self._cut(size[left])
+                odd = (blocks[self.starts[x[left]][run] + at] ^ blocks[self.starts[y[left]][run] + at]) & mask
+                alike[left] = np.bitwise_or.reduceat(odd, first) == 0
+            out[i : i + _RUNS] = alike
+        return out
 
     def grams(self, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(index of its first run, hash) of each n consecutive runs of one text; h: the runs' hashes."""
@@ -115,7 +167,7 @@ class Runs:
         at = np.flatnonzero(room >= n)
         g = np.full(len(at), n, dtype=_U)
         for k in range(n):
-            g = (g ^ h[at + k]) * _U(0x9E3779B97F4A7C15)
+            g = (g ^ h[at + k]) * _ODD
             g ^= g >> _U(29)
         return at, mix(g)
 
@@ -210,9 +262,11 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where it names none."""
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where it names none and all runs on one machine."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         place = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")

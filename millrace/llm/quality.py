@@ -20,6 +20,8 @@ Defined results: a null or empty text has no words and fails the base rule; with
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,19 +33,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import ALNUM, NOSPACE, Texts, annotate, covered, per_text, sliced
+from .common import ALNUM, NOSPACE, SLICE_BYTES, Runs, Texts, annotate, covered, per_text, sliced, stored
 from .langid import KeyTable
 
-CLASSES = ("lower", "upper", "digit", "space", "punctuation", "symbol", "other")
+#: ASCII classes, and beyond ASCII the Unicode blocks that a first byte of UTF-8, from the given one on, opens.
+ASCII = ("lower", "upper", "digit", "space", "punctuation", "symbol")
+BLOCKS = ((0xC0, "marks"), (0xC3, "latin"), (0xCB, "marks"), (0xCD, "greek"), (0xD0, "cyrillic"), (0xD4, "hebrew"), (0xD8, "arabic"), (0xE0, "indic"), (0xE2, "marks"), (0xE3, "kana"), (0xE4, "han"), (0xEA, "hangul"), (0xEE, "other"))
+CLASSES = (*ASCII, *sorted({name for _, name in BLOCKS}))
 SYMBOLS = b"#*$%&|<>"
 
 
 def _class(b: int) -> int:
     c = chr(b)
     if 128 <= b < 192:
-        return -1  # inside a character
+        return len(CLASSES)  # inside a character
     if b >= 192:
-        return 6
+        return CLASSES.index([name for least, name in BLOCKS if least <= b][-1])
     if b in SYMBOLS:
         return 5
     for k, test in enumerate((str.islower, str.isupper, str.isdigit, str.isspace)):
@@ -52,7 +57,7 @@ def _class(b: int) -> int:
     return 4
 
 
-CLASS_OF = np.array([_class(b) for b in range(256)], dtype=np.int8)
+CLASS_OF = np.array([_class(b) for b in range(256)], dtype=np.int64)
 INNER = np.array([128 <= b < 192 for b in range(256)])
 SYMBOL = np.array([b in SYMBOLS for b in range(256)])
 LINE = np.array([b != 10 for b in range(256)])
@@ -60,45 +65,71 @@ LINE = np.array([b != 10 for b in range(256)])
 
 def class_counts(texts: Texts) -> np.ndarray:
     """[text, class] characters."""
-    cls = CLASS_OF[texts.data]
-    return np.stack([per_text(cls == k, texts.offsets) for k in range(len(CLASSES))], axis=1)
+    width = len(CLASSES) + 1
+    out = np.zeros((len(texts), width), dtype=np.int64)
+    for part, i, _ in texts.parts(SLICE_BYTES):
+        n = len(part)
+        key = np.repeat(np.arange(n) * width, np.diff(part.offsets)) + CLASS_OF[part.data]
+        out[i : i + n] += np.bincount(key, minlength=n * width).reshape(n, width)
+    return out[:, :-1]
+
+
+def _twins(runs: Runs, groups: np.ndarray, h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, equal, doubt): items sorted by group and hash; whether each equals the one before it; groups with a hash that stands for different bytes.
+
+    Item i is the runs first[i] to first[i] + width - 1; hashes only propose, the bytes decide.
+    """
+    order = np.lexsort((h, groups))
+    equal = np.zeros(len(order), dtype=bool)
+    if len(order) < 2:
+        return order, equal, np.zeros(0, dtype=np.int64)
+    near = np.flatnonzero((h[order[1:]] == h[order[:-1]]) & (groups[order[1:]] == groups[order[:-1]])) + 1
+    a, b = first[order[near - 1]], first[order[near]]
+    alike = np.ones(len(near), dtype=bool)
+    for k in range(width):
+        alike &= runs.same(a + k, b + k)
+    equal[near[alike]] = True
+    return order, equal, np.unique(groups[order[near[~alike]]])
 
 
 def base_counts(texts: Texts) -> dict[str, np.ndarray]:
     """The rules' counts of each text."""
     words = texts.runs(NOSPACE)
     n = words.counts()
-    data = texts.data
-    in_word = NOSPACE[data] & ~INNER[data]
     h = words.hashes()
     at, grams = words.grams(h, 3)
     doc = words.text_of()
-    order = np.lexsort((grams, doc[at]))
-    g, d = grams[order], doc[at][order]
-    twin = np.zeros(len(g), dtype=bool)
-    same = (g[1:] == g[:-1]) & (d[1:] == d[:-1])
-    twin[1:] |= same
-    twin[:-1] |= same
-    repeated = covered(at[order][twin], 3, len(words))
+    order, equal, doubt = _twins(words, doc[at], grams, at, 3)
+    twin = equal.copy()
+    twin[:-1] |= equal[1:]
+    repeated = per_text(covered(at[order[twin]], 3, len(words)), words.bounds)
     lines = texts.runs(LINE)
-    filled = lines.ends > lines.starts
-    word_heads = np.zeros(len(data) + 1, dtype=np.int64)
-    np.cumsum(NOSPACE[data], out=word_heads[1:])
-    filled &= word_heads[lines.ends] > word_heads[lines.starts]
-    lh, ld = lines.hashes()[filled], lines.text_of()[filled]
-    lo = np.lexsort((lh, ld))
-    lh, ld = lh[lo], ld[lo]
-    earlier = np.zeros(len(lh), dtype=bool)
-    earlier[1:] = (lh[1:] == lh[:-1]) & (ld[1:] == ld[:-1])
+    # A line with a word: the first word that ends after the line's start begins before its end.
+    word = np.searchsorted(words.ends, lines.starts, "right")
+    filled = np.flatnonzero(np.append(words.starts, len(texts.data))[word] < lines.ends)
+    own = lines.text_of()[filled]
+    line_order, earlier, more_doubt = _twins(lines, own, lines.hashes()[filled], filled, 1)
+    dup = np.bincount(own[line_order[earlier]], minlength=len(texts)).astype(np.int64)
+    for i in {*doubt.tolist(), *more_doubt.tolist()}:  # different bytes under one hash: count them plainly
+        repeated[i], dup[i] = _plain_repeats(texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes())
     return {
         "n_words": n.astype(np.int64),
-        "word_chars": per_text(in_word, texts.offsets),
-        "n_symbols": per_text(SYMBOL[data], texts.offsets),
-        "n_dup_lines": np.bincount(ld[earlier], minlength=len(texts)).astype(np.int64),
-        "n_repeat_words": per_text(repeated, words.bounds),
+        "word_chars": texts.count(NOSPACE & ~INNER),
+        "n_symbols": texts.count(SYMBOL),
+        "n_dup_lines": dup,
+        "n_repeat_words": repeated,
     }
 
 
+def _plain_repeats(text: bytes) -> tuple[int, int]:
+    """(words in repeated windows of 3, repeated lines) of one text."""
+    w = [x for x in re.split(rb"[\x20\x09-\x0D]+", text) if x]
+    seen = Counter(zip(w, w[1:], w[2:]))
+    inside = {i + k for i, g in enumerate(zip(w, w[1:], w[2:])) if seen[g] > 1 for k in range(3)}
+    lines = [x for x in text.split(b"\n") if x.strip(b" \t\n\x0b\x0c\r")]
+    return len(inside), len(lines) - len(set(lines))
+
+
 @dataclass
 class References:
     """classes[language, class]: shares; common[language]: (word hashes sorted, shares) of its common words."""
@@ -135,23 +166,23 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", commo
     """The references over all rows. What reaches the driver is bounded by 1 / common_share words a language."""
     sc = docs.sparkSession.sparkContext
 
-    def frequent(texts: Texts):
-        keys, n, total = _word_counts(texts)
-        keep = n >= common_share * total
-        return keys[keep], n[keep]
+    width = len(CLASSES)
 
-    def shares(texts: Texts):
-        counts = class_counts(texts).sum(0)
-        _, _, total = _word_counts(texts)
-        return [*range(len(CLASSES)), -1], [*counts.tolist(), total]
+    def first(texts: Texts):
+        """Rows (class, word, n): characters of each class, all words as class -1, and as class -2 the words that are frequent here."""
+        n = np.bincount(CLASS_OF, np.bincount(texts.data, minlength=256), width + 1)[:width].astype(np.int64)
+        keys, times, total = _word_counts(texts)
+        often = times >= common_share * total
+        kinds = np.concatenate([np.arange(width), [-1], np.full(often.sum(), -2)])
+        return kinds, np.concatenate([np.zeros(width + 1, dtype=np.int64), keys[often]]), np.concatenate([n, [total], times[often]])
 
-    totals = _by_language(docs, text_col, lang_col, "class int, n long", shares).groupBy("lang", "class").agg(F.sum("n").alias("n")).toArrow().to_pylist()
+    facts = stored(_by_language(docs, text_col, lang_col, "class int, word long, n long", first).groupBy("lang", "class", "word").agg(F.sum("n").alias("n")), "facts")
+    totals = facts.filter(F.col("class") >= -1).select("lang", "class", "n").toArrow().to_pylist()
     words = {r["lang"]: r["n"] for r in totals if r["class"] < 0}
     languages = sorted(x for x, n in words.items() if n >= reference_words)
     if not languages:
         return References([], np.zeros((0, len(CLASSES))), [])
-    candidates = _by_language(docs, text_col, lang_col, "word long, n long", frequent).select("lang", "word").distinct()
-    got = candidates.limit(most_candidates + 1).select("word").distinct().toArrow().column(0).to_numpy()
+    got = facts.filter(F.col("class") == -2).select("word").distinct().limit(most_candidates + 1).toArrow().column(0).to_numpy()
     only = sc.broadcast(np.sort(got)) if len(got) <= most_candidates else None
 
     def counted(texts: Texts):
