@@ -7,8 +7,12 @@ next shorter context is asked; below the empty context a byte costs 8 bits. The
 shortest code wins, and the score is its share of exp(-code length).
 
 Texts are lower-cased (A-Z) and each run of bytes that are neither ASCII letters nor part of a longer character counts
-as one space. The trees are learned from at most `rows_per_language` different whole texts of each language, those with
-the least text hash, and hold at most `nodes_per_order` grams of each length in each language (those seen most); both bounds are parameters.
+as one space. The trees are learned from a bounded sample of whole texts and hold every gram of it. Of each language the sample
+takes different texts in order of a hash, up to `sample_bytes` shared equally among the languages (one text at least; a text longer
+than `long_bytes` only if there are no others); languages are the `most_languages` with the most text. The model's size is linear in these bounds:
+languages are kept in groups of GROUP, each with tables of its own grams.
+
+Scoring takes PIECE bytes at a time, so its memory depends neither on a text's length nor on the number of languages.
 
 Defined results: a null text or one without letters is `und` with score 0; so is every text if nothing could be learned.
 Ties between languages go to the least name. Rows with a null language or text teach nothing. All rows are kept;
@@ -17,6 +21,7 @@ input columns named as a result (lang_pred, score, bits) give way to it.
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,10 +31,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Texts, annotate, least, per_text, sliced, stored
+from .common import Texts, annotate, per_text, sliced, stored
 
 _LETTER = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
 _SPACE = 32
+#: Bytes that are scored at once.
+PIECE = 1 << 16
+#: Languages that share tables.
+GROUP = 8
 
 
 class KeyTable:
@@ -66,33 +75,50 @@ class KeyTable:
         return out
 
 
-def normalised(texts: Texts) -> Texts:
+def normalised(texts: Texts, after_letter: bool = False) -> Texts:
+    """The texts as they are scored; after_letter: the first text goes on from a part that ended with a letter."""
     low = texts.lowered()
     letter = _LETTER[low.data]
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     heads = low.offsets[:-1][low.offsets[:-1] < len(letter)]
     keep[heads] = letter[heads]  # no leading space
+    if after_letter and len(keep):
+        keep[0] = True
     data = np.where(letter, low.data, np.uint8(_SPACE))[keep]
     total = np.zeros(len(keep) + 1, dtype=np.int64)
     np.cumsum(keep, out=total[1:])
     return Texts(data, total[low.offsets])
 
 
-def gram_keys(texts: Texts, order: int) -> np.ndarray:
-    """For each byte, it and the `order` bytes before it, packed; before a text stand spaces."""
-    data = texts.data.astype(np.int64)
-    key = data.copy()
+def gram_keys(texts: Texts, order: int, before: bytes = b"") -> np.ndarray:
+    """For each byte, it and the `order` bytes before it, packed; before a text stand spaces, before the first one `before`."""
+    lead = np.frombuffer(before.rjust(order), dtype=np.uint8)[len(before.rjust(order)) - order :]
+    data = np.concatenate([lead, texts.data]).astype(np.int64)
+    key = data[order:].copy()
+    heads = texts.offsets[1:-1]
     for j in range(1, order + 1):
-        prev = np.full(len(data), _SPACE, dtype=np.int64)
-        prev[j:] = data[:-j] if j < len(data) else data[:0]
+        prev = data[order - j : len(data) - j].copy()
         for k in range(j):  # bytes that belong to the text before
-            at = texts.offsets[:-1] + k
-            prev[at[at < texts.offsets[1:]]] = _SPACE
+            at = heads + k
+            prev[at[at < texts.offsets[2:]]] = _SPACE
         key |= prev << (8 * j)
     return key
 
 
+def _parts(texts: Texts, order: int) -> Iterator[tuple[Texts, int, np.ndarray]]:
+    """(normalised part, number of its first text, gram keys); a text longer than PIECE goes on from part to part."""
+    tail, letter = b"", False
+    for part, i, goes_on in texts.parts(PIECE):
+        if not goes_on:
+            tail, letter = b"", False
+        norm = normalised(part, letter)
+        yield norm, i, gram_keys(norm, order, tail)
+        last = norm.data[norm.offsets[-2] :].tobytes()
+        tail = ((tail if len(part) == 1 else b"") + last)[-order:] if order else b""
+        letter = bool(len(part.data)) and bool(_LETTER[part.data[-1] | 32 if 65 <= part.data[-1] <= 90 else part.data[-1]])
+
+
 @dataclass
 class Model:
     """keys[k]: grams of k + 1 bytes; cost[k][gram, language] in bits; escape[k][gram, language]: of the gram as a context."""
@@ -159,74 +185,116 @@ def _build(counts: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]], language
     return m
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = 4, rows_per_language: int = 1000, nodes_per_order: int = 100_000) -> Model:
-    """The trees of all languages that docs names. Counting runs on the executors; the driver gets the frozen counts."""
+def sample(docs: DataFrame, text_col: str, lang_col: str, sample_bytes: int, long_bytes: int, most_languages: int) -> DataFrame:
+    """(lang, text) of the sample.
+
+    Texts are taken by 64 x 64 classes of their hash, finer towards 0, so that how many classes fit follows from sums
+    by language and class: no language's texts meet in one task, and copies count once.
+    """
     rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).dropna()
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    last = stored(least(rows.select("lang", "h").distinct(), "lang", ["h"], rows_per_language).groupBy("lang").agg(F.max("h").alias("last")), "last").withColumnRenamed("lang", "of")
-    last = F.broadcast(last) if last.count() <= 100_000 else last  # a row for each language
-    chosen = rows.join(last, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last"))).dropDuplicates(["lang", "h"]).select("lang", "text")
+    h = F.xxhash64("text")
+    rows = rows.withColumn("h", h).withColumn("bytes", F.octet_length("text").cast("long"))
+    shrunk = F.floor(F.log2(F.shiftrightunsigned("h", 1).cast("double") + 2.0) * 64).cast("int")
+    rows = rows.withColumn("class", shrunk + F.when(F.col("bytes") > long_bytes, 1 << 13).otherwise(0))
+    single = rows.groupBy("lang", "class", "h").agg(F.min("bytes").alias("bytes"))
+    sums = stored(single.groupBy("lang", "class").agg(F.sum("bytes").alias("bytes"), F.min("h").alias("one")), "sample")
+    known = sums.groupBy("lang").agg(F.sum("bytes").alias("held")).orderBy(F.desc("held"), "lang").limit(most_languages).select("lang")
+    share = sample_bytes // max(1, known.count())
+    so_far = Window.partitionBy("lang").orderBy("class")
+    sums = sums.join(F.broadcast(known), "lang").withColumns({"upto": F.sum("bytes").over(so_far), "i": F.row_number().over(so_far)})
+    # A class that alone is above the share gives one text.
+    taken = sums.filter((F.col("upto") <= share) | (F.col("i") == 1)).groupBy("lang").agg(F.max("class").alias("last"), F.max(F.when(F.col("upto") > share, F.col("one"))).alias("only"))
+    taken = stored(taken.withColumnRenamed("lang", "of"), "taken")
+    met = rows.join(F.broadcast(taken), (F.col("lang") == F.col("of")) & (F.col("class") <= F.col("last")) & (F.col("only").isNull() | (F.col("only") == F.col("h"))))
+    return met.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
+
+
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = 4, sample_bytes: int = 2 << 20, long_bytes: int = 1 << 16, most_languages: int = 512) -> list[Model]:
+    """The trees of all languages that docs names, GROUP languages a model. Counting runs on the executors; the driver gets the frozen counts."""
+    chosen = sample(docs, text_col, lang_col, sample_bytes, long_bytes, most_languages)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in sliced(batch, "text"):
-                norm = normalised(texts)
                 names = piece.column(0).dictionary_encode()
-                which = np.repeat(np.asarray(names.indices), np.diff(norm.offsets))
-                full = gram_keys(norm, order)
-                for j, name in enumerate(names.dictionary.to_pylist()):
-                    mine = full[which == j]
-                    for k in range(order + 1):
-                        grams, n = np.unique(mine & ((1 << (8 * (k + 1))) - 1), return_counts=True)
-                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array([k] * len(grams), pa.int32()), pa.array(grams), pa.array(n.astype(np.int64))], names=["lang", "k", "gram", "n"])
+                index = np.asarray(names.indices)
+                for norm, i, full in _parts(texts, order):
+                    which = np.repeat(index[i : i + len(norm)], np.diff(norm.offsets))
+                    for j, name in enumerate(names.dictionary.to_pylist()):
+                        mine = full[which == j]
+                        for k in range(order + 1) if len(mine) else ():
+                            grams, n = np.unique(mine & ((1 << (8 * (k + 1))) - 1), return_counts=True)
+                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array([k] * len(grams), pa.int32()), pa.array(grams), pa.array(n.astype(np.int64))], names=["lang", "k", "gram", "n"])
 
     seen = chosen.mapInArrow(count, "lang string, k int, gram long, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
-    seen = seen.filter((F.col("k") < 2) | (F.col("n") > 1))
-    kept = seen.withColumn("i", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))).filter(F.col("i") <= nodes_per_order)
-    got = kept.select("lang", "k", "gram", "n").toArrow()
-    lang, k, gram, n = (got.column(i).to_numpy() for i in range(4))
-    languages = sorted(set(lang.tolist()), key=lambda x: x.encode())
-    counts: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]] = {}
-    for name in languages:
-        for i in range(order + 1):
-            at = np.flatnonzero((lang == name) & (k == i))
-            at = at[np.argsort(gram[at])]
-            counts.setdefault(i, {})[name] = gram[at], n[at]
-    return _build(counts, languages, order)
-
-
-def score(texts: Texts, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    got = seen.toArrow()
+    names, lang = np.unique(got.column("lang").to_numpy().astype(object), return_inverse=True) if len(got) else (np.zeros(0, dtype=object), np.zeros(0, dtype=int))
+    k, gram, n = (got.column(c).to_numpy() for c in ("k", "gram", "n"))
+    by_bytes = sorted(range(len(names)), key=lambda i: names[i].encode())
+    models = []
+    for g in range(0, len(names), GROUP):
+        counts: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]] = {}
+        for i in by_bytes[g : g + GROUP]:
+            for o in range(order + 1):
+                at = np.flatnonzero((lang == i) & (k == o))
+                at = at[np.argsort(gram[at])]
+                counts.setdefault(o, {})[names[i]] = gram[at], n[at]
+        models.append(_build(counts, [names[i] for i in by_bytes[g : g + GROUP]], order))
+    return models
+
+
+def _has_letter(raw: bytes) -> bool:
+    reader = codecs.getincrementaldecoder("utf-8")("replace")
+    return any(any(map(str.isalpha, reader.decode(raw[i : i + PIECE]))) for i in range(0, len(raw), PIECE))
+
+
+def code_lengths(texts: Texts, models: list[Model]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """([text, language] code lengths in bits, each text's bytes, its ASCII letters), of the normalised texts."""
+    width = [len(m.languages) for m in models]
+    total = np.zeros((len(texts), sum(width)))
+    size, ascii_letters = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
+    for norm, i, keys in _parts(texts, models[0].order):
+        own = slice(i, i + len(norm))
+        size[own] += np.diff(norm.offsets)
+        ascii_letters[own] += per_text((norm.data >= 97) & (norm.data <= 122), norm.offsets)
+        at = 0
+        for m, w in zip(models, width, strict=True):
+            if len(keys):
+                total[own, at : at + w] += per_text(m.bits(keys, m.order), norm.offsets)
+            at += w
+    return total, size, ascii_letters
+
+
+def score(texts: Texts, models: list[Model]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the language or -1, its share, bits a byte) of each text."""
-    norm = normalised(texts)
     n = len(texts)
-    size = np.diff(norm.offsets)
-    if not model.languages:
+    if not models:
         return np.full(n, -1), np.zeros(n), np.zeros(n)
-    total = per_text(model.bits(gram_keys(norm, model.order), model.order), norm.offsets) if len(norm.data) else np.zeros((n, len(model.languages)))
+    total, size, ascii_letters = code_lengths(texts, models)
     best = total.argmin(1)
     low = total.min(1)
     share = 1 / np.exp2(np.maximum(low[:, None] - total, -1000)).sum(1)
     bits = low / np.maximum(size, 1)
     # A text whose letters, if any, are all beyond ASCII is looked at by character: most signs there aren't letters.
     none = size == 0
-    ascii_letters = per_text((norm.data >= 97) & (norm.data <= 122), norm.offsets) if len(norm.data) else np.zeros(n)
     for i in np.flatnonzero((ascii_letters == 0) & ~none):
-        none[i] = not any(map(str.isalpha, norm.data[norm.offsets[i] : norm.offsets[i + 1]].tobytes().decode("utf-8", "replace")))
+        none[i] = not _has_letter(texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes())
     return np.where(none, -1, best), np.where(none, 0.0, share), np.where(none, 0.0, bits)
 
 
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType())])
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, models: list[Model], text_col: str = "text") -> DataFrame:
     """docs with lang_pred, score and bits (code length a byte under the best language's tree)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by nodes_per_order x languages
+    shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by train's sample_bytes
 
     def make():
-        model, names = shared.value, np.array([*shared.value.languages, "und"], dtype=object)
+        models = shared.value
+        names = np.array([*(x for m in models for x in m.languages), "und"], dtype=object)
 
         def run(texts: Texts) -> dict:
-            which, share, bits = score(texts, model)
+            which, share, bits = score(texts, models)
             return {"lang_pred": names[which], "score": share, "bits": bits}
 
         return run

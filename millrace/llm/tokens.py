@@ -5,9 +5,10 @@ in ORC's run-length encoding. Stripes are `stripe_bytes` long, a row index entry
 doc_id has Bloom filters, so a reader can take stripes in parallel and skip those that can't hold an id (see lookup()).
 part is the place of the row's range among the ranges that the ids were dealt to.
 
-Encoding: the text is cut at ASCII white space, and before a full stop or comma that follows an ASCII letter; none of these cuts lies
-inside a token of the tokenizer's own splitting, so the ids of the pieces, one after another, are the text's ids (cutting()
-checks that for a tokenizer file and else leaves texts whole). Each worker keeps the ids of up to CACHE pieces.
+Encoding: the text is cut at ASCII white space, and before a full stop or comma that follows an ASCII letter. For a tokenizer
+whose own splitting never crosses such a place the ids of the pieces, one after another, are the text's ids; a probe text and the
+first text of every task are encoded both ways, and where the ids differ texts stay whole. A task keeps the ids of pieces by their bytes, up to
+CACHE_BYTES, and drops them at its end.
 
 Defined results: a null or empty text has only the end id; rows with a null doc_id come first; rows that share a doc_id
 keep their own spans, in order of their text's hash; extra columns aren't stored.
@@ -17,7 +18,10 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +29,31 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Texts, lists, scratch, sliced
-from .langid import KeyTable
+from .common import Runs, Texts, lists, scratch, sliced
 
-CACHE = 1_500_000
+#: Memory that the pieces of a task and their ids may take, about.
+CACHE_BYTES = 64 << 20
+#: What a piece takes beyond its bytes and ids.
+_ENTRY = 200
+#: Bytes of text that are encoded at once: of more of them fewer pieces are different.
+_SLICE = 2 << 20
+#: Pieces that the tokenizer gets at once.
+_AT_ONCE = 1000
 _CUT = np.array([b not in b" \t\n\r" for b in range(256)])
 _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
 _STOP = np.array([b in b".," for b in range(256)])
 
+#: The characters that byte-level vocabularies write for bytes: printable ones stand for themselves, the others follow from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_BYTE_CHARS = "".join(chr(b if b in _PRINTED else 256 + _OTHERS.index(b)) for b in range(256))
+
 #: Text on which a tokenizer shows whether cutting leaves its ids alone.
 _PROBE = "It's The end, of.the  line.\n\nWe're 12.5, ok?,. \t A.B,C d'Or été, naïve. x,y.z <|endoftext|>. 　a b. é, f."
 
 
-def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, hashes, bounds) of the pieces of each text."""
+def pieces(texts: Texts) -> Runs:
+    """The pieces of each text."""
     data = texts.data
     runs = texts.runs(_CUT)
     at = np.zeros(len(data), dtype=bool)
@@ -46,9 +61,34 @@ def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     at[texts.offsets[:-1][texts.offsets[:-1] < len(data)]] = False
     cuts = np.flatnonzero(at)
     starts = np.sort(np.concatenate([runs.starts, cuts]))
-    ends = np.sort(np.concatenate([runs.ends, cuts]))
-    runs.starts, runs.ends, runs.bounds = starts, ends, np.searchsorted(starts, texts.offsets)
-    return starts, ends, runs.hashes(), runs.bounds
+    return Runs(texts, starts, np.sort(np.concatenate([runs.ends, cuts])), np.searchsorted(starts, texts.offsets))
+
+
+class Cache:
+    """Ids by bytes in two generations: when the younger is full it becomes the older, whose entries are dropped unless asked for again."""
+
+    def __init__(self, limit: int = CACHE_BYTES):
+        self.limit, self.held = limit // 2, 0
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def put(self, piece: bytes, ids: bytes) -> None:
+        self.held += len(piece) + len(ids) + _ENTRY
+        if self.held > self.limit:
+            self.young, self.old, self.held = {}, self.young, len(piece) + len(ids) + _ENTRY
+        self.young[piece] = ids
+
+    def find(self, pieces: list[bytes]) -> tuple[list[bytes | None], list[int]]:
+        """The ids of the pieces, and the places of those that are unknown."""
+        found, young, old, new = list(map(self.young.get, pieces)), self.young, self.old, []
+        for i in [i for i, x in enumerate(found) if x is None]:
+            ids = young.get(pieces[i]) or old.get(pieces[i])
+            if ids is None:
+                new.append(i)
+            else:
+                found[i] = ids
+                self.put(pieces[i], ids)
+        return found, new
 
 
 class Encoder:
@@ -59,52 +99,39 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-        self.cuts = self._cutting()
+        self.tokenize = self.tokenizer.model.tokenize
+        self.cache = Cache()
+        self.cuts = self.agrees(_PROBE)
         self.plain = self.cuts and self._plain()
 
-    def clear(self) -> None:
-        """Entry e has the ids ids[begin[e]:begin[e] + size[e]]; two tables lead from keys to entries, a large one and one of recent keys."""
-        none = np.zeros(0, dtype=np.int64)
-        self.begin, self.size, self.ids = none, none, np.zeros(0, dtype=np.int32)
-        self.tables = [(KeyTable(none), none), (KeyTable(none), none)]
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Entries, -1 where a key is unknown."""
-        out = np.full(len(keys), -1, dtype=np.int64)
-        for table, entry in self.tables:
-            left = np.flatnonzero(out < 0)
-            at = table.find(keys[left])
-            out[left[at >= 0]] = entry[at[at >= 0]]
-        return out
-
-    def _add(self, keys: np.ndarray, entries: np.ndarray) -> None:
-        main, recent = self.tables
-        keys, entries = np.concatenate([recent[0].keys, keys]), np.concatenate([recent[1], entries])
-        full = len(keys) > max(50_000, len(main[0].keys) // 4)
-        if full:  # so each key is moved into the large table's successors a few times only
-            keys, entries = np.concatenate([main[0].keys, keys]), np.concatenate([main[1], entries])
-        order = np.argsort(keys)
-        made = KeyTable(keys[order]), entries[order]
-        none = np.zeros(0, dtype=np.int64)
-        self.tables = [made, (KeyTable(none), none)] if full else [main, made]
-
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        out = []
+        for i in range(0, len(texts), _AT_ONCE):
+            out += [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + _AT_ONCE], add_special_tokens=False)]
+        return out
 
-    def _cutting(self) -> bool:
-        data = np.frombuffer(_PROBE.encode(), dtype=np.uint8)
-        starts, ends, _, _ = pieces(Texts(data, np.array([0, len(data)])))
-        parts = self.whole([data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)])
-        return [x for p in parts for x in p] == self.whole([_PROBE])[0]
+    def agrees(self, text: str) -> bool:
+        """Whether cutting leaves the ids of this text alone."""
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        runs = pieces(Texts(data, np.array([0, len(data)])))
+        parts = self.whole([data[a:b].tobytes().decode() for a, b in zip(runs.starts, runs.ends, strict=True)])
+        return [x for p in parts for x in p] == self.whole([text])[0]
 
     def _plain(self) -> bool:
-        """Whether the model alone gives the ids of lower-case ASCII words."""
-        words = ["a", "the", "tokenizer", "zyxwvutsrq", "nation", "onthered"]
-        return [self._word(w) for w in words] == self.whole(words)
-
-    def _word(self, word: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
+        """Whether the model alone gives the ids of words of Latin letters, in lower case and as characters that stand for bytes."""
+        words = ["a", "the", "The", "TOKENIZER", "zyxwvutsrq", "nation", "é", "Ñandú", "größe", "ÉTÉ", "onthered", "œuvre"]
+        return [self._letters(w.encode()) for w in words] == self.whole(words)
+
+    def _letters(self, word: bytes) -> list[int] | None:
+        """The ids of a word of Latin letters; None if it is anything else."""
+        if word.isalpha():
+            return [t.id for t in self.tokenize(word.lower().decode())]
+        if word.isascii():
+            return None
+        low = normalize("NFC", word.decode()).lower()
+        if not low.isalpha() or max(low) > "\u024f":
+            return None
+        return [t.id for t in self.tokenize(charmap_decode(low.encode(), "strict", _BYTE_CHARS)[0])]
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the texts."""
@@ -112,43 +139,45 @@ class Encoder:
             own = self.whole([texts.data[a:b].tobytes().decode() for a, b in zip(texts.offsets[:-1], texts.offsets[1:], strict=True)])
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int64)
             return np.array([i for x in own for i in x], dtype=np.int32), bounds
-        starts, ends, h, bounds = pieces(texts)
-        keys, first, which = np.unique(h.view(np.int64), return_index=True, return_inverse=True)
-        at = self.find(keys)
-        if (at < 0).any():
-            if len(self.size) > CACHE:
-                self.clear()
-                at = np.full(len(keys), -1, dtype=np.int64)
-            self._learn(texts.data, keys, first, at < 0, starts, ends)
-            at = self.find(keys)
-        entry = at[which]
-        n = self.size[entry]
-        end = np.cumsum(n)
-        total = np.concatenate([[0], end])
-        source = np.arange(total[-1]) + np.repeat(self.begin[entry] - (end - n), n)
-        return self.ids[source], total[bounds]
-
-    def _learn(self, data: np.ndarray, keys: np.ndarray, first: np.ndarray, new: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        words = [data[starts[i] : ends[i]].tobytes().decode() for i in first[new]]
-        found: list[list[int] | None] = [self._word(w.lower()) if self.plain and w.isascii() and w.isalpha() else None for w in words]
-        rest = [i for i, x in enumerate(found) if x is None]
-        for i, ids in zip(rest, self.whole([words[i] for i in rest]), strict=True):
+        runs = pieces(texts)
+        _, first, which = np.unique(runs.hashes(), return_index=True, return_inverse=True)
+        odd = np.flatnonzero(~runs.same(np.arange(len(runs)), first[which]))
+        if len(odd):  # other bytes under one hash: pieces of their own
+            which[odd] = len(first) + np.arange(len(odd))
+            first = np.concatenate([first, odd])
+        raw = texts.data.tobytes()
+        own = [raw[a:b] for a, b in zip(runs.starts[first].tolist(), runs.ends[first].tolist(), strict=True)]
+        found, new = self.cache.find(own)
+        for i, ids in zip(new, self._learn([own[i] for i in new]), strict=True):
             found[i] = ids
-        sizes = np.array([len(x) for x in found], dtype=np.int64)
-        at = len(self.size)
-        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], dtype=np.int32)])
-        self._add(keys[new], np.arange(at, at + len(sizes)))
+        n = np.array([len(x) for x in found], dtype=np.int64) >> 2
+        ids = np.frombuffer(b"".join(found), dtype=np.int32)
+        begin = np.cumsum(n) - n
+        n = n[which]
+        total = np.concatenate([[0], np.cumsum(n)])
+        source = np.arange(total[-1]) + np.repeat(begin[which] - total[:-1], n)
+        return ids[source], total[runs.bounds]
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        letters = self._letters if self.plain else lambda word: None
+        out = list(map(letters, words))
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self.whole([words[i].decode() for i in rest]), strict=True):
+            out[i] = ids
+        packed = [array("i", x).tobytes() for x in out]
+        for w, ids in zip(words, packed, strict=True):
+            self.cache.put(w, ids)
+        return packed
 
 
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """This process's encoder for a tokenizer file."""
+    """This process's encoder for a tokenizer file, without the ids of earlier tasks."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].cache = Cache()
     return _encoders[path]
 
 
@@ -158,15 +187,19 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", end_id: int
     out = T.StructType([*keep, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc, looked = encoder(tokenizer), False
         for batch in batches:
-            for piece, texts in sliced(batch, text_col):
+            for piece, texts in sliced(batch, text_col, _SLICE):
+                if enc.cuts and not looked and (size := np.diff(texts.offsets)).any():
+                    i = int(np.flatnonzero(size)[0])
+                    looked, enc.cuts = True, enc.agrees(texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes().decode())
                 ids, bounds = enc.encode(texts)
                 if end_id is not None:
                     ids = np.insert(ids, bounds[1:], end_id)
                     bounds = bounds + np.arange(len(bounds))
                 kept = [piece.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(bounds)), lists(ids, bounds, pa.int32())], names=out.fieldNames())
+        enc.cache = Cache()
 
     return docs.select(*[F.col(f"`{f.name}`") for f in keep], F.col(f"`{text_col}`")).mapInArrow(run, out)
 
@@ -221,9 +254,9 @@ def checksums(stored: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("ids"))
-            flat = np.asarray(column.values).astype("<u4")
+            flat = np.asarray(column.values)
             at = np.asarray(column.offsets)
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
+            crc = [zlib.crc32(flat[a:b].astype("<u4").tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
             arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(crc, type=pa.int64())], names=out.fieldNames())
 
