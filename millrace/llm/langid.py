@@ -158,9 +158,11 @@ class Model:
 def _build(counts: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]], languages: list[str], order: int) -> Model:
     """counts[k][language]: grams of k + 1 bytes and how often each was seen."""
     m = Model(languages, order, [], [], [])
+    every: list[np.ndarray] = [np.zeros(0, dtype=np.int64)]
+    for k in range(order, -1, -1):  # contexts that reach back before a text are no grams of it, but are asked for
+        every.insert(0, np.unique(np.concatenate([*(x[0] for x in counts.get(k, {}).values()), every[0] >> 8])))
     for k in range(order + 1):
-        seen = counts.get(k, {})
-        keys = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(x[0] for x in seen.values())]))
+        seen, keys = counts.get(k, {}), every[k]
         n = np.zeros((len(keys), len(languages)))
         for j, name in enumerate(languages):
             if name in seen:
@@ -170,8 +172,7 @@ def _build(counts: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]], language
             t, d = n.sum(0), (n > 0).sum(0)
             m.root = np.where(d > 0, -np.log2(np.maximum(d, 1) / np.maximum(t + d, 1)), 0).astype(np.float32)
         else:
-            context = m.tables[k - 1].find(keys >> 8)  # pruned contexts are unknown: their grams are left out
-            keys, n, context = keys[context >= 0], n[context >= 0], context[context >= 0]
+            context = m.tables[k - 1].find(keys >> 8)
             t = np.zeros((len(m.tables[k - 1].keys), len(languages)))
             d = np.zeros_like(t)
             np.add.at(t, context, n)
