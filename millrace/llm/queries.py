@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from . import decontam, langid, license, mixing, ngram_join, quality, sharding, tokens, toxicity, warc
@@ -26,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "group_id", "n_links", "n_shingles")
 
 
 @query
@@ -50,6 +48,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # where the machine has it; the other queries don't need it
+
     return tokens.roundtrip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 

@@ -1,21 +1,22 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
 Terms are lower-cased (A-Z) words and their prefixes of 4, 5 and 6 bytes, so that inflected forms of a word share
-terms. The vocabulary is the terms that labelled examples of either class have significantly more often (likelihood
-ratio at least `least_ratio`, at least `least_examples` examples, the `most_terms` highest). Examples and texts are vectors of
-(1 + ln tf) * idf over it, of length 1. The k examples of greatest cosine vote, each with cosine ** sharpness times the weight of its
-class, against a prior of weight `prior_weight`: the share of toxic rows among labelled texts without terms. A class's weight is its labelled
-rows over its examples, so the sample's balance doesn't shift the scores.
-
-The index keeps postings by term within blocks of BLOCK examples and each term's greatest weight in each block. Blocks are taken
-in order of their bounds until no bound exceeds the k-th cosine found, so the neighbours are exact. Of
-equal cosines the lower place in the index wins.
-
-Examples are at most `rows_per_class` different whole labelled texts of each class, those with the least text hash.
-
-Defined results: a text without terms (null and empty ones too) scores the prior; without labelled rows of both classes every
-score is the share of toxic rows, or 0; a label that repeats counts once, toxic if any says so; null labels teach nothing. All rows are kept; input columns named
-as a result (score, evidence) give way.
+terms; every term of the examples is in the index. Examples and texts are vectors of (1 + ln tf) * idf * lift over them, of length 1;
+lift = (G2 / (G2 + half_lift)) ** 2, with G2 the likelihood ratio of the term between the classes, lies between 0 and 1 and sets no term
+to nothing unless the classes have it equally often. The k examples of greatest cosine vote, each with
+cosine ** sharpness times the weight of its class, against a prior of weight `prior_weight`, the share of toxic rows. A class's
+weight is its labelled rows over its examples, so the sample's balance doesn't shift the scores.
+
+The index keeps, for each term, its postings by blocks of BLOCK examples and its greatest weight in each block. A text's blocks are
+taken in order of their bounds until no bound reaches the k-th cosine found, so the neighbours are exact. Of equal cosines the
+lower place in the index wins. Texts are taken AT_ONCE together, so that each step is an array operation.
+
+Examples are at most `rows_per_class` different whole labelled texts of each class, those with the least text hash, texts
+longer than `long_bytes` last: both bound the index.
+
+Defined results: a text without known terms (null and empty ones too) scores the prior; without labelled rows of both classes every
+score is the share of toxic rows, or 0; a label that repeats counts once, toxic if any says so; labels that aren't 0 or 1, or null, teach
+nothing. All rows are kept; input columns named as a result (score, evidence) give way.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from .common import ALNUM, Runs, Texts, annotate, least, lists, sliced, stored
 from .langid import KeyTable
 
 BLOCK = 64
+#: Texts that are compared at once.
+AT_ONCE = 64
 PREFIXES = (4, 5, 6)
 
 
@@ -49,12 +52,19 @@ def terms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out).view(np.int64), np.concatenate(docs)
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which range, element) for the elements of the ranges lo[i]:hi[i], one after another."""
+    n = hi - lo
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) + np.repeat(lo - (np.cumsum(n) - n), n)
+
+
 @dataclass
 class Index:
     """Examples in index order, and what a query needs of them."""
 
     vocabulary: KeyTable
-    idf: np.ndarray
+    scale: np.ndarray
     toxic: np.ndarray
     weight: np.ndarray
     names: list
@@ -63,73 +73,82 @@ class Index:
     sharpness: float
     prior_weight: float
 
-    def build(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """rows: (term places, weights) of each example."""
-        n, width = len(rows), len(self.idf)
-        self.blocks = -(-n // BLOCK)
-        self.bound = np.zeros((width, self.blocks))
-        post = [(t, i, w) for i, (at, ws) in enumerate(rows) for t, w in zip(at.tolist(), ws.tolist(), strict=True)]
-        post.sort()
-        self.term = np.array([p[0] for p in post], dtype=np.int64)
-        self.example = np.array([p[1] for p in post], dtype=np.int64)
-        self.value = np.array([p[2] for p in post])
-        np.maximum.at(self.bound, (self.term, self.example // BLOCK), self.value)
-        # Where the postings of a term in a block begin.
-        key = self.term * self.blocks + self.example // BLOCK
-        self.begin = np.searchsorted(key, np.arange(width * self.blocks + 1))
-
-    def nearest(self, at: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, cosines) of the k nearest examples that share a term, best first."""
-        bounds = q @ self.bound[at]
-        order = np.argsort(-bounds, kind="stable")
-        best_i, best_s = np.zeros(0, dtype=np.int64), np.zeros(0)
-        step, done = 2, 0
-        while done < len(order):
-            take = order[done : done + step]
-            kth = best_s[self.k - 1] if len(best_s) >= self.k else 0.0
-            take = take[(bounds[take] >= kth) & (bounds[take] > 0)]
-            if not len(take):
-                break
-            score = np.zeros((len(take), BLOCK))
-            for t, x in zip(at.tolist(), q.tolist(), strict=True):
-                for j, b in enumerate(take.tolist()):
-                    lo, hi = self.begin[t * self.blocks + b], self.begin[t * self.blocks + b + 1]
-                    score[j, self.example[lo:hi] - b * BLOCK] += x * self.value[lo:hi]
-            j, slot = np.nonzero(score)
-            best_i = np.concatenate([best_i, take[j] * BLOCK + slot])
-            best_s = np.concatenate([best_s, score[j, slot]])
-            keep = np.lexsort((best_i, -best_s))[: self.k]
-            best_i, best_s = best_i[keep], best_s[keep]
+    def build(self, term: np.ndarray, example: np.ndarray, value: np.ndarray) -> None:
+        """Postings: the term at place term[i] has weight value[i] in example[i]."""
+        order = np.lexsort((example, term))
+        term, self.example, self.value = term[order], example[order].astype(np.int32), value[order]
+        self.blocks = -(-len(self.toxic) // BLOCK)
+        # Runs of postings of one term in one block, and where each term's runs begin.
+        key = term * max(1, self.blocks) + self.example // BLOCK
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
+        self.run_begin = np.append(first, len(key))
+        self.run_block = (self.example[first] // BLOCK).astype(np.int64)
+        self.run_most = np.maximum.reduceat(self.value, first) if len(first) else np.zeros(0)
+        self.term_begin = np.searchsorted(term[first], np.arange(len(self.scale) + 1))
+
+    def nearest(self, bounds: np.ndarray, at: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """[text, example] cosines, of every example that may be among the k nearest; -1 elsewhere. Text i has the terms at[bounds[i]:bounds[i + 1]] with weights q."""
+        n, blocks = len(bounds) - 1, self.blocks
+        out = np.full((n, blocks * BLOCK), -1.0)
+        entry, run = _ranges(self.term_begin[at], self.term_begin[at + 1])
+        pair = np.repeat(np.arange(n), np.diff(bounds))[entry] * blocks + self.run_block[run]
+        most = np.bincount(pair, q[entry] * self.run_most[run], minlength=n * blocks).reshape(n, blocks)
+        order = np.argsort(pair, kind="stable")
+        entry, run, pair_begin = entry[order], run[order], np.searchsorted(pair[order], np.arange(n * blocks + 1))
+        ranked = np.argsort(-most, axis=1, kind="stable")
+        done, step = 0, 1
+        live = np.arange(n)
+        while done < blocks and len(live):
+            take = ranked[live, done : done + step]
+            full = out.shape[1] > self.k
+            kth = np.partition(out[live], -self.k, axis=1)[:, -self.k] if full else np.full(len(live), -1.0)
+            bound = np.take_along_axis(most[live], take, axis=1)
+            wanted = (bound > 0) & (bound >= kth[:, None] - 1e-9)
+            before, live = live, live[wanted[:, 0]]  # blocks come by falling bounds: where the first is too low, all are
+            text, block = np.broadcast_to(before[:, None], take.shape)[wanted], take[wanted]
+            own = text * blocks + block
+            which, e = _ranges(pair_begin[own], pair_begin[own + 1])
+            of, posting = _ranges(self.run_begin[run[e]], self.run_begin[run[e] + 1])
+            slot = which[of] * BLOCK + self.example[posting] % BLOCK
+            score = np.bincount(slot, q[entry[e]][of] * self.value[posting], minlength=len(own) * BLOCK).reshape(len(own), BLOCK)
+            out.reshape(n, blocks, BLOCK)[text, block] = score
             done += step
             step *= 2
-        return best_i, best_s
+        return out[:, : len(self.toxic)]
 
     def vectors(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bounds, term places, weights): the vectors of the texts, one after another."""
         h, doc = terms(texts)
         at = self.vocabulary.find(h)
         known = at >= 0
-        key, tf = np.unique(doc[known] * len(self.idf) + at[known], return_counts=True)
-        doc, at = key // max(1, len(self.idf)), key % max(1, len(self.idf))
-        w = (1 + np.log(tf)) * self.idf[at]
-        bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
+        width = max(1, len(self.scale))
+        key, tf = np.unique(doc[known] * width + at[known], return_counts=True)
+        doc, at = key // width, key % width
+        w = (1 + np.log(tf)) * self.scale[at]
         norm = np.sqrt(np.bincount(doc, w * w, minlength=len(texts)))
-        return bounds, at, w / norm[doc]
+        fits = w > 0
+        return np.searchsorted(doc[fits], np.arange(len(texts) + 1)), at[fits], (w[fits] / norm[doc[fits]])
+
+    def votes(self, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(scores, places and cosines of the k nearest, best first) of rows of cosines."""
+        near = np.argsort(-cosines, axis=1, kind="stable")[:, : self.k]
+        cosine = np.maximum(np.take_along_axis(cosines, near, axis=1), 0.0)
+        vote = cosine**self.sharpness * self.weight[near]
+        total = vote.sum(1) + self.prior_weight
+        return ((vote * self.toxic[near]).sum(1) + self.prior_weight * self.prior) / total, near, cosine
 
     def score(self, texts: Texts) -> tuple[np.ndarray, list[list]]:
         bounds, at, w = self.vectors(texts)
         out = np.full(len(texts), self.prior)
         evidence: list[list] = [[]] * len(texts)
-        seen: dict[bytes, tuple[float, list]] = {}
-        for i in np.flatnonzero(np.diff(bounds)):
-            own, q = at[bounds[i] : bounds[i + 1]], w[bounds[i] : bounds[i + 1]]
-            key = own.tobytes() + q.tobytes()
-            if key not in seen:
-                near, cosine = self.nearest(own, q)
-                vote = cosine**self.sharpness * self.weight[near]
-                total = vote.sum() + self.prior_weight
-                seen[key] = float((vote @ self.toxic[near] + self.prior_weight * self.prior) / total) if total else self.prior, [self.names[j] for j in near[:3]]
-            out[i], evidence[i] = seen[key]
+        some = np.flatnonzero(np.diff(bounds)) if len(self.toxic) else np.zeros(0, dtype=np.int64)
+        for i in range(0, len(some), AT_ONCE):
+            own = some[i : i + AT_ONCE]
+            _, e = _ranges(bounds[own], bounds[own + 1])
+            cosines = self.nearest(np.append(0, np.cumsum(np.diff(bounds)[own])), at[e], w[e])
+            out[own], near, cosine = self.votes(cosines)
+            for j, text in enumerate(own.tolist()):
+                evidence[text] = [self.names[x] for x, c in zip(near[j, :3].tolist(), cosine[j, :3].tolist(), strict=True) if c > 0]
         return out, evidence
 
 
@@ -148,64 +167,64 @@ def likelihood_ratio(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.nda
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = 4000, least_ratio: float = 40.0, least_examples: int = 5, most_terms: int = 512, k: int = 25, sharpness: float = 4.0, prior_weight: float = 0.5) -> Index:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = 500, long_bytes: int = 1 << 16, half_lift: float = 40.0, k: int = 25, sharpness: float = 4.0, prior_weight: float = 0.5) -> Index:
     """The index of docs' labelled texts; labels: rows (id, label 0 or 1)."""
-    marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
-    hashed = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("h")).join(marks, "id")
+    marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")).dropna().filter("y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
+    hashed = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("h"), (F.octet_length(f"`{text_col}`") > long_bytes).alias("long")).join(marks, "id")
     hashed = stored(hashed, "labelled")
     # One row of each text: copies would fill the sample.
-    single = hashed.groupBy("y", "h").agg(F.min("id").alias("id"))
-    chosen = stored(least(single, "y", ["h", "id"], rows_per_class).select("id", "y").distinct(), "chosen")
+    single = hashed.groupBy("y", "h", F.coalesce("long", F.lit(False)).alias("long")).agg(F.min("id").alias("id"))
+    chosen = stored(least(single, "y", ["long", "h", "id"], rows_per_class).select("id", "y").distinct(), "chosen")
     counts = {r["y"]: r["n"] for r in hashed.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     some = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(chosen), "id")  # 2 x rows_per_class rows at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in sliced(batch, "text"):
-                y = piece.column(piece.schema.get_field_index("y")).to_numpy()
                 h, doc = terms(texts)
-                pair = np.unique(np.stack([h, doc], axis=1), axis=0)
-                for c in (0, 1):
-                    term, n = np.unique(pair[y[pair[:, 1]] == c, 0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(term), pa.array([c] * len(term), pa.int32()), pa.array(n.astype(np.int64))], names=["term", "y", "n"])
+                order = np.lexsort((h, doc))
+                h, doc = h[order], doc[order]
+                first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, dtype=np.int64)
+                tf = np.diff(np.append(first, len(h)))
+                bounds = np.searchsorted(doc[first], np.arange(len(piece) + 1))
+                cols = [piece.column(piece.schema.get_field_index(c)) for c in ("id", "y")]
+                yield pa.RecordBatch.from_arrays([*cols, lists(h[first], bounds, pa.int64()), lists(tf, bounds, pa.int64())], names=["id", "y", "term", "tf"])
 
-    seen = some.mapInArrow(count, "term long, y int, n long").groupBy("term").agg(*[F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
-    size = {0: 0, 1: 0} | {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    many = T.ArrayType(T.LongType())
+    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("y", T.IntegerType()), T.StructField("term", many), T.StructField("tf", many)])
     held = sum(counts.values())
     share = counts.get(1, 0) / held if held else 0.0
-    empty = Index(KeyTable(np.zeros(0, dtype=np.int64)), np.zeros(0), np.zeros(0), np.zeros(0), [], share, k, sharpness, prior_weight)
-    empty.build([])
-    if not size[0] or not size[1]:
+    none = np.zeros(0, dtype=np.int64)
+    empty = Index(KeyTable(none), np.zeros(0), np.zeros(0), np.zeros(0), [], share, k, sharpness, prior_weight)
+    empty.build(none, none, np.zeros(0))
+    got = some.mapInArrow(count, kind).toArrow().combine_chunks()  # the bounded sample
+    y, size = got.column("y").to_numpy(), np.array([len(x) for x in got.column("term")])
+    if not (y == 0).any() or not (y == 1).any():
         return empty
-    # A term of fewer examples can't be significant; the rest are at most one for each few words of the bounded sample.
-    got = seen.filter(F.col("n0") + F.col("n1") >= least_examples).toArrow()
-    term, n0, n1 = (got.column(i).to_numpy() for i in range(3))
-    ratio = likelihood_ratio(n1.astype(float), n0.astype(float), size[1], size[0])
-    order = np.lexsort((term, -ratio))[:most_terms]
-    order = order[ratio[order] >= least_ratio]
-    order = order[np.argsort(term[order])]
-    weigh = {c: counts[c] / size[c] for c in (0, 1)}
-    df = n0[order] * weigh[0] + n1[order] * weigh[1]
-    empty.vocabulary, empty.idf = KeyTable(term[order]), np.log((1 + held) / (1 + df)) + 1
-    model = empty
-
-    def vector(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece, texts in sliced(batch, "text"):
-                bounds, at, w = model.vectors(texts)
-                cols = [piece.column(piece.schema.get_field_index(c)) for c in ("id", "y")]
-                yield pa.RecordBatch.from_arrays([*cols, lists(at, bounds, pa.int64()), lists(w, bounds, pa.float64())], names=["id", "y", "at", "w"])
-
-    kind = T.StructType([docs.schema[id_col], T.StructField("y", T.IntegerType()), T.StructField("at", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.DoubleType()))])
-    kind = T.StructType([T.StructField("id", kind[0].dataType), *kind.fields[1:]])
-    examples = some.mapInArrow(vector, kind).toArrow().to_pylist()
-    bare = {c: sum(1 for r in examples if not r["at"] and r["y"] == c) * weigh[c] for c in (0, 1)}
-    full = [r for r in examples if r["at"]]
-    # Examples with the same leading term stand together, so that blocks have telling bounds.
-    full.sort(key=lambda r: (r["at"][int(np.argmax(r["w"]))], r["y"], r["at"], r["w"], str(r["id"])))
-    prior = bare[1] / (bare[0] + bare[1]) if bare[0] + bare[1] else share
-    out = Index(model.vocabulary, model.idf, np.array([r["y"] for r in full], dtype=float), np.array([weigh[r["y"]] for r in full]), [str(r["id"]) for r in full], prior, k, sharpness, prior_weight)
-    out.build([(np.array(r["at"], dtype=np.int64), np.array(r["w"])) for r in full])
+    flat, tf = (np.concatenate([np.asarray(x.flatten()) for x in got.column(c).chunks]) for c in ("term", "tf"))
+    row = np.repeat(np.arange(len(y)), size)
+    term, place = np.unique(flat, return_inverse=True)
+    n0, n1 = (np.bincount(place[y[row] == c], minlength=len(term)).astype(float) for c in (0, 1))
+    weigh = {c: counts[c] / (y == c).sum() for c in (0, 1)}
+    ratio = likelihood_ratio(n1, n0, (y == 1).sum(), (y == 0).sum())
+    scale = np.log((1 + held) / (n0 * weigh[0] + n1 * weigh[1])) * (ratio / (ratio + half_lift)) ** 2
+    value = (1 + np.log(tf)) * scale[place]
+    norm = np.sqrt(np.bincount(row, value * value, minlength=len(y)))
+    value = value / np.maximum(norm[row], 1e-300)
+    # Examples with the same most frequent term, and then the same heaviest one, stand together, so that blocks have telling bounds.
+    df = np.bincount(place)
+    leading = [np.full(len(y), -1), np.full(len(y), -1)]
+    for lead, by in zip(leading, (df[place] * tf, value), strict=True):
+        order = np.lexsort((place, by, row))
+        last = np.flatnonzero(np.append(row[order][1:] != row[order][:-1], True)) if len(row) else none
+        lead[row[order][last]] = place[order][last]
+    names = [str(x) for x in got.column("id").to_pylist()]
+    ranks = np.lexsort((np.array(names), y, leading[1], leading[0]))
+    index_of = np.empty(len(y), dtype=np.int64)
+    index_of[ranks] = np.arange(len(y))
+    out = Index(KeyTable(term), scale, y[ranks].astype(float), np.array([weigh[c] for c in y[ranks]]), [names[i] for i in ranks], share, k, sharpness, prior_weight)
+    fits = value > 0
+    out.build(place[fits], index_of[row[fits]], value[fits])
     return out
 
 
@@ -214,7 +233,7 @@ RESULT = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("ev
 
 def score(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
     """docs with score and evidence, the ids of the three nearest examples."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by rows_per_class and most_terms
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by rows_per_class and long_bytes
 
     def make():
         index = shared.value

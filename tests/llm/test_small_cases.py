@@ -40,7 +40,17 @@ def table(spark, texts, **more):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score int")
 
 
-ODD = [None, "", " ", "...", "a", "A. b", "\n\n", "é", "日本語 テキスト", "x" * 5000, "word " * 9000, "😀 😀", "  \x1c", "Ⅷ½", "a\x00b"]
+
+
+def thue_morse(n):
+    out = "a"
+    while len(out) < n:
+        out += out.translate({97: 98, 98: 97})
+    return out
+
+
+MORSE = [thue_morse(2048), thue_morse(2048).translate({97: 98, 98: 97})]
+ODD = [None, "", " ", "...", "a", "A. b", "\n\n", "é", "日本語 テキスト", "x" * 5000, "word " * 9000, "😀 😀", "  \x1c", "Ⅷ½", "a\x00b", " ".join(MORSE), "\n".join([*MORSE, MORSE[0]])]
 
 
 def texts_of(items):
@@ -112,34 +122,59 @@ def test_warc_broken_segments(spark, tmp_path):
 # 2
 
 
-def test_language_code_lengths_and_accuracy(spark):
+def plain_ppm(training, text, order=4):
+    """Code lengths of a text by language, from raw counts: escape C, no exclusions."""
+    norm = lambda x: re.sub(rb"[^a-z\x80-\xff]+", b" ", re.sub(rb"^[^a-z\x80-\xff]+", b"", re.sub(rb"[A-Z]", lambda m: m[0].lower(), x.encode())))
+    out = {}
+    for lang, texts in training.items():
+        seen = {}
+        for x in map(norm, texts):
+            padded = b" " * order + x
+            for i in range(order, len(padded)):
+                for k in range(order + 1):
+                    seen.setdefault(padded[i - k : i], Counter())[padded[i]] += 1
+        padded = b" " * order + norm(text)
+        total = 0.0
+        for i in range(order, len(padded)):
+            for k in range(order, -1, -1):
+                own = seen.get(padded[i - k : i])
+                if own is None:
+                    continue
+                if padded[i] in own:
+                    total -= math.log2(own[padded[i]] / (sum(own.values()) + len(own)))
+                    break
+                total -= math.log2(len(own) / (sum(own.values()) + len(own)))
+            else:
+                total += 8.0
+        out[lang] = total
+    return out
+
+
+def test_language_code_lengths_from_raw_counts(spark, monkeypatch):
+    """Counting, escapes and sums against a plain version; ten languages, so that they are kept in two groups; parts of a few bytes."""
+    rng = random.Random(4)
+    training = {f"l{j}": ["".join(rng.choice("abcdé "[: 2 + j % 5] + "xyz") for _ in range(rng.randint(1, 80))) for _ in range(6)] for j in range(10)}
+    docs = spark.createDataFrame([(x, lang) for lang, own in training.items() for x in own * 2] + [(None, "l0"), ("zzz", None)], "text string, lang string")
+    models = langid.train(docs)
+    assert [len(m.languages) for m in models] == [8, 2]
+    items = ["The Cat, sat", "Größe zz\x00q", "", "  abxé ba", "日本", prose(30), "x" * 300]
+    for piece in (langid.PIECE, 7):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        got, _, _ = langid.code_lengths(texts_of(items), models)
+        for row, x in zip(got, items, strict=True):
+            want = plain_ppm(training, x)
+            assert np.allclose(row, [want[f"l{j}"] for j in range(10)], rtol=1e-4), x
+
+
+def test_language_accuracy_and_bounds(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    model = langid.train(docs.filter(~langid.held_out()), rows_per_language=80)
+    model = langid.train(docs.filter(~langid.held_out()), sample_bytes=1 << 18)
     got = langid.predict(docs.filter(langid.held_out()).select("doc_id", "text", "lang"), model).collect()
     assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.97
-    # Code lengths by the definition, over dictionaries.
-    tables = [dict(zip(t.keys.tolist(), range(len(t.keys)), strict=True)) for t in model.tables]
-
-    def bits(key, k, j):
-        if k < 0:
-            return 8.0
-        if key in tables[k]:
-            return float(model.cost[k][tables[k][key], j])
-        if k == 0:
-            return float(model.root[j]) + 8.0
-        context = key >> 8
-        return (float(model.escape[k - 1][tables[k - 1][context], j]) if context in tables[k - 1] else 0.0) + bits(key & ((1 << (8 * k)) - 1), k - 1, j)
-
-    for text in ("The Cat, sat", "Größe zz\x00q", prose(30)):
-        norm = langid.normalised(texts_of([text]))
-        raw = bytes(norm.data)
-        assert raw == re.sub(rb"[^a-z\x80-\xff]+", b" ", re.sub(rb"^[^a-z\x80-\xff]+", b"", text.lower().encode() if text.isascii() else text.encode().lower()))
-        want = np.zeros(len(model.languages))
-        for i in range(len(raw)):
-            key = int.from_bytes((b"    " + raw)[i : i + 5], "big")
-            want += [bits(key, model.order, j) for j in range(len(want))]
-        keys = langid.gram_keys(norm, model.order)
-        assert np.allclose(model.bits(keys, model.order).sum(0), want, rtol=1e-4)
+    some = langid.sample(docs, "text", "lang", 1 << 16, 1 << 16, 512)
+    held = {r.lang: (r.n, r.b) for r in some.groupBy("lang").agg(F.count("text").alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()}
+    assert len(held) == 4 and all(b <= 1 << 14 or n == 1 for n, b in held.values())
+    assert langid.sample(docs, "text", "lang", 1 << 16, 1 << 16, 3).select("lang").distinct().count() == 3
 
 
 def test_language_of_odd_texts(spark):
@@ -188,7 +223,7 @@ def test_license_scan(spark):
 def test_token_files(spark):
     enc = tokens.Encoder(TOKENIZER)
     assert enc.cuts and enc.plain
-    items = ODD + [prose(40) for _ in range(20)] + ["It's we'LL <|endoftext|>.x,y a.b. 1.5,2 É.é", "İ.I, ǅ."]
+    items = ODD + [prose(40) for _ in range(20)] + ["It's we'LL <|endoftext|>.x,y a.b. 1.5,2 É.é", "İ.I, ǅ.", "ΑΣ ẞ ﬁ ª º Straße's a\u0301. x\u0301,"]
     df = table(spark, items)
     df = df.union(df.limit(1)).union(spark.createDataFrame([(None, "no id", "en", "s", 1)], df.schema))
     got = {(r.doc_id, r.start): (r.n_tokens, r.ids_crc32) for r in tokens.roundtrip(df, TOKENIZER, 2).collect()}
@@ -250,28 +285,74 @@ def toxic_tables(spark):
     return docs, labels, {i: y for i, _, y in rows}
 
 
-def test_toxicity_neighbours_are_exact(spark):
+def plain_toxicity(training, text, k=25, sharpness=4.0, prior_weight=0.5, half=40.0):
+    """Cosines with all examples (text, label), and the score, from raw counts."""
+
+    def tf(x):
+        w = [y.encode() for y in alnum(x)]
+        return Counter([(0, y) for y in w] + [(n, y[:n]) for y in w for n in (4, 5, 6) if len(y) > n])
+
+    rows = [(tf(x), y) for x, y in training]
+    size = Counter(y for _, y in rows)
+    df = {c: Counter(t for own, y in rows if y == c for t in own) for c in (0, 1)}
+
+    def scale(t):
+        g = 0.0
+        for c in (0, 1):
+            for n, col in ((df[c][t], df[0][t] + df[1][t]), (size[c] - df[c][t], len(rows) - df[0][t] - df[1][t])):
+                g += 2 * n * math.log(n * len(rows) / (size[c] * col)) if n else 0.0
+        return math.log((1 + len(rows)) / (df[0][t] + df[1][t])) * (g / (g + half)) ** 2
+
+    def vector(own):
+        v = {t: (1 + math.log(n)) * scale(t) for t, n in own.items() if df[0][t] + df[1][t]}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()} if norm else {}
+
+    q = vector(tf(text))
+    cosines = [sum(q.get(t, 0.0) * x for t, x in vector(own).items()) for own, _ in rows]
+    best = sorted(((c, y) for c, (_, y) in zip(cosines, rows, strict=True)), reverse=True)[:k] if q else []
+    votes = [(c**sharpness, y) for c, y in best]
+    prior = size[1] / len(rows)
+    return cosines, (sum(v * y for v, y in votes) + prior_weight * prior) / (sum(v for v, _ in votes) + prior_weight)
+
+
+def test_toxicity_neighbours_votes_and_scores(spark):
     docs, labels, truth = toxic_tables(spark)
-    index = toxicity.train(docs.filter(~toxicity.held_out()), labels, least_ratio=10.0)
+    index = toxicity.train(docs.filter(~toxicity.held_out()), labels)
     got = {r.doc_id: r for r in toxicity.score(docs.withColumn("SCORE", F.lit(1)), index).collect()}
     assert all((got[i].score >= 0.3) == bool(y) for i, y in truth.items())
     assert got[1000].score == got[1001].score == pytest.approx(index.prior)
-    dense = np.zeros((len(index.names), len(index.idf)))
-    dense[index.example, index.term] = index.value
-    for i in range(0, 300, 7):
-        bounds, at, w = index.vectors(texts_of([docs.filter(F.col("doc_id") == i).first().text]))
-        q = np.zeros(len(index.idf))
-        q[at] = w
-        cos = dense @ q
-        near, value = index.nearest(at, w)
-        order = np.lexsort((np.arange(len(cos)), -np.round(cos, 12)))[: index.k]
-        order = order[cos[order] > 0]
-        assert np.allclose(np.sort(value), np.sort(cos[order])) and len(near) == len(order)
+    held = {r.doc_id for r in docs.filter(toxicity.held_out()).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    names = [i for i in truth if i not in held]
+    for i in [*range(0, 300, 11), 7, 14]:
+        cosines, score = plain_toxicity([(texts[j], truth[j]) for j in names], texts[i])
+        assert got[i].score == pytest.approx(score), i
+        best = sorted(cosines, reverse=True)[:3]
+        assert sorted(cosines[names.index(int(j))] for j in got[i].evidence) == pytest.approx(sorted(c for c in best if c > 0)), i
     assert toxicity.score(docs.limit(0), index).count() == 0
     bare = toxicity.train(docs, labels.limit(0))
     assert {r.score for r in toxicity.score(docs, bare).collect()} == {0.0}
 
 
+def test_toxicity_prunes_no_neighbour():
+    """Many blocks of few examples against the full product, with ties."""
+    rng = np.random.RandomState(2)
+    n, width, k = 700, 60, 5
+    dense = np.where(rng.rand(n, width) < 0.1, rng.randint(1, 4, (n, width)), 0).astype(float)
+    dense[: n // 2] *= np.arange(width) < width // 2
+    index = toxicity.Index(None, np.ones(width), np.zeros(n), np.ones(n), [""] * n, 0.1, k, 4.0, 0.5)
+    example, term = np.nonzero(dense)
+    index.build(term, example, dense[example, term])
+    q = np.where(rng.rand(90, width) < 0.1, rng.rand(90, width), 0)
+    text, at = np.nonzero(q)
+    got = index.nearest(np.searchsorted(text, np.arange(91)), at, q[text, at])
+    want = q @ dense.T
+    near = np.argsort(-got, axis=1, kind="stable")[:, :k]
+    assert np.allclose(np.take_along_axis(np.maximum(got, 0), near, 1), -np.sort(-want, axis=1)[:, :k])
+    assert (got < 0).any() and np.allclose(got[got >= 0], want[got >= 0])
+
+
 # 7
 
 
@@ -318,11 +399,31 @@ def test_ngram_join(spark, monkeypatch, small):
 
 
 def test_ngram_join_edges(spark):
-    text = prose(30)
-    df = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text), (3, None)], "doc_id long, text string")
+    """Repeated rows, null ids, and an id with two texts: all are linked by their texts."""
+    a, b, c = prose(30), prose(30), prose(30)
+    df = spark.createDataFrame([(1, a), (1, a), (2, a), (2, b), (None, a), (None, c), (None, c + " "), (3, None), (3, None)], "doc_id long, text string")
     got = sorted(((r.doc_id, r.class_id, r.group_id, r.n_links) for r in ngram_join.near_duplicates(df).collect()), key=repr)
-    assert got == sorted([(1, 1, 1, 2), (1, 1, 1, 2), (2, 1, 1, 2), (3, 3, 3, 0), (None, None, None, 0)], key=repr)
+    assert got == sorted([(1, 1, 1, 3), (1, 1, 1, 3), (2, 1, 1, 3), (2, 2, 2, 0), (None, 1, 1, 3), (None, None, None, 1), (None, None, None, 1), (3, 3, 3, 0), (3, 3, 3, 0)], key=repr)
     assert ngram_join.near_duplicates(df.limit(0)).count() == 0
+    left = sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(df.withColumn("MARK", F.lit(1))).collect()), key=repr)
+    assert len([x for x in left if x[0] is None]) == 1 and [x for x in left if x[0] is None][0][1].strip() == c.strip()
+    assert [x for x in left if x[0] is not None] == sorted([(1, a), (2, b), (3, None), (3, None)], key=repr)
+
+
+def test_recall_of_the_whole_join(spark):
+    """Pairs at and just above the threshold, by construction: of 200 shingles each, 178 to 196 shared."""
+    rng, rows = random.Random(3), []
+    for i in range(400):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(204)]
+        other = list(base)
+        for k in rng.sample(range(6, 198, 8), rng.randint(1, 4)):
+            other[k] = f"v{rng.randrange(10**9)}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(200)} for i, x in rows for w in [x.split()]}
+    linked = [i for i in range(400) if len(sets[2 * i] & sets[2 * i + 1]) >= 0.8 * len(sets[2 * i] | sets[2 * i + 1])]
+    found = {r.doc_id for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_links > 0").collect()}
+    assert len(linked) > 300 and not found - {x for i in linked for x in (2 * i, 2 * i + 1)}
+    assert sum(2 * i in found for i in linked) >= 0.99 * len(linked)
 
 
 def test_bands_reach_their_recall():
@@ -356,6 +457,7 @@ def test_quality(spark):
     # Distances by the definition.
     chars = Counter(quality.CLASSES[quality._class(b)] for x in clean for c in x for b in c.encode()[:1])
     total = sum(chars.values())
+    assert {"latin", "marks"} < set(quality.CLASSES)
     q = [chars[c] / total for c in quality.CLASSES]
     assert np.allclose(ref.classes[0], q)
     own = Counter(quality.CLASSES[quality._class(c.encode()[0])] for c in items[20])
