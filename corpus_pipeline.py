@@ -27,9 +27,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id stays, once. Rows without an id stay."""
-    gone = ngram_join.near_duplicates(docs).filter(F.col("doc_id") != F.col("group_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Of each group of near duplicates the row with the least id and text hash stays, once; null ids come last. Texts without words all stay."""
+    return ngram_join.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
