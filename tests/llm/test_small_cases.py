@@ -197,7 +197,7 @@ def plain_license(text):
     base = [(i, label) for p, label in license.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     labels, best = {x for _, x in base}, 0.0
     for t in license.notices():
-        for start in range(-40, len(w)):
+        for start in range(-200, len(w)):
             there = lambda i, x: 0 <= i < len(w) and w[i] == x
             got = sum(idf for x, place, idf in t["index"] if there(start + place, x)) / t["total"]
             if got >= license.SUPPORT and all(there(start + p + k, x) for p, ws in t["phrases"] for k, x in enumerate(ws)):
@@ -208,7 +208,7 @@ def plain_license(text):
 
 
 def test_license_scan(spark):
-    lines = ["Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3.", "Released under the MIT License.", "All rights\nreserved.", "cc", "by cc BY by", "the MIT", "Apache License, Version 2.0", "x" + "general public license", "public domain; general PUBLIC  license"]
+    lines = ["Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3.", "Released under the MIT License.", "All rights\nreserved.", "cc", "by cc BY by", "the MIT", "Apache License, Version 2.0", "x" + "general public license", "public domain; general PUBLIC  license", license.TEXTS[0][1], license.TEXTS[2][1][40:], "x " + license.TEXTS[8][1]]
     items = ODD + lines + ["\n".join(lines * 3)] + [f"{prose(9)}\n{x} {prose(5)}" for x in lines]
     got = license.scan(table(spark, items).select("doc_id", "text", F.lit(1).alias("labels"))).collect()
     assert len(got) == len(items)
@@ -217,6 +217,28 @@ def test_license_scan(spark):
     assert license.scan(table(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_whole_licences_are_found(spark):
+    """Every text, its first word gone, inside prose; and one more text given as files would be."""
+    more = license.paragraphs("house", "The tenant shall water the ferns on alternate Tuesdays and return the brass key to the porter before leaving the premises.")
+    items = [f"{prose(30)}\n\n{' '.join(text.split()[1:])} changed words\n{prose(5)}" for _, text in license.TEXTS] + [f"x {more[0][1]} y"]
+    got = {r.doc_id: r.labels.split(",") for r in license.scan(table(spark, items), templates=[*license.TEMPLATES, *more]).collect()}
+    for i, (label, _) in enumerate(license.TEXTS):
+        assert label in got[i], (label, got[i])
+    assert got[len(items) - 1] == ["house"]
+    assert "gpl-2.0" not in got[[x for x, _ in license.TEXTS].index("gpl-3.0")]
+
+
+def test_dense_licence_words_are_linear(spark):
+    import time
+
+    took = []
+    for n in (8_000, 8_000, 64_000):
+        began = time.time()
+        license.scan(table(spark, ["license version 4 0 apache mozilla " * (n // 6)])).collect()
+        took.append(time.time() - began)
+    assert took[2] < 8 * took[1] + 4
+
+
 # 4
 
 
