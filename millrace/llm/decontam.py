@@ -6,8 +6,9 @@ for windows of one word) says how far the search may jump when the block ends at
 leads to its bucket of windows that end with it; those whose first block also fits are compared word by word, byte for byte.
 The search of a slice of text walks many segments in lockstep, so that each step is one array operation.
 
-The windows of at most `pattern_words` benchmark words are searched at once; a larger benchmark is searched in as many
-passes, whose results are stored in between and add up, so nothing that is broadcast grows beyond that bound.
+The windows of at most about `pattern_bytes` of benchmark text are searched at once (a window's words take some 100 bytes of memory
+a byte of text); a larger benchmark, and an item that is larger, is searched in as many passes, whose results are stored
+in between and add up, so nothing that is broadcast grows beyond that bound.
 
 Defined results: a null or wordless text has no hits; a null or wordless item has no windows; a null item_id counts as
 the empty string; items repeated with one id count once; all document rows are kept, repeated ones each.
@@ -19,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,30 +105,36 @@ class Search:
                 yield a, p
 
 
-def searches(items: pa.Table, window: int) -> list[Search]:
-    """The searches for a benchmark (item_id string, text)."""
-    column = pc.fill_null(items.column("text"), "").combine_chunks().cast(pa.large_string())
-    batch = pa.RecordBatch.from_arrays([column], names=["text"])
-    ids = pc.fill_null(items.column("item_id"), "").to_pylist()
-    windows: dict[bytes, set[str]] = {}
-    at = 0
-    for piece, texts in sliced(batch, "text"):
-        words = texts.lowered().runs(ALNUM)
-        data = words.texts.data
-        for i in range(len(piece)):
-            own = [data[words.starts[j] : words.ends[j]].tobytes() for j in range(words.bounds[i], words.bounds[i + 1])]
-            if own:
-                for j in range(max(1, len(own) - window + 1)):
-                    windows.setdefault(b" ".join(own[j : j + window]), set()).add(ids[at + i])
-        at += len(piece)
+def windows(items: DataFrame, window: int) -> DataFrame:
+    """(item, phrase) of every window of a benchmark (item_id string, text): its words, space between; made on the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, texts in sliced(batch, "text"):
+                ids = piece.column(0).to_pylist()
+                words = texts.lowered().runs(ALNUM)
+                data = words.texts.data
+                for i in range(len(piece)):
+                    own = [data[words.starts[j] : words.ends[j]].tobytes() for j in range(words.bounds[i], words.bounds[i + 1])]
+                    every = list(dict.fromkeys(b" ".join(own[j : j + window]) for j in range(max(1, len(own) - window + 1)))) if own else []
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[i]] * len(every), type=pa.string()), pa.array(every, type=pa.binary())], names=["item", "phrase"])
+
+    return items.select(F.coalesce("item_id", F.lit("")).alias("item_id"), "text").mapInArrow(run, "item string, phrase binary")
+
+
+def searches(found: pa.Table) -> list[Search]:
+    """The searches for windows (item, phrase)."""
+    owners: dict[bytes, set[str]] = {}
+    for item, phrase in zip(found.column("item").to_pylist(), found.column("phrase").to_pylist(), strict=True):
+        owners.setdefault(phrase, set()).add(item)
     by_length: dict[int, list[bytes]] = {}
-    for phrase in sorted(windows):
+    for phrase in sorted(owners):
         by_length.setdefault(phrase.count(b" ") + 1, []).append(phrase)
     out = []
     for length, phrases in sorted(by_length.items()):
         data = np.frombuffer(b"".join(phrases), dtype=np.uint8)
         words = Texts(data, np.concatenate([[0], np.cumsum([len(p) for p in phrases])])).runs(ALNUM)
-        out.append(Search(length, words.hashes().reshape(len(phrases), length), phrases, [sorted(windows[p]) for p in phrases]))
+        out.append(Search(length, words.hashes().reshape(len(phrases), length), phrases, [sorted(owners[p]) for p in phrases]))
     return out
 
 
@@ -181,7 +187,7 @@ def _pass(df: DataFrame, text: str, found: Broadcast, first: bool) -> DataFrame:
     return df.mapInArrow(run, out)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 10, pattern_words: int = 5_000_000) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 10, pattern_bytes: int = 2 << 20) -> DataFrame:
     """docs with n_words, hit_from, hit_to (word ranges inside occurrences) and items (ids of items with occurring windows).
 
     Input columns with these names, in any case, give way.
@@ -191,12 +197,13 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         raise ValueError(f"a result has the name of the text column {text_col}")
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item_id"), F.col(f"`{item_text}`").alias("text"))
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = max(1, -(-chars // (2 * pattern_words)))  # a word and its separator are two characters at least
+    every = stored(windows(items, window), "windows")
+    held = every.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
+    passes = max(1, -(-held // (window * pattern_bytes)))
     sc = docs.sparkSession.sparkContext
     for i in range(passes):
-        part = items if passes == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i)
-        out = _pass(out, text_col, sc.broadcast(searches(part.toArrow(), window)), i == 0)
+        part = every if passes == 1 else every.filter(F.pmod(F.xxhash64("phrase"), F.lit(passes)) == i)
+        out = _pass(out, text_col, sc.broadcast(searches(part.toArrow())), i == 0)
         if i + 1 < passes:
             out = stored(out, f"pass{i}")
     return out

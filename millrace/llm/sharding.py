@@ -4,9 +4,10 @@ A row's hash is the first 60 bits of the md5 of its id and text. Directories map
 one entry for each prefix of STRIDE bits; a bucket that holds more than `shard_bytes` of text is split on its next bit, others
 aren't, so buckets differ in depth and several entries may lead to one. Only prefixes that are still too large at the end of a directory get
 one of STRIDE more bits. What is counted is bytes for each prefix, summed before it is moved; the driver learns no more
-than whether a directory left something too large.
+than whether a directory left something too large. Directories are made from narrow rows (hash, bytes). Texts are moved once at
+most, to meet the buckets of their hash; not at all where the first directory, which is broadcast, is enough.
 
-Rows that all 60 bits can't part (repeated rows) are dealt to pages of a bucket, as many rows to a page as fit; a row
+Rows that all 60 bits can't part (repeated rows) are numbered, with their texts, and dealt to pages of a bucket, as many rows to a page as fit; a row
 that alone exceeds the limit is a page of its own. So every shard, a bucket's page, fits its limit unless it is one row.
 
 Results: shard (the prefix as a string of bits, empty for the bucket of all rows), depth, page (0 but for such rows), n_bytes,
@@ -15,6 +16,8 @@ shard_bytes (of the bucket). A null text has 0 bytes; a null id hashes as an emp
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,27 +51,39 @@ def shard(docs: DataFrame, shard_bytes: int = 1 << 20, id_col: str = "doc_id", t
     """docs with the columns ADDED."""
     hashed = without(docs, [*ADDED, "shard__h"]).withColumns({"shard__h": hash_of(id_col, text_col), "n_bytes": F.coalesce(F.octet_length(f"`{text_col}`"), F.lit(0)).cast("long")})
     plain = hashed.columns
-    load = stored(hashed.select("shard__h", "n_bytes"), "hashes")
-    out, rest = hashed.withColumns({"depth": F.lit(None).cast("int"), "shard_bytes": F.lit(None).cast("long")}), load
+    rest = stored(hashed.select("shard__h", "n_bytes"), "hashes")
+    first, deep = None, []
     for level in range(BITS // STRIDE):
         top = STRIDE * (level + 1)
         cells = rest.groupBy(_prefix("shard__h", top).alias("cell")).agg(F.sum("n_bytes").alias("bytes"))
         found = stored(directory(cells, level, shard_bytes), f"directory{level}")
-        entry = found.select(F.col("cell").alias("shard__cell"), F.col("depth").alias("shard__depth"), "bucket_bytes").filter("shard__depth IS NOT NULL")
-        entry = F.broadcast(entry) if level == 0 else entry  # 2^STRIDE rows at most
-        met = out.join(entry, _prefix("shard__h", top) == F.col("shard__cell"), "left")
-        out = met.select(*plain, F.coalesce("depth", "shard__depth").alias("depth"), F.coalesce("shard_bytes", "bucket_bytes").alias("shard_bytes"))
+        entry = found.filter("depth IS NOT NULL").withColumnRenamed("cell", "shard__cell")
+        if first is None:
+            first = entry  # 2^STRIDE rows at most
+        else:
+            deep.append(rest.join(entry, _prefix("shard__h", top) == F.col("shard__cell")).select("shard__h", "depth", "bucket_bytes").distinct())
         large = found.filter("depth IS NULL").select(F.col("cell").alias("shard__cell"))
-        if large.isEmpty():
-            return _named(out.withColumn("page", F.lit(0).cast("long")))
+        last = large.isEmpty()
+        if last:
+            break
         rest = rest.join(large, _prefix("shard__h", top) == F.col("shard__cell"), "left_semi")
-    # Whole hashes that are too large: their rows are numbered and dealt to pages.
-    full = rest.groupBy(F.col("shard__h").alias("shard__cell")).agg(F.max("n_bytes").alias("widest"), F.sum("n_bytes").alias("bucket_bytes"))
-    fine = out.filter(F.col("depth").isNotNull()).withColumn("page", F.lit(0).cast("long"))
-    over = ranked(out.filter(F.col("depth").isNull()), ["shard__h"], ["n_bytes"], "shard__i", "pages")
-    over = over.join(full, over["shard__h"] == full["shard__cell"]).withColumn("page", F.floor(F.col("shard__i") / F.greatest(F.lit(1), F.floor(F.lit(shard_bytes) / F.col("widest")))).cast("long"))
-    over = over.select(*plain, F.lit(BITS).alias("depth"), F.col("bucket_bytes").alias("shard_bytes"), "page")
-    return _named(fine.unionByName(over))
+    met = hashed.join(F.broadcast(first), _prefix("shard__h", STRIDE) == F.col("shard__cell"), "left").withColumnRenamed("bucket_bytes", "shard_bytes")
+    met = met.select(*plain, "depth", "shard_bytes").withColumn("page", F.lit(0).cast("long"))
+    if last and not deep:
+        return _named(met)
+    out, lower = met.filter("depth IS NOT NULL"), met.filter("depth IS NULL").select(*plain)
+    place = reduce(DataFrame.union, deep).withColumn("widest", F.lit(None).cast("long"))
+    if not last:  # whole hashes that are too large
+        full = rest.groupBy("shard__h").agg(F.lit(BITS).alias("depth"), F.sum("n_bytes").alias("bucket_bytes"), F.max("n_bytes").alias("widest"))
+        place = place.unionByName(full)
+    placed = lower.join(place.withColumnRenamed("shard__h", "shard__of"), F.col("shard__h") == F.col("shard__of")).withColumnRenamed("bucket_bytes", "shard_bytes")
+    out = out.unionByName(placed.filter("widest IS NULL").withColumn("page", F.lit(0).cast("long")).select(out.columns))
+    if last:
+        return _named(out)
+    # The rows of whole hashes are numbered and dealt to pages.
+    over = ranked(placed.filter("widest IS NOT NULL"), ["shard__h"], ["n_bytes"], "shard__i", "pages")
+    over = over.withColumn("page", F.floor(F.col("shard__i") / F.greatest(F.lit(1), F.floor(F.lit(shard_bytes) / F.col("widest")))).cast("long"))
+    return _named(out.unionByName(over.select(out.columns)))
 
 
 def _named(df: DataFrame) -> DataFrame:
