@@ -111,13 +111,6 @@ def _language(x: Limits) -> tuple[Column, Column, Column]:
     return share, share, (share < x.script_share) | (share <= 0)
 
 
-def repeat_share(c: Column, n: int = 4) -> Column:
-    """The share of character n-grams that occur more than once; sorted, they equal a neighbour."""
-    grams = F.sort_array(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
-    twins = F.filter(F.transform(grams, lambda g, i: (g == F.get(grams, i - 1)) | (g == F.get(grams, i + 1))), lambda b: b)
-    return F.try_divide(F.size(twins), F.size(grams))
-
-
 def _repeat_grams(x: Limits) -> tuple[Column, Column, Column]:
     share = parse.repeat_share(answer())
     return _only(F.length(answer()) >= 8, (1 - share, share, share > x.repeat_ng))
@@ -239,7 +232,7 @@ SIGNALS: dict[str, Signal] = {
         Signal("SYNTAX-BREAK", "v1", lambda x: _none(parse.syntax_break(whole()))),
     )
 }
-#: The two lists that runs use; DUP-GLOB and SAMP-OUT look at all records and are in operators.
+#: The two lists that runs use; DUP-GLOB (operators.dedup) and SAMP-OUT (operators.score) look at all records.
 STAT = ("LEN-A", "LEN-T", "RATIO-TA", "TRUNC", "THINK-TAG", "LANG-JA", "REPEAT-NG", "REPEAT-CHAR", "STYLE-ADH", "TOOL-PLAN", "TOOL-CLAIM", "TOOL-LEAK", "FACT-HALL", "VIRT-DATA", "STYLE-FMT")
 SCREENING = ("THINK-TAG", "END-WELL", "TRUNC", "REPEAT-NG", "REPEAT-CHAR", "CTRL-CHAR", "LANG-JA", "LEN-A", "LEN-T", "TPL-LEAK", "SYNTAX-BREAK")
 #: The screening rule that a signal stands for.
@@ -259,6 +252,32 @@ def evaluate(records: DataFrame, codes: Iterable[str] = STAT, limits: Limits | N
     return found.drop(*missing)
 
 
+# The keys of a judge's rubrics.
+HEALTH_KEYS, PROMPT_HEALTH_KEYS = tuple(f"L-0{i}" for i in range(1, 6)), tuple(f"P-0{i}" for i in range(1, 6))
+
+
+def judged(code: str, version: str, score: Column, raw: Column, hard: Column | None = None) -> Column:
+    """A judge's result in the form of the rule signals."""
+    return Signal(code, version, lambda x: (score, raw, F.lit(False) if hard is None else hard)).result(Limits())
+
+
+def llm_health(marks: Column) -> Column:
+    """LLM-HEALTH of marks by key; it never rejects."""
+    return judged("LLM-HEALTH", "health_rubric.ja.v1.0", rubric_mean(marks, list(HEALTH_KEYS)), F.to_json(marks))
+
+
+def llm_prompt_health(marks: Column) -> Column:
+    return judged("LLM-PROMPT-HEALTH", "prompt_health_rubric.ja.v1.0", rubric_mean(marks, list(PROMPT_HEALTH_KEYS)), F.to_json(marks))
+
+
+def llm_self(said: Column, least: float | None = None) -> Column:
+    """LLM-SELF of a judge's text: 1 outside thinking mode, 0.5 without thinking or answer; below `least`, if there is one, it rejects."""
+    blank = (trace() == "") | (answer() == "")
+    score = F.when(~thinking(), 1.0).when(blank, 0.5).otherwise(parse_self(said))
+    asked = thinking() & ~blank
+    return judged("LLM-SELF", "v1", score, F.when(asked, score), asked & (score < least) if least is not None else None)
+
+
 def rubric_mean(scores: Column, keys: list[str]) -> Column:
     """A judge's marks of 1 to 5 as a score: their mean over keys, a missing one counting 3, by 5."""
     return sum((F.coalesce(F.try_element_at(scores, F.lit(k)).cast("double"), F.lit(3.0)) for k in keys), F.lit(0.0)) / len(keys) / 5

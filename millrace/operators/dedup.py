@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as t
 from ..sources.scratch import stored
+from ..sources.versions import append, read
 
 
 def mark_repeats(rows: DataFrame, key: Column, order: str = "ord") -> DataFrame:
@@ -31,7 +32,42 @@ def cap_per_key(rows: DataFrame, keys: list[Column], most: int = 5, order: str =
 def shingles(c: Column, n: int = 5) -> Column:
     """Distinct character n-grams after white space is collapsed; a shorter text is its own shingle."""
     x = t.collapse(t.text(c))
-    return F.when(F.length(x) < n, F.array(x)).otherwise(F.array_distinct(F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))))
+    # A dot takes a whole character, also one beyond the BMP; an empty match would advance by half of it.
+    chars = F.regexp_extract_all(x, F.lit("(?s)(.)"), F.lit(1))
+    grams = chars
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice(chars, F.lit(k + 1), F.size(chars)), lambda a, b: F.concat(a, b))
+    return F.when(F.length(x) < n, F.array(x)).otherwise(F.array_distinct(F.filter(grams, lambda g: g.isNotNull())))
+
+
+def dup_signal(marked: DataFrame, text: Column, first: str = "first_ord") -> DataFrame:
+    """marked (mark_repeats) with the signal DUP-GLOB: an empty text rejects, and one that an earlier row has."""
+    blank = t.strip(t.text(text)) == ""
+    score = F.when(blank | F.col("is_dup"), 0.0).otherwise(1.0)
+    raw = F.when(blank, "empty").when(F.col("is_dup"), F.col(first).cast("string"))
+    return marked.withColumn("signal", F.struct(F.lit("DUP-GLOB").alias("code"), F.lit("v2").alias("version"), score.alias("score"), raw.alias("raw"), (blank | F.col("is_dup")).alias("hard")))
+
+
+# An index of seen texts, kept from run to run (sources.versions): a row for each bucket, with the least key in it.
+
+SEEN = "bucket long, seen string"
+
+
+def buckets(sigs: DataFrame, key: str = "ord", bands: int = 5, rows: int = 25) -> DataFrame:
+    """(key, bucket): the buckets of min-hash signatures."""
+    each = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)])
+    return sigs.select(key, F.explode(each).alias("bucket"))
+
+
+def remember(placed: DataFrame, path: str, key: str = "ord") -> None:
+    """Add rows (key, bucket) to the index under path."""
+    append(placed.groupBy("bucket").agg(F.min(F.col(key).cast("string")).alias("seen")), path)
+
+
+def seen_before(placed: DataFrame, path: str, key: str = "ord") -> DataFrame:
+    """(key, seen): for rows (key, bucket) the least key of the index that shares a bucket, else null. A missing index is empty."""
+    known = read(placed.sparkSession, path, SEEN).groupBy("bucket").agg(F.min("seen").alias("seen"))
+    return placed.join(known, "bucket", "left").groupBy(key).agg(F.min("seen").alias("seen"))
 
 
 def signatures(rows: DataFrame, text_col: str, order: str = "ord", n: int = 5, perms: int = 128) -> DataFrame:

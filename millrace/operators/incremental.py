@@ -74,3 +74,45 @@ def upsert(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     rest = [c for c in table.columns if c != key]
     both = table.withColumn("v", F.lit(0)).unionByName(changes.withColumn("v", F.lit(1)))
     return latest(both, [key], F.col("v")).select(key, *rest)
+
+
+def gate(scored: DataFrame, cached: DataFrame, key: str = "ord", hard: str = "hard") -> DataFrame:
+    """scored with gate: rejected (a hard reason: no judge is asked), saved (the judge's result is cached) or judge."""
+    met = scored.join(cached.select(key).distinct().withColumn("gate__hit", F.lit(True)), key, "left")
+    return met.withColumn("gate", F.when(F.size(hard) > 0, "rejected").when(F.col("gate__hit"), "saved").otherwise("judge")).drop("gate__hit")
+
+
+def gate_counters(gated: DataFrame) -> DataFrame:
+    """One row: records, rejected ones, judge calls and calls saved."""
+    return gated.agg(F.count(F.lit(1)).alias("records"), *[F.count_if(F.col("gate") == x).alias(y) for x, y in (("rejected", "rejected"), ("judge", "judge_calls"), ("saved", "judge_saved"))])
+
+
+def alerts(reports: DataFrame, key: str = "run_key", order: str = "ord", least: int = 3) -> DataFrame:
+    """The open alerts of reports (key, order, attempts, cleared, prompt): of each key the last report of at least so many attempts, unless it was cleared since."""
+    counted = reports.filter("cleared OR attempts >= %d" % least)
+    last = counted.groupBy(key).agg(F.max_by(F.struct("cleared", "attempts", "prompt", order), order).alias("x")).filter("NOT x.cleared")
+    return last.select(key, F.when(F.length("x.prompt") > 80, F.concat(F.left("x.prompt", F.lit(80)), F.lit("…"))).otherwise(F.col("x.prompt")).alias("prompt_preview"), "x.attempts")
+
+
+def attach_live(stats: DataFrame, active: DataFrame, open_alerts: DataFrame) -> DataFrame:
+    """stats, one row, with live (active, retries): null unless a run is active or an alert is open. active: one row (active)."""
+    live = active.crossJoin(open_alerts.agg(F.count(F.lit(1)).alias("retries")))  # one row each
+    return stats.crossJoin(live).withColumn("live", F.when(F.col("active") | (F.col("retries") > 0), F.struct("active", "retries"))).drop("active", "retries")
+
+
+def filled(stats: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """stats with every column of defaults, in its order, its value where it is missing or null; further columns stay."""
+    have = set(stats.columns)
+    known = [F.coalesce(F.col(k), F.lit(x)).alias(k) if k in have else F.lit(x).alias(k) for k, x in defaults.items()]
+    return stats.select(*known, *[c for c in stats.columns if c not in defaults])
+
+
+def resolve_browse(asked: DataFrame, tree: DataFrame, page_size: int = 50) -> DataFrame:
+    """asked (category, style_id, page) with level and the nearest place that exists in tree (category, style_id, n): unknown parts fall away, pages are clamped."""
+    by_style = tree.select(F.col("category").alias("t__c"), F.col("style_id").alias("t__s"), F.col("n").alias("t__n"))
+    by_category = tree.select(F.col("category").alias("t__k")).distinct()
+    met = asked.join(by_category, F.col("category") == F.col("t__k"), "left").join(by_style, (F.col("category") == F.col("t__c")) & (F.col("style_id") == F.col("t__s")), "left")
+    last = F.greatest(F.lit(0), F.ceil(F.col("t__n") / page_size) - 1)
+    found = met.withColumn("level", F.when(F.col("t__k").isNull(), "categories").when(F.col("t__s").isNull(), "styles").otherwise("records"))
+    page = F.when(F.col("t__s").isNull(), 0).otherwise(F.least(F.greatest(F.lit(0), F.col("page")), last)).cast("long")
+    return found.withColumns({"to_category": F.col("t__k"), "to_style": F.col("t__s"), "to_page": page}).drop("t__k", "t__c", "t__s", "t__n")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..sources.scratch import stored
+from ..sources.versions import read, rewrite
 
 # The constants of the scorer.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -40,6 +41,28 @@ def build(rows: DataFrame, doc: str = "ord", text: str = "search_text") -> Index
     return Index(postings, docs, terms, average or 1.0)
 
 
+TOKENIZER = "v1"
+_MANIFEST = "source string, tokenizer string, average double"
+_POSTINGS, _DOCS, _TERMS = "term string, doc long, tf long", "doc long, dl int", "term string, df long, idf double"
+
+
+def save(index: Index, path: str, source: str) -> None:
+    """Keep the index under path; source: what names the state of its records, such as a fingerprint of their files."""
+    spark = index.postings.sparkSession
+    for name, df in (("postings", index.postings), ("docs", index.docs), ("terms", index.terms)):
+        rewrite(df, f"{path}/{name}")
+    rewrite(spark.createDataFrame([(source, TOKENIZER, float(index.average))], _MANIFEST), f"{path}/manifest")
+
+
+def load(spark: SparkSession, path: str, source: str) -> Index | None:
+    """The index under path; None where there is none, or one of other records or by another tokenizer."""
+    known = read(spark, f"{path}/manifest", _MANIFEST).first()
+    if known is None or (known.source, known.tokenizer) != (source, TOKENIZER):
+        return None
+    postings, docs, terms = (read(spark, f"{path}/{name}", kind) for name, kind in (("postings", _POSTINGS), ("docs", _DOCS), ("terms", _TERMS)))
+    return Index(postings, docs, terms, known.average)
+
+
 def search(index: Index, rows: DataFrame, query: str, doc: str = "ord", limit: int = 50, offset: int = 0) -> DataFrame:
     """rows, filtered already, with rank and score: best first, ties and unmatched rows in input order."""
     spark = rows.sparkSession

@@ -58,3 +58,21 @@ def merge_by_name(left: DataFrame, right: DataFrame, name: str = "name", order:
     both = reduce(DataFrame.unionByName, [left.withColumn("side", F.lit(0)), right.withColumn("side", F.lit(1))])
     agg = both.groupBy(name).agg(F.max_by(F.struct(*rest), F.struct("side", order)).alias("x"), F.min(F.struct("side", order)).alias("p"))
     return agg.select(name, "x.*", F.col("p.side").alias("first_side"), F.col(f"p.{order}").alias("first_ord"))
+
+
+def presets(asked: DataFrame, known: DataFrame, key: str = "style_id") -> DataFrame:
+    """asked with the presets of their ids; an unknown id is an error when its row is computed."""
+    met = asked.join(known.withColumn("preset__known", F.lit(True)), key, "left")
+    checked = F.when(F.col("preset__known"), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("unknown style "), F.coalesce(F.col(key), F.lit("null")))))
+    return met.withColumn(key, checked).drop("preset__known")
+
+
+def open_domains(domains: DataFrame, counts: DataFrame, share: float = 0.8) -> DataFrame:
+    """domains (domain, target) that counts (domain, have) hold less than share of."""
+    return domains.join(counts, "domain", "left").withColumn("have", F.coalesce("have", F.lit(0))).filter(F.col("have") < F.col("target") * share)
+
+
+def seed_rows(rows: DataFrame, prompt: str = "prompt", domain: str = "domain") -> DataFrame:
+    """rows with an id in the form of a UUID, made from prompt and domain, so that a rerun gives the same."""
+    h = F.md5(F.concat_ws("\n", F.col(domain), F.col(prompt)))
+    return rows.withColumn("id", F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))

@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from . import q_live, q_records, q_reports, q_signals, q_tables, q_text  # noqa: E402,F401  the modules register their queries
+from . import q_live, q_more, q_records, q_reports, q_signals, q_tables, q_text  # noqa: E402,F401  the modules register their queries
