@@ -22,6 +22,7 @@ TOOL_INTENT = (
     r"(?:we|let's|should|will)\s+(?:use|call)\s+(?:search|calc|fetch_url|a\s+search)|"
     r"search\s+function|fetch_url|tool\s+(?:usage|function)|検索ツール|ツールで|ツールを使|関数を呼|web_search|<tool_call\b)"
 )
+# The script that answers are written in.
 JAPANESE = r"\x{3040}-\x{30ff}\x{4e00}-\x{9fff}"
 
 
@@ -197,7 +198,13 @@ def control_issue(c: Column) -> Column:
 
 
 def template_leak(c: Column) -> Column:
-    return F.coalesce(*[F.when(t.like(c, p, "i"), F.lit(p)) for p in TEMPLATE_LEAKS])
+    """The first of the patterns that occurs; one pass tells whether any does."""
+    return F.when(t.like(c, "|".join(TEMPLATE_LEAKS), "i"), F.coalesce(*[F.when(t.like(c, p, "i"), F.lit(p)) for p in TEMPLATE_LEAKS]))
+
+
+def _virtual(x: Limits) -> tuple[Column, Column, Column]:
+    said = t.like(answer(), VIRTUAL_DATA, "i")
+    return _yes(~said, F.when(said, t.full(F.regexp_extract(answer(), t.rx(f"({VIRTUAL_DATA})", "i"), 1))))
 
 
 def _none(issue: Column) -> tuple[Column, Column, Column]:
@@ -224,7 +231,7 @@ SIGNALS: dict[str, Signal] = {
         Signal("TOOL-CLAIM", "v1", _tools(ACTION_CLAIM, answer)),
         Signal("TOOL-LEAK", "v1", _leak),
         Signal("FACT-HALL", "v1", _tools(FACT_NUMBER, answer)),
-        Signal("VIRT-DATA", "v1", lambda x: _yes(~t.like(answer(), VIRTUAL_DATA, "i"), t.full(F.regexp_extract(answer(), t.rx(f"({VIRTUAL_DATA})", "i"), 1)))),
+        Signal("VIRT-DATA", "v1", _virtual),
         Signal("STYLE-FMT", "v1", _format),
         Signal("END-WELL", "v1", lambda x: _yes(ends_well(whole()), ends_well(whole()))),
         Signal("CTRL-CHAR", "v1", _either(control_issue)),

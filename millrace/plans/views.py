@@ -18,9 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """A table in fewer files than there are cores, dealt out to all of them; a larger one is read as it lies."""
+    """A table read by fewer tasks than there are cores, dealt out to all of them; a larger one is read as it lies."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows  # asks the plan for its splits; nothing runs
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
