@@ -86,6 +86,35 @@ def test_ranked_numbers_each_group(spark):
         assert sorted(p for p, _, _ in own) == list(range(len(own)))
 
 
+def test_very_long_texts_take_bounded_memory():
+    """A text of 20 MB, 2 and 4, 5, 7, 8: the kernels' memory beside it, and some results by plain counts."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    some = [word() for _ in range(5000)]
+    line = " ".join(rng.choice(some) for _ in range(20_000))
+    text = "\n".join(line[i:] + line[:i] for i in range(0, len(line), len(line) // 3)) + " "
+    t = texts_of([text * (20_000_000 // len(text.encode()) + 1)])
+    size = len(t.data)
+    model = langid._build({k: {"en": (np.arange(97, 123, dtype=np.int64), np.ones(26, dtype=np.int64))} if k == 0 else {} for k in range(5)}, ["en"], 4)
+    enc = tokens.Encoder(TOKENIZER)
+    runs = {
+        "language": (lambda: langid.code_lengths(t, [model]), 2),
+        "tokens": (lambda: enc.encode(t), 25),
+        "words": (lambda: t.lowered().runs(ALNUM).hashes(), 12),
+        "shingles": (lambda: ngram_join.shingle_sets(t, 5), 25),
+        "quality": (lambda: quality.base_counts(t), 30),
+    }
+    for name, (run, most) in runs.items():
+        tracemalloc.start()
+        got = run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * size, (name, peak / size)
+        if name == "quality":
+            assert got["n_words"][0] == len(t.data.tobytes().split()) and got["n_repeat_words"][0] == got["n_words"][0]
+
+
 # 1
 
 
