@@ -3,7 +3,7 @@
 The kernels work on the UTF-8 buffer of an Arrow string column, never on Python strings, and a batch is cut into
 slices of a megabyte before any temporary array is made, so the memory of a task doesn't depend on how many rows Spark
 puts into a batch. A text longer than a slice is a slice of its own; what is counted by the byte is counted in parts of it
-(Texts.parts), and what is kept for each word takes some 20 bytes of memory a byte of text.
+(Texts.parts), and what is kept for each word takes at most 30 bytes of memory a byte of text.
 """
 
 from __future__ import annotations
