@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -95,18 +96,31 @@ def signatures(rows: DataFrame, text_col: str, order: str = "ord", n: int = 5, p
     return rows.select(order, text_col).mapInArrow(run, T.StructType([kind, T.StructField("sig", T.ArrayType(T.LongType()))]))
 
 
-def band_edges(sigs: DataFrame, order: str = "ord", bands: int = 5, rows: int = 25) -> DataFrame:
-    """(u, v), u before v: every pair of rows that share a band, without verification, as sequential insertion sees them.
+def insert_in_order(sigs: DataFrame, order: str = "ord", bands: int = 5, rows: int = 25) -> tuple[DataFrame, DataFrame]:
+    """What sequential insertion keeps, and what it sees: (order, kept) of all rows, and (u, v) of each row v and the kept rows u before it that share a bucket.
 
-    Sequential insertion only ever asks for an earlier row that was kept. Rows with equal signatures behave alike, so
-    each signature's first row stands for the others before pairs are made.
+    A row goes if a kept row before it is in one of its buckets, without verification. No pairs of a bucket are made: a bucket
+    has at most one kept row. A row that is the first open one of all its buckets is kept, and the other open rows of these
+    buckets go; each round settles such rows, the first open row always among them. Of equal signatures the first row is
+    asked alone, for the others have its buckets and go in any case. Null signatures are kept.
     """
-    first = sigs.groupBy("sig").agg(F.min(order).alias("u"))
-    twins = sigs.join(first, "sig").filter(F.col(order) > F.col("u")).select("u", F.col(order).alias("v"))
-    bucket = F.explode(F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)]))
-    cells = first.select("u", bucket.alias("bucket"))
-    pairs = cells.join(cells.withColumnRenamed("u", "v"), "bucket").filter("u < v").select("u", "v").distinct()
-    return pairs.union(twins)
+    first = stored(sigs.filter("sig IS NOT NULL").groupBy("sig").agg(F.min(order).alias("n")), "signatures")
+    every = cells = stored(buckets(first, "n", bands, rows).distinct(), "cells")
+    keepers = []
+    while True:
+        heads = cells.groupBy("bucket").agg(F.min("n").alias("head"))
+        wins = cells.join(heads, "bucket").groupBy("n").agg(F.bool_and(F.col("n") == F.col("head")).alias("wins")).filter("wins").select("n")
+        keepers.append(stored(cells.join(wins, "n", "left_semi").select("bucket", F.col("n").alias("u")), "keepers"))
+        gone = cells.join(keepers[-1], "bucket").select("n").distinct()
+        cells = stored(cells.join(gone, "n", "left_anti"), "cells")
+        if cells.isEmpty():
+            break
+    held = stored(reduce(DataFrame.unionByName, keepers), "keepers")
+    seen = every.join(held, "bucket").select("u", "n").distinct()
+    pairs = sigs.join(first, "sig").join(seen, "n").filter(F.col("u") < F.col(order)).select("u", F.col(order).alias("v"))
+    kept = sigs.select(order).join(held.select(F.col("u").alias(order), F.lit(True).alias("kept")).distinct(), order, "left")
+    blank = sigs.filter("sig IS NULL").select(order, F.lit(True).alias("blank"))
+    return kept.join(blank, order, "left").select(order, F.coalesce("kept", "blank", F.lit(False)).alias("kept")), pairs
 
 
 def greedy_keep(nodes: DataFrame, edges: DataFrame, order: str = "ord") -> DataFrame:

@@ -106,15 +106,6 @@ def redo_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part(0).subtract(part(1))
 
 
-@query(
-    """WITH r AS (SELECT doc_id, lang AS own FROM documents WHERE doc_id % 50 = 0), s AS (SELECT unnest(['plain', 'formal']) AS style_id, unnest([0, 1]) AS i), a AS (SELECT unnest([0.2, 0.7]::DOUBLE[]) AS temperature, unnest([0, 1]) AS j),
-    p AS (SELECT unnest([0.8, 0.9, 1.0]::DOUBLE[]) AS top_p, unnest([0, 1, 2]) AS k) SELECT doc_id, style_id, temperature, top_p, (i * 6 + j * 3 + k)::INT AS variant_no FROM r, s, a, p"""
-)
-def expand_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sweep of a sample: every fiftieth document; expand_variants_all has them all."""
-    return _sweep(v.table(spark, sf_dir, "documents").filter("doc_id % 50 = 0"))
-
-
 def _sweep(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.col("lang").alias("style_id"))
     return va.expand(rows, {"style_id": ["plain", "formal"], "temperature": [0.2, 0.7], "top_p": [0.8, 0.9, 1.0]}, "doc_id").withColumn("variant_no", F.col("variant_no").cast("int"))
@@ -124,7 +115,7 @@ def _sweep(docs: DataFrame) -> DataFrame:
     """WITH s AS (SELECT unnest(['plain', 'formal']) AS style_id, unnest([0, 1]) AS i), a AS (SELECT unnest([0.2, 0.7]::DOUBLE[]) AS temperature, unnest([0, 1]) AS j),
     p AS (SELECT unnest([0.8, 0.9, 1.0]::DOUBLE[]) AS top_p, unnest([0, 1, 2]) AS k) SELECT doc_id, style_id, temperature, top_p, (i * 6 + j * 3 + k)::INT AS variant_no FROM documents, s, a, p"""
 )
-def expand_variants_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def expand_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sweep of all documents."""
     return _sweep(v.table(spark, sf_dir, "documents"))
 
@@ -190,14 +181,13 @@ def cap_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def near_dup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What sequential insertion into a MinHash index keeps."""
-    rows = v.docs(spark, sf_dir)
-    sigs = stored(dd.signatures(rows, "answer"), "sigs")
-    return dd.greedy_keep(sigs.select("ord"), dd.band_edges(sigs)).select("ord", "kept")
+    return dd.insert_in_order(stored(dd.signatures(v.docs(spark, sf_dir), "answer"), "sigs"))[0]
 
 
 @query()
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dd.band_edges(stored(dd.signatures(v.docs(spark, sf_dir), "answer"), "sigs"))
+    """What each row meets when it is inserted into a MinHash index: the kept rows before it that share a bucket."""
+    return dd.insert_in_order(stored(dd.signatures(v.docs(spark, sf_dir), "answer"), "sigs"))[1]
 
 
 SH = r"""list_distinct(CASE WHEN length(x) < 5 THEN [x] ELSE list_transform(range(length(x) - 4), lambda i: substr(x, (i + 1)::BIGINT, 5)) END)"""

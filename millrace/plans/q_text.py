@@ -28,10 +28,7 @@ def sentence_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.docs(spark, sf_dir).select("ord", t.sentence_count(F.col("answer")).alias("n"))
 
 
-THOUGHT = "'a <think> ' || thinking_trace || chr(10) || '</think> ' || left(answer, 50) || ' <think>x</think> end'"
-
-
-WHOLE_THOUGHT = "'a <think> ' || thinking_trace || chr(10) || '</think> ' || answer || ' <think>x</think> end'"
+THOUGHT = "'a <think> ' || thinking_trace || chr(10) || '</think> ' || answer || ' <think>x</think> end'"
 
 
 def _thought(answer: Column) -> Column:
@@ -45,24 +42,12 @@ def _stripped(docs: DataFrame, answer: Column) -> DataFrame:
 
 @query(rf"WITH {DOCS}, x AS (SELECT ord, {THOUGHT} AS c FROM docs) SELECT ord, {v.strip("regexp_extract(c, '(?s)<think>(.*?)</think>', 1)")} AS thinking, {v.strip("regexp_replace(c, '(?s)<think>.*?</think>', '', 'g')")} AS body FROM x")
 def extract_thinking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the first 50 characters of each answer; extract_thinking_all has them whole."""
-    return v.docs(spark, sf_dir).select("ord", t.extract_thinking(_thought(F.left(F.col("answer"), F.lit(50)))).alias("x")).select("ord", "x.*")
-
-
-@query(rf"WITH {DOCS}, x AS (SELECT ord, {WHOLE_THOUGHT} AS c FROM docs) SELECT ord, {v.strip("regexp_extract(c, '(?s)<think>(.*?)</think>', 1)")} AS thinking, {v.strip("regexp_replace(c, '(?s)<think>.*?</think>', '', 'g')")} AS body FROM x")
-def extract_thinking_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of whole answers."""
     return v.docs(spark, sf_dir).select("ord", t.extract_thinking(_thought(F.col("answer"))).alias("x")).select("ord", "x.*")
 
 
 @query(rf"WITH {DOCS}, x AS (SELECT ord, '</think>' || {THOUGHT} || CASE WHEN ord % 2 = 0 THEN ' <think> open' ELSE '' END AS c FROM docs) SELECT ord, {v.strip("regexp_replace(replace(regexp_replace(c, '(?s)<think>.*?</think>', '', 'g'), '</think>', ''), '(?s)<think>.*$', '')")} AS body FROM x")
 def strip_think(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the first 50 characters of each answer; strip_think_all has them whole."""
-    return _stripped(v.docs(spark, sf_dir), F.left(F.col("answer"), F.lit(50)))
-
-
-@query(rf"WITH {DOCS}, x AS (SELECT ord, '</think>' || {WHOLE_THOUGHT} || CASE WHEN ord % 2 = 0 THEN ' <think> open' ELSE '' END AS c FROM docs) SELECT ord, {v.strip("regexp_replace(replace(regexp_replace(c, '(?s)<think>.*?</think>', '', 'g'), '</think>', ''), '(?s)<think>.*$', '')")} AS body FROM x")
-def strip_think_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of whole answers."""
     return _stripped(v.docs(spark, sf_dir), F.col("answer"))
 
@@ -72,14 +57,8 @@ def clip_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.docs(spark, sf_dir).select("ord", t.clip_middle(F.col("answer")).alias("clipped"), t.clip(F.col("answer"), 200).alias("preview"))
 
 
-@query(f"WITH {DOCS} SELECT ord, array_to_string(regexp_extract_all(lower(left(answer, 300)), '[a-z0-9]+'), ' ') AS tokens FROM docs")
-def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the first 300 characters of each answer; tokenize_all has them whole."""
-    return v.docs(spark, sf_dir).select("ord", F.array_join(t.tokenize(F.left(F.col("answer"), F.lit(300))), " ").alias("tokens"))
-
-
 @query(f"WITH {DOCS} SELECT ord, array_to_string(regexp_extract_all(lower(answer), '[a-z0-9]+'), ' ') AS tokens FROM docs")
-def tokenize_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of whole answers."""
     return v.docs(spark, sf_dir).select("ord", F.array_join(t.tokenize(F.col("answer")), " ").alias("tokens"))
 

@@ -171,6 +171,14 @@ def test_win_rates_without_pairs(spark):
         assert got[i] == pytest.approx(sum(p) / len(p) if p else 1), i
 
 
+def test_win_rates_of_any_judge(spark):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i, rng.choice("xyz"), rng.randrange(4)) for i in range(25)], "ord long, g string, n int")
+    higher = lambda a, b: F.when(F.col(f"{a}.n") > F.col(f"{b}.n"), "a").when(F.col(f"{a}.n") < F.col(f"{b}.n"), "b").otherwise("tie")
+    each = lambda out: {r.ord: pytest.approx(r.win_rate) for r in out.collect()}
+    assert each(sc.pair_win_rate(df, ("g",), "ord", higher)) == {k: w.expected for k, w in each(sc.value_win_rate(df, ("g",), "ord", "n")).items()}
+
+
 def test_compose(spark):
     f = lambda llm, **k: one(spark, llm, lambda c: sc.compose(F.lit(0.5), c, **k), "double")
     assert f(None) == 0.5 and f(1.0) == pytest.approx(0.8) and f(1.0, w_stat=0.0, w_llm=0.0) == 0.0
@@ -191,9 +199,36 @@ def test_greedy_equals_sequential(spark, seed):
     assert got == kept
 
 
-def test_band_edges_link_copies(spark):
+def test_copies_meet_in_order(spark):
     df = spark.createDataFrame([(0, "the same text here"), (1, "the  same text here"), (2, "quite another one")], "ord long, answer string")
-    assert [(r.u, r.v) for r in dd.band_edges(dd.signatures(df, "answer")).collect()] == [(0, 1)]
+    kept, pairs = dd.insert_in_order(dd.signatures(df, "answer"))
+    assert {r.ord: r.kept for r in kept.collect()} == {0: True, 1: False, 2: True}
+    assert [(r.u, r.v) for r in pairs.collect()] == [(0, 1)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_insertion_equals_sequential(spark, seed):
+    rng = random.Random(seed)
+    # Two bands of one minimum; a third of all rows share the bucket of the first band.
+    rows = [(i, [0 if rng.random() < 0.35 else rng.randrange(1, 12), rng.randrange(9)]) for i in range(60)] + [(60, None)]
+    index, want, met = {}, set(), set()
+    for n, sig in rows:
+        spots = list(enumerate(sig or []))
+        hits = {index[x] for x in spots if x in index}
+        met |= {(u, n) for u in hits}
+        if not hits:
+            want.add(n)
+            index |= dict.fromkeys(spots, n)
+    kept, pairs = dd.insert_in_order(spark.createDataFrame(rows, "ord long, sig array<long>"), bands=2, rows=1)
+    got = {r.ord: r.kept for r in kept.collect()}
+    assert len(got) == len(rows) and {n for n, k in got.items() if k} == want
+    found = [(r.u, r.v) for r in pairs.collect()]
+    assert len(found) == len(set(found)) and set(found) == met
+
+
+def test_insertion_of_nothing(spark):
+    kept, pairs = dd.insert_in_order(spark.createDataFrame([], "ord long, sig array<long>"))
+    assert kept.isEmpty() and pairs.isEmpty()
 
 
 def test_vector_pairs_by_blocks(spark):
@@ -222,7 +257,7 @@ def test_variants_keep_missing_axes(spark):
 
 def test_every_document_is_expanded(spark):
     ids = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
-    got = [(r.doc_id, r.variant_no) for r in catalogue.QUERIES["expand_variants_all"](spark, SF).collect()]
+    got = [(r.doc_id, r.variant_no) for r in catalogue.QUERIES["expand_variants"](spark, SF).collect()]
     assert sorted(got) == [(i, k) for i in sorted(ids) for k in range(12)]
 
 
@@ -263,7 +298,7 @@ def test_whole_texts_are_tokenized_and_stripped(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert max(map(len, texts.values())) > 2000
     run = lambda name: {r.ord: r for r in catalogue.QUERIES[name](spark, SF).collect()}
-    tokens, extracted, stripped = run("tokenize_all"), run("extract_thinking_all"), run("strip_think_all")
+    tokens, extracted, stripped = run("tokenize"), run("extract_thinking"), run("strip_think")
     assert set(tokens) == set(extracted) == set(stripped) == set(texts)
     for i, x in texts.items():
         assert (tokens[i].tokens or "").split() == re.findall("[a-z0-9]+", x.lower())
@@ -355,14 +390,14 @@ def test_streams(spark, tmp_path):
 
 def test_every_event_is_assembled(spark):
     ids = [f"r{r.event_id}" for r in spark.read.parquet(f"{SF}/events.parquet").select("event_id").collect()]
-    got = catalogue.QUERIES["assemble_deltas_all"](spark, SF).collect()
+    got = catalogue.QUERIES["assemble_deltas"](spark, SF).collect()
     assert sorted(r.request_id for r in got) == sorted(ids)
     assert any(r.arguments != "{}" for r in got)
 
 
 def test_all_server_sent_text_is_parsed(spark):
     rows = [(r.event_id, r.event_type) for r in spark.read.parquet(f"{SF}/events.parquet").select("event_id", "event_type").collect()]
-    got = [tuple(r) for r in catalogue.QUERIES["sse_explode_all"](spark, SF).select("event_id", "pos", "event", "data").collect()]
+    got = [tuple(r) for r in catalogue.QUERIES["sse_explode"](spark, SF).select("event_id", "pos", "event", "data").collect()]
     assert sorted(got) == sorted(x for i, kind in rows for x in ((i, 0, "delta", kind), (i, 1, "message", "[DONE]")))
 
 
