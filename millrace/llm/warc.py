@@ -126,25 +126,58 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     made.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields by lower-case name, block) of each record of an archive, which may be gzip in one or more members."""
-    if data[:2] == b"\x1f\x8b":
-        parts, rest = [], data
-        while rest:
+def inflated(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The bytes of an archive by blocks, inflated if it is gzip, in one or more members. A member that is cut off ends where it ends."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    view, at, member = memoryview(data), 0, zlib.decompressobj(31)
+    while at < len(view):
+        if member.eof:
             member = zlib.decompressobj(31)
-            parts.append(member.decompress(rest) + member.flush())
-            rest = member.unused_data
-        data = b"".join(parts)
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.find(END, at)
+        piece = view[at : at + step]
+        out = member.decompress(piece)
+        at += len(piece) - len(member.unused_data)
+        if out:
+            yield out
+
+
+def parse(data: bytes, step: int = 1 << 16) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields by lower-case name, block) of each record of an archive; beside data, one record and one inflated block are held."""
+    blocks, held, at = inflated(data, step), bytearray(), 0
+
+    def more() -> bool:
+        nonlocal at
+        block = next(blocks, None)
+        if block is None:
+            return False
+        del held[:at]
+        at = 0
+        held.extend(block)
+        return True
+
+    def find(what: bytes) -> int:
+        """The place of what from `at` on; what has been searched isn't searched again."""
+        seen = 0
+        while (place := held.find(what, at + seen)) < 0:
+            seen = max(0, len(held) - at - len(what) + 1)
+            if not more():
+                return -1
+        return place
+
+    while (start := find(b"WARC/")) >= 0:
+        at = start
+        end = find(END)
         if end < 0:
             return
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+        lines = bytes(held[at:end]).decode("utf-8", "replace").split("\r\n")[1:]
         fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
         size = int(fields.get("content-length", 0))
-        yield fields, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
+        at = end + 4
+        while len(held) - at < size and more():
+            pass
+        yield fields, bytes(held[at : at + size])
+        at = min(at + size, len(held))
 
 
 SEGMENT = schema("origin string, number int, total long, page_id long, record_type string, refers_to long, url string, declared string, block binary")

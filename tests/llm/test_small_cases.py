@@ -143,6 +143,13 @@ def test_warc_broken_segments(spark, tmp_path):
     got = {r.page_id: r for r in warc.read(spark, str(tmp_path)).collect()}
     assert got[1].ok and bytes(got[1].payload) == b"x" * 3000
     assert not got[2].ok
+    one = gzip.compress(whole)
+    for data in (whole, one, one + one, one[:-9], whole[:-1200]):
+        texts = [b"".join(warc.inflated(data, k)) for k in (1, 7, 1 << 16)]
+        assert texts[0] == texts[1] == texts[2]
+        assert list(warc.parse(data, 1)) == list(warc.parse(data, 13)) == list(warc.parse(texts[2]))
+    assert len(list(warc.parse(one + one))) == 2 * len(rows)
+    assert [b for _, b in warc.parse(one)] == [r.partition(warc.END)[2] for r in rows]
     assert warc.dechunked(b"3;e=1\r\nabc\r\n0\r\nT: 1\r\n\r\n") == (b"abc", True)
     assert warc.dechunked(b"5\r\nabc") == (b"abc", False)
     assert warc.dechunked(b"zz\r\n") == (b"", False)
