@@ -7,6 +7,7 @@ import json
 import operator
 import re
 import unicodedata
+from functools import cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -50,6 +51,21 @@ def repeat_share(c: Column) -> Column:
     return run(c)
 
 
+#: Texts up to this length are looked at by a table that all of them share.
+SHORT = 8192
+
+
+@cache
+def _short_looks(least: int, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(end, place, place + unit) of all looks at texts up to `longest`, by end: those of a text are the ones that end within it."""
+    units = np.arange(least, longest)
+    looks = np.maximum(0, longest - 4) // units
+    unit = np.repeat(units, looks)
+    place = (np.arange(looks.sum()) - np.repeat(np.cumsum(looks) - looks, looks)) * unit
+    order = np.argsort(place + unit, kind="stable")
+    return (place + unit + 4)[order], place[order], (place + unit)[order]
+
+
 def _tripled(s: str, least: int = 4, at_once: int = 1_000_000) -> bool:
     """Three equal units in a row are 2 * unit characters that each equal the one a unit on.
 
@@ -61,6 +77,25 @@ def _tripled(s: str, least: int = 4, at_once: int = 1_000_000) -> bool:
     if n < 3 * least:
         return False
     g = _fours(points)
+
+    def stands(p: int, k: int) -> bool:
+        a = max(0, p - 2 * k)
+        same = points[a : min(n - k, p + 2 * k)] == points[a + k : min(n, p + 3 * k)]
+        off = np.flatnonzero(~same)
+        i = np.searchsorted(off, p - a)
+        left = off[i - 1] if i else -1
+        right = off[i] if i < len(off) else len(same)
+        return right - left - 1 >= 2 * k
+
+    if n <= SHORT:
+        end, first, second = _short_looks(least, SHORT)
+        upto = np.searchsorted(end, n, "right")
+        hit = np.flatnonzero(g[first[:upto]] == g[second[:upto]])
+        p, q = first[hit], second[hit]
+        for on in (4, 8):  # of a unit of k characters k + 1 lie within the stretch
+            going = (q - p < on + 3) | ((q + on < len(g)) & (g[np.minimum(p + on, len(g) - 1)] == g[np.minimum(q + on, len(g) - 1)]))
+            p, q = p[going], q[going]
+        return any(stands(i, j - i) for i, j in zip(p.tolist(), q.tolist(), strict=True))
     units = np.arange(least, n // 3 + 1)
     looks = (n - 4) // units
     cuts = np.searchsorted(np.cumsum(looks), np.arange(at_once, looks.sum() + at_once, at_once))
@@ -69,15 +104,8 @@ def _tripled(s: str, least: int = 4, at_once: int = 1_000_000) -> bool:
         unit = np.repeat(u, m)
         place = (np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)) * unit
         hit = np.flatnonzero(g[place] == g[place + unit])
-        for p, k in zip(place[hit].tolist(), unit[hit].tolist(), strict=True):
-            a = max(0, p - 2 * k)
-            same = points[a : min(n - k, p + 2 * k)] == points[a + k : min(n, p + 3 * k)]
-            off = np.flatnonzero(~same)
-            i = np.searchsorted(off, p - a)
-            left = off[i - 1] if i else -1
-            right = off[i] if i < len(off) else len(same)
-            if right - left - 1 >= 2 * k:
-                return True
+        if any(stands(p, k) for p, k in zip(place[hit].tolist(), unit[hit].tolist(), strict=True)):
+            return True
     return False
 
 

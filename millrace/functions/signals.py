@@ -108,7 +108,7 @@ def _think_tags(x: Limits) -> tuple[Column, Column, Column]:
 
 def _language(x: Limits) -> tuple[Column, Column, Column]:
     bare = F.regexp_replace(answer(), t.rx(r"[\s\p{P}]+"), "")
-    share = F.coalesce(F.try_divide(F.length(F.regexp_replace(bare, f"[^{x.script}]+", "")), F.length(bare)), F.lit(0.0))
+    share = F.coalesce(F.try_divide(F.length(F.regexp_replace(bare, f"[^{t.one_of(x.script)}]+", "")), F.length(bare)), F.lit(0.0))
     return share, share, (share < x.script_share) | (share <= 0)
 
 
@@ -186,7 +186,7 @@ def ends_well(c: Column) -> Column:
 
 def control_issue(c: Column) -> Column:
     """What the first character is that no text should have; null if there is none."""
-    bad = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}\x{fffd}\x{e000}-\x{f8ff}\x{f0000}-\x{10ffff}]"
+    bad = "[" + t.one_of(r"\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}\x{fffd}\x{e000}-\x{f8ff}\x{f0000}-\x{10ffff}") + "]"
     first = t.full(F.regexp_extract(c, f"({bad})", 1))
     return (
         F.when(first.isNull(), F.lit(None))
@@ -198,12 +198,13 @@ def control_issue(c: Column) -> Column:
 
 
 def template_leak(c: Column) -> Column:
-    """The first of the patterns that occurs; one pass tells whether any does."""
-    return F.when(t.like(c, "|".join(TEMPLATE_LEAKS), "i"), F.coalesce(*[F.when(t.like(c, p, "i"), F.lit(p)) for p in TEMPLATE_LEAKS]))
+    """The first of the patterns that occurs; one pass, which stops at no other signs than they begin with, tells whether any does."""
+    return F.when(t.like(c, rf"(?=[<\n])(?:{'|'.join(TEMPLATE_LEAKS)})", "i"), F.coalesce(*[F.when(t.like(c, p, "i"), F.lit(p)) for p in TEMPLATE_LEAKS]))
 
 
 def _virtual(x: Limits) -> tuple[Column, Column, Column]:
-    said = t.like(answer(), VIRTUAL_DATA, "i")
+    # Each of the words has a sign of these blocks.
+    said = answer().rlike(r"[\x{3000}-\x{ffff}]") & t.like(answer(), VIRTUAL_DATA, "i")
     return _yes(~said, F.when(said, t.full(F.regexp_extract(answer(), t.rx(f"({VIRTUAL_DATA})", "i"), 1))))
 
 

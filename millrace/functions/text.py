@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,19 @@ def rx(pattern: str, flags: str = "") -> str:
     return f"(?dU{flags}){pattern}"
 
 
+def one_of(ranges: str) -> str:
+    """A Java class of ranges of characters (as a-z, \\x7f-\\x{9f}). Below U+0100 it names each: these are looked up as bits, ranges tried in turn."""
+    sign = r"\\x\{[0-9a-f]+\}|\\x[0-9a-f]{2}|[^\\]"
+    point = lambda x: int(x.strip("\\x{}"), 16) if len(x) > 1 else ord(x)
+    out = []
+    for a, b in re.findall(f"({sign})(?:-({sign}))?", ranges):
+        lo, hi = point(a), point(b or a)
+        out += [rf"\x{{{p:x}}}" for p in range(lo, min(hi, 255) + 1)]
+        if hi > 255:
+            out.append(rf"\x{{{max(lo, 256):x}}}-\x{{{hi:x}}}")
+    return "".join(out)
+
+
 def like(c: Column, pattern: str, flags: str = "") -> Column:
     return c.rlike(rx(pattern, flags))
 

@@ -84,6 +84,26 @@ def test_repeat_share_agrees(spark, s):
     assert sorted(got) == sorted({x[i : i + 5] for i in range(len(x) - 4)} or {x})
 
 
+@pytest.mark.parametrize("short", [0, 40, parse.SHORT])
+def test_triples_are_what_a_pattern_finds(monkeypatch, short):
+    monkeypatch.setattr(parse, "SHORT", short)
+    rng = random.Random(short)
+    found = 0
+    for _ in range(3000):
+        s = "".join(rng.choice("ab😀") for _ in range(rng.randrange(40)))
+        if rng.random() < 0.3:
+            s = s[: rng.randrange(9)] + s[:7] * rng.choice((2, 3)) + s[-5:]
+        want = re.search(r"(?s)(.{4,})\1\1", s) is not None
+        found += want
+        assert parse._tripled(s) == want, s
+    assert found > 100
+
+
+def test_classes_name_their_low_characters():
+    assert t.one_of(r"a-c\x{fe}-\x{101}\x{fffd}") == r"\x{61}\x{62}\x{63}\x{fe}\x{ff}\x{100}-\x{101}\x{fffd}-\x{fffd}"
+    assert t.one_of(sg.JAPANESE) == sg.JAPANESE
+
+
 def test_screening_signals(spark):
     assert signal(spark, "END-WELL", answer="x ```code```").score == 1.0
     assert signal(spark, "END-WELL", answer="x ```code.").hard
