@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, decontam, langid, license, mixing, ngram_join, quality, sharding, tokens, toxicity, warc
+from . import balltree, decontam, divergence, langid, license, mixing, ngram_join, quality, sharding, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -92,8 +92,14 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.digest(balltree.cluster(table(spark, sf_dir, "embeddings")))
 
 
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL["op1_warc_roundtrip"] = warc.SQL
 ORACLE_SQL["op3_license_scan"] = license.sql()
 ORACLE_SQL["op9_source_mix"] = mixing.SQL
 ORACLE_SQL["op10_extendible_shards"] = sharding.SQL
 ORACLE_SQL["op11_centroid_clusters"] = balltree.sql()
+ORACLE_SQL["op12_source_divergence"] = divergence.SQL

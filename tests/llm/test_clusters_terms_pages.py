@@ -3,12 +3,14 @@
 import hashlib
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import balltree
+from millrace.llm import balltree, divergence
 
 RNG = random.Random(11)
 
@@ -74,3 +76,67 @@ def test_distances_of_large_components_are_exact():
     c = np.array([[-balltree.HELD] * 64, [3] * 64], dtype=np.int64)
     best, d = balltree.nearest(x, c)
     assert [(int(j), int(v)) for j, v in zip(best, d)] == [min((sum((int(a) - int(b)) ** 2 for a, b in zip(r, q)), j) for j, q in enumerate(c))[::-1] for r in x]
+
+
+# 12
+
+
+def plain_audit(rows, least=3, top=200):
+    texts = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))) for text, lang, source in rows]
+    out = []
+    for lang in {x[0] for x in texts}:
+        held = Counter(w for g, _, ws in texts if g == lang for w in set(ws))
+        kept = [w for w, n in held.items() if n >= least]
+        own = {s: Counter(w for g, t, ws in texts if (g, t) == (lang, s) for w in ws if held[w] >= least) for s in {x[1] for x in texts if x[0] == lang}}
+        whole = sum(own.values(), Counter())
+
+        def p(c, w):
+            return 1 + 10**9 * (c[w] + 1) // (sum(c.values()) + len(kept))
+
+        for s, c in own.items():
+            got = [(sum((p(c, w) - p(d, w)) ** 2 // p(d, w) for w in kept), t) for t, d in own.items() if t != s]
+            out += [(lang, s, "pair", t, v, i + 1) for i, (v, t) in enumerate(sorted(got, key=lambda x: (-x[0], x[1].encode())))]
+            got = [((p(c, w) - p(whole, w)) ** 2 // p(whole, w), w) for w in kept if c[w] and p(c, w) > p(whole, w)]
+            out += [(lang, s, "term", w, v, i + 1) for i, (v, w) in enumerate(sorted(got, key=lambda x: (-x[0], x[1].encode()))[:top])]
+    return sorted(out)
+
+
+def audited(spark, rows):
+    df = spark.createDataFrame(rows, "text string, lang string, source string").withColumn("TERM", F.lit(1)).withColumn("n", F.lit("x")).repartition(3)
+    return sorted(tuple(r) for r in divergence.audit(df).collect())
+
+
+def test_divergence(spark):
+    words = ["the", "of", "Été", "ß", "日本", "run", "x", "RUN", "it's"] + [f"rare{chr(97 + i)}" for i in range(26)]
+    rows = [(" ".join(RNG.choices(words, k=RNG.randint(0, 30))), RNG.choice(["en", "de"]), f"s{RNG.randint(0, 5)}") for _ in range(120)]
+    rows += [(None, None, None), ("", "en", ""), ("a b a", None, "s1"), ("12 34", "fr", "s1"), ("12", "fr", "s2"), ("once", "xx", None), ("word " * 50000, "en", "s1")]
+    rows += [("only here and here", "en", "s9")] * 40
+    assert audited(spark, rows) == plain_audit(rows)
+    assert divergence.audit(spark.createDataFrame([], "text string, lang string, source string")).count() == 0
+
+
+def test_divergence_of_many_sources(spark):
+    rows = [(" ".join(["all", *RNG.choices([f"w{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)], k=8)]), "en", f"s{i % 40}") for i in range(400)]
+    assert audited(spark, rows) == plain_audit(rows)
+
+
+def test_dense_and_sparse_agree():
+    rng = np.random.default_rng(3)
+    count = rng.integers(0, 4, size=(50, 9)) * (rng.random((50, 9)) < 0.4)
+    count[count.sum(axis=1) == 0, 0] = 1
+    held = rng.integers(10, 10**6, size=9)
+    term, group = np.nonzero(count)
+    whole = divergence.dense(term, group, count[term, group], held, 0, 9)
+    assert not (divergence.sparse(term, group, count[term, group], held, 0, 9) - whole)[~np.eye(9, dtype=bool)].any()
+    part = np.concatenate([divergence.sparse(term, group, count[term, group], held, lo, min(9, lo + 4)) for lo in (0, 4, 8)])
+    assert not (part - whole)[~np.eye(9, dtype=bool)].any()
+    big = np.array([10**10, 5], dtype=np.int64)
+    assert list(divergence.shares(big, np.array([3 * 10**10, 7 * 10**9]))) == [1 + 10**9 * (10**10 + 1) // (3 * 10**10), 1 + 10**9 * 6 // (7 * 10**9)]
+
+
+def test_words_are_counted_exactly():
+    raw = ["a b A", "b c", "", "été ÉTÉ été", "a"]
+    data = [x.encode() for x in raw]
+    texts = divergence.Texts(np.frombuffer(b"".join(data), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64))
+    group, term, n, docs = divergence.count_words(texts, np.array([0, 1, 1, 0, 0]))
+    assert sorted(zip(group.tolist(), term.to_pylist(), n.tolist(), docs.tolist())) == sorted([(0, "a", 3, 2), (0, "b", 1, 1), (0, "été", 2, 1), (0, "ÉtÉ", 1, 1), (1, "b", 1, 1), (1, "c", 1, 1)])
