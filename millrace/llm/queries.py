@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, decontam, divergence, langid, license, mixing, ngram_join, quality, sharding, tokens, toxicity, warc
+from . import balltree, decontam, divergence, langid, license, mixing, ngram_join, quality, sharding, sitetree, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -97,6 +97,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 ORACLE_SQL["op1_warc_roundtrip"] = warc.SQL
 ORACLE_SQL["op3_license_scan"] = license.sql()
 ORACLE_SQL["op9_source_mix"] = mixing.SQL

@@ -1,6 +1,7 @@
 """Centroid clustering, divergence of sources and page extraction against plain versions."""
 
 import hashlib
+import html
 import math
 import random
 import re
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import balltree, divergence
+from millrace.llm import balltree, divergence, sitetree
 
 RNG = random.Random(11)
 
@@ -140,3 +141,126 @@ def test_words_are_counted_exactly():
     texts = divergence.Texts(np.frombuffer(b"".join(data), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64))
     group, term, n, docs = divergence.count_words(texts, np.array([0, 1, 1, 0, 0]))
     assert sorted(zip(group.tolist(), term.to_pylist(), n.tolist(), docs.tolist())) == sorted([(0, "a", 3, 2), (0, "b", 1, 1), (0, "été", 2, 1), (0, "ÉtÉ", 1, 1), (1, "b", 1, 1), (1, "c", 1, 1)])
+
+
+# 13
+
+
+def text_of(page):
+    return sitetree.kept(page, set())
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("", ""),
+        ("plain", "plain"),
+        ("<p>a<p>b", "a\nb"),
+        ("<article><h1>T &amp; U</h1><p>one\n two&nbsp;three<br>four</p></article>out", "T & U\none two three four"),
+        ("<p><b>bold <i>it</b> rest</i></p>", "bold it rest"),
+        ("<article><p>x<script>var a='</p>';</script>y</p></article>", "xy"),
+        ("<b><p>in</b> side</p>after</b>", "in side\nafter"),
+        ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "a\nb\nc\nd"),
+        ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"),
+        ("<nav>n</nav><header>h</header><aside>s</aside><form>f</form><div class='cookie-notice'>c</div><p>text</p><footer>&copy;</footer>", "text"),
+        ("<article><header><h1>T</h1></header><p>x</p><div class=userComments>c</div><footer>f</footer></article>", "T\nx"),
+        ("<div class='has-sidebar'><p>x</p></div><div id=sidebar2>s</div><p hidden>h</p><p style='display: none'>n</p>", "x"),
+        ("<main><p>m</p><article><p>a</p></article></main>", "a"),
+        ("<main><p>m</p></main><p>o</p>", "m"),
+        ("<div role=main><p>m</p></div><p>o</p>", "m"),
+        ("<div id=content><p>c</p></div><p>o</p>", "c"),
+        ("<article></article><p>o</p>", "o"),
+        ("a < b <3 & c<!-- x > --> d <!-- never", "a < b <3 & c d"),
+        ("<p title=\"a > b\">x</p><p title=\"open>y</p>", "x\ny"),
+        ("<p>x</p><di", "x"),
+        ("<title>t<p>x</p>", "x"),
+        ("<P CLASS=AD>ad</P><DIV>x</DIV></nothing></p>", "x"),
+        ("<p>&lt;b&gt; &am &#x41;&#0;</p>", "<b> &am A\ufffd"),
+        ("<div>" * 3000 + "deep", "deep"),
+        ("<p " * 5000, ""),
+    ],
+)
+def test_blocks(page, want):
+    assert text_of(page) == want
+
+
+def phrase(n):
+    return " ".join("".join(RNG.choices("abcdefghij", k=5)) for _ in range(n))
+
+
+def site(n, declared=False):
+    """Pages of a layout without telling names: a fixed menu, a rotating teaser, the text, a fixed line inside it, a fixed foot."""
+    out = []
+    for i in range(n):
+        paragraphs = [phrase(12) for _ in range(RNG.randint(1, 5))]
+        body = f"<h1>{phrase(3)} {i}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+        note = "<div class=x4>Read our letter every week</div>"
+        inner = f"<article>{body}{note}</article>" if declared else f"<div class=x2>{body}{note}</div>"
+        page = f"<body><div class=x1><ul><li>Start</li><li>News</li><li>Item {i % 3}</li></ul></div>{inner}<div class=x3>All rights with us</div></body>"
+        out.append((page, "\n".join(html.unescape(x) for x in re.findall(r"<(?:h1|p)>(.*?)</", body))))
+    return out
+
+
+def extracted(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("TEXT", F.lit("clash")).withColumn("n_chars", F.lit("x")).withColumn("cut", F.lit(1)).repartition(3)
+    return df, {r.page_id: r for r in sitetree.extract(df).collect()}
+
+
+def test_site_tree_removes_what_a_host_repeats(spark):
+    rows, want = [], {}
+    for host, declared in (("a.example", False), ("b.example", True)):
+        for page, text in site(40, declared):
+            want[len(rows)] = text
+            rows.append((len(rows), f"https://{host}/{len(rows)}", page))
+    copies = len(rows)
+    copied, text = site(1)[0]
+    for i in range(60):  # copies, exact but for one paragraph, of one article make a host of their own
+        rows.append((len(rows), "http://U:p@C.example:80/x", copied.replace("</h1>", f"</h1><p>edit {i}</p>") if i % 2 else copied))
+    single = len(rows)
+    rows += [(single, "http://one.example", site(1)[0][0]), (single + 1, None, site(1)[0][0]), (single + 2, None, None), (single + 3, "http://a.example/", ""), (None, "http://a.example/z", "<p>only</p>"), (7, rows[7][1], rows[7][2])]
+    df, got = extracted(spark, rows)
+    for i, t in want.items():
+        assert got[i].text == t and got[i].n_chars == len(t), i
+    for i in range(copies, single):
+        assert text.split("\n")[-1] in got[i].text and text.split("\n")[0] in got[i].text
+    assert "Start" in got[single].text and "Start" in got[single + 1].text and got[single + 2].text == "" and got[single + 3].text == "" and got[None].text == "only"
+    assert sitetree.extract(df).count() == len(rows) and "TEXT" not in sitetree.extract(df).columns
+    assert sitetree.extract(df.limit(0)).count() == 0
+
+
+def test_importance_is_entropy(spark):
+    """The tree's figures against sums over all pages, in plain words."""
+    pages = [p for p, _ in site(12)] + [p for p, _ in site(3)] * 2
+    df = spark.createDataFrame([("h", p) for p in pages], "host string, html string")
+    nodes, texts = sitetree.tree(sitetree.seen(df))
+    seen, layouts, parent = {}, {}, {}
+    for p in pages:
+        page = sitetree.Page(p)
+        rank, blocks = page.chosen()
+        head = page.heading(rank, blocks)
+        for e, t in blocks:
+            node, up, depth, _, _ = page.elements[e]
+            seen.setdefault(node, {}).setdefault(t, set()).add(head)
+            parent[node] = (up, depth)
+        for x, s in zip(page.elements[1:], page.styles[1:]):
+            layouts.setdefault(x[0], {}).setdefault(tuple(s), set()).add(head)
+    got = {r.node: r for r in nodes.collect()}
+    assert set(got) == set(seen)
+    for node, held in seen.items():
+        m = len(set().union(*held.values()))
+        own = [(len(x), 1 - math.log(len(x)) / math.log(m)) for x in held.values()]
+        up, depth = parent[node]
+        some = [len(x) for x in layouts.get(up, {}).values()]
+        p = -sum(n / sum(some) * math.log(n / sum(some), sum(some)) for n in some) if sum(some) > 1 else 0.0
+        c = sum(n * v for n, v in own) / sum(n for n, _ in own)
+        assert got[node].pages == m and got[node].content == pytest.approx(c) and (got[node].presentation or 0) == pytest.approx(p, abs=1e-9)
+        assert got[node].weight == pytest.approx((1 - 0.9**depth) * p + 0.9**depth * c)
+    assert {(r.node, r.item): r.n for r in texts.collect()} == {(node, sitetree.digest(t)): len(x) for node, held in seen.items() for t, x in held.items()}
+
+
+def test_articles_of_the_test_pages(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in sitetree.extract(df).collect()}
+    for r in df.collect():
+        article = re.sub(r"<br>|</?b>", " ", re.sub(r"</?(?:p|h1)>", "\n", r.html[r.html.index("<article>") + 9 : r.html.index("</article>")]))
+        assert got[r.page_id] == "\n".join(x for x in (" ".join(html.unescape(line).split()) for line in article.split("\n")) if x)
