@@ -9,6 +9,7 @@ from ..functions import text as t
 from ..operators import aggregates as ag
 from ..operators import dedup as dd
 from ..operators import incremental as inc
+from ..operators import setjoin
 from ..operators import variants as va
 from ..sources import readers
 from ..sources.scratch import stored
@@ -208,6 +209,19 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared.filter(j >= 0.1).select("u", "v", v.r6(j).alias("jaccard"))
 
 
+@query(
+    r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) END)) AS g FROM w),
+    c AS (SELECT doc_id, g, CASE WHEN len(g) > 0 THEN min(doc_id) OVER (PARTITION BY g) ELSE doc_id END AS class_id, CASE WHEN len(g) > 0 THEN count(*) OVER (PARTITION BY g) ELSE 1 END AS members FROM s),
+    e AS (SELECT doc_id, members, len(g) AS n, unnest(g) AS x FROM c WHERE doc_id = class_id),
+    p AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(b.members) AS m FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)))
+    SELECT doc_id, class_id, (members - 1 + coalesce((SELECT sum(m) FROM p WHERE u = class_id), 0))::BIGINT AS n_links FROM c"""
+)
+def jaccard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact Jaccard of 0.8 and more on five-word shingles: the class of each document and its links."""
+    return setjoin.linked(v.spread(v.table(spark, sf_dir, "documents")), "doc_id", "text")
+
+
 @query("SELECT a.vec_id AS u, b.vec_id AS v FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.4")
 def semantic_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dd.vector_pairs(v.table(spark, sf_dir, "embeddings"), 0.4).select("u", "v")
