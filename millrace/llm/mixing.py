@@ -11,8 +11,8 @@ The sums run over ranges dealt to many tasks (common.ranked), so a source may ho
 reaches the driver is the level of the weights, one number.
 
 Defined results: a null text has size 0; sources without words have target 0 and are never taken; an empty table gives
-no rows; rows that share id, source and size share out their copies among them, by the hash of the whole row; repeated rows are
-documents of their own. The numbering samples the order of the narrow rows for its ranges: what that sends to the driver grows with the number of
+no rows; rows of one source and size are taken in order of their id, then of a hash of the whole row, so that reruns agree however
+rows are dealt to tasks; repeated rows are documents of their own. The numbering samples the order of the narrow rows for its ranges: what that sends to the driver grows with the number of
 tasks (some 100 rows a range), not of rows.
 """
 
@@ -31,6 +31,12 @@ def size_of(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """A hash of all columns of a row and of which of them are null."""
+    every = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(F.lit(seed), *every, *[c.isNull() for c in every])
+
+
 def _offset(seed: int, source: str) -> Column:
     """In [0, 1): the first 52 bits of the md5 of seed and source."""
     named = F.when(F.col(source).isNull(), F.lit(str(seed))).otherwise(F.concat(F.lit(f"{seed}:"), F.col(source)))
@@ -59,10 +65,10 @@ def targets(sized: DataFrame, share: float, most: float, weights: tuple[float, .
 
 
 def copies(docs: DataFrame, keep: list[str], source_col: str = "source", share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, seed: int = 9) -> DataFrame:
-    """Of docs with columns keep (the first orders rows of one size), source and size: these, source_size, target, copies."""
+    """Of docs with columns keep (they order the rows of one size), source and size: these, source_size, target, copies."""
     narrow = stored(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{source_col}`").alias("source"), "size"), "sizes")
     goal = targets(narrow, share, most, weights).select(F.col("source").alias("of"), "source_size", "target")
-    place = ranked(narrow, ["source"], ["size", keep[0]], "place", "places")
+    place = ranked(narrow, ["source"], ["size", *keep], "place", "places")
     held = place.join(goal, F.col("source").eqNullSafe(F.col("of")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     held = held.withColumn("rate", rate).withColumn("offset", _offset(seed, "source"))
@@ -72,18 +78,15 @@ def copies(docs: DataFrame, keep: list[str], source_col: str = "source", share:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """docs as the mix takes them: each row as often as it is emitted, with its own columns."""
-    own = {"mix__id": F.col(f"`{id_col}`"), "mix__hash": F.xxhash64(f"`{text_col}`"), "mix__source": F.col(f"`{source_col}`")}
-    tagged = docs.withColumns(own)
-    sized = tagged.select("mix__id", "mix__hash", F.col("mix__source").alias("source"), size_of(text_col).alias("size"))
-    taken = copies(sized, ["mix__id", "mix__hash"], "source", **how)
-    # Rows that are alike in id and text are told apart only by their number.
-    taken = taken.groupBy("mix__id", "mix__hash", "source").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows"))
-    taken = taken.filter(F.col("n") > 0).select(F.col("mix__id").alias("i"), F.col("mix__hash").alias("h"), F.col("source").alias("s"), "n", "rows")
-    met = tagged.join(taken, F.col("mix__id").eqNullSafe(F.col("i")) & (F.col("mix__hash") == F.col("h")) & F.col("mix__source").eqNullSafe(F.col("s")))
-    twin = Window.partitionBy("mix__id", "mix__hash", "mix__source").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    each = F.when(F.col("rows") == 1, F.col("n")).otherwise(F.floor(F.col("n") / F.col("rows")) + F.when(F.row_number().over(twin) <= F.pmod("n", F.col("rows")), 1).otherwise(0))
-    again = met.withColumn("mix__n", each.cast("int")).filter(F.col("mix__n") > 0)
-    return again.withColumn("mix__copy", F.explode(F.array_repeat(F.lit(0), F.col("mix__n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    # Rows that are alike in all columns are one row with a count: a row that is repeated without end isn't gathered, and its copies need no sharing out.
+    tagged = docs.select(row_hash(docs).alias("mix__a"), row_hash(docs, 1).alias("mix__b"), F.struct(*every).alias("mix__row"))
+    sized = docs.select(F.col(f"`{id_col}`").alias("mix__id"), row_hash(docs).alias("mix__a"), row_hash(docs, 1).alias("mix__b"), F.col(f"`{source_col}`").alias("source"), size_of(text_col).alias("size"))
+    taken = copies(sized, ["mix__id", "mix__a", "mix__b"], "source", **how)
+    taken = taken.groupBy("mix__a", "mix__b").agg(F.sum("copies").cast("int").alias("mix__n")).filter("mix__n > 0")
+    single = tagged.groupBy("mix__a", "mix__b").agg(F.first("mix__row").alias("mix__row"))
+    again = single.join(taken, ["mix__a", "mix__b"]).withColumn("mix__copy", F.explode(F.array_repeat(F.lit(0), F.col("mix__n"))))
+    return again.select(*[F.col("mix__row")[c].alias(c) for c in docs.columns])
 
 
 #: DuckDB SQL for the rows of the query.

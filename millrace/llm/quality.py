@@ -14,7 +14,7 @@ Common words are found exactly in bounded memory: a word with a share of all of
 share in some batch of it, so the words that reach it in some batch are the candidates, and only they are counted.
 
 Defined results: a null or empty text has no words and fails the base rule; with no reference nothing fails by distance
-(the distances are null); rows and repeated rows are all kept; columns named as a result give way.
+(the distances are null); languages beyond the `most_languages` with the most words have no reference, their documents are compared with the others'; rows and repeated rows are all kept; columns named as a result give way.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,11 +146,14 @@ def _by_language(docs: DataFrame, text_col: str, lang_col: str, fields: str, fn:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            for lang in batch.column(0).unique().to_pylist():
-                own = batch.filter(pc.equal(batch.column(0), lang))
-                for _, texts in sliced(own, "text"):
+            number = np.asarray(batch.column(0).dictionary_encode().indices)
+            order = np.argsort(number, kind="stable")
+            sort, number = batch.take(pa.array(order)), number[order]
+            edges = np.append(np.flatnonzero(np.append(True, number[1:] != number[:-1])), len(number)) if len(number) else []
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                for piece, texts in sliced(sort.slice(lo, hi - lo), "text"):
                     cols = fn(texts)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cols[0]), type=pa.string()), *(pa.array(c, type=arrow.field(i + 1).type) for i, c in enumerate(cols))], schema=arrow)
+                    yield pa.RecordBatch.from_arrays([pa.array([piece.column(0)[0].as_py()] * len(cols[0]), type=pa.string()), *(pa.array(c, type=arrow.field(i + 1).type) for i, c in enumerate(cols))], schema=arrow)
 
     return rows.mapInArrow(run, schema)
 
@@ -162,8 +164,8 @@ def _word_counts(texts: Texts) -> tuple[np.ndarray, np.ndarray, int]:
     return keys, n, len(h)
 
 
-def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common_share: float = 0.003, reference_words: int = 1000, most_candidates: int = 1_000_000) -> References:
-    """The references over all rows. What reaches the driver is bounded by 1 / common_share words a language."""
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common_share: float = 0.003, reference_words: int = 1000, most_candidates: int = 1_000_000, most_languages: int = 512) -> References:
+    """The references over all rows, of the `most_languages` languages with the most words. What reaches the driver is bounded by that many times 1 / common_share words."""
     sc = docs.sparkSession.sparkContext
 
     width = len(CLASSES)
@@ -177,11 +179,14 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", commo
         return kinds, np.concatenate([np.zeros(width + 1, dtype=np.int64), keys[often]]), np.concatenate([n, [total], times[often]])
 
     facts = stored(_by_language(docs, text_col, lang_col, "class int, word long, n long", first).groupBy("lang", "class", "word").agg(F.sum("n").alias("n")), "facts")
-    totals = facts.filter(F.col("class") >= -1).select("lang", "class", "n").toArrow().to_pylist()
-    words = {r["lang"]: r["n"] for r in totals if r["class"] < 0}
-    languages = sorted(x for x, n in words.items() if n >= reference_words)
+    known = facts.filter((F.col("class") == -1) & (F.col("n") >= reference_words)).orderBy(F.desc("n"), "lang").limit(most_languages)
+    words = {r["lang"]: r["n"] for r in known.select("lang", "n").toArrow().to_pylist()}
+    languages = sorted(words)
     if not languages:
         return References([], np.zeros((0, len(CLASSES))), [])
+    limits = F.broadcast(docs.sparkSession.createDataFrame([(x, common_share * n) for x, n in words.items()], "lang string, least double"))  # most_languages rows
+    facts = facts.join(limits, "lang")
+    totals = facts.filter(F.col("class") >= 0).select("lang", "class", "n").toArrow().to_pylist()
     got = facts.filter(F.col("class") == -2).select("word").distinct().limit(most_candidates + 1).toArrow().column(0).to_numpy()
     only = sc.broadcast(np.sort(got)) if len(got) <= most_candidates else None
 
@@ -193,18 +198,14 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", commo
         return keys, n
 
     sums = _by_language(docs, text_col, lang_col, "word long, n long", counted).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    limit = F.lit(None).cast("double")
-    for name in languages:
-        limit = F.when(F.col("lang") == name, common_share * words[name]).otherwise(limit)
-    common = sums.filter(F.col("n") >= limit).toArrow().to_pylist()
+    common: dict[str, list[tuple[int, int]]] = {x: [] for x in languages}
+    for r in sums.join(limits, "lang").filter(F.col("n") >= F.col("least")).toArrow().to_pylist():
+        common[r["lang"]].append((r["word"], r["n"]))
+    place = {x: i for i, x in enumerate(languages)}
     classes = np.zeros((len(languages), len(CLASSES)))
     for r in totals:
-        if r["class"] >= 0 and r["lang"] in languages:
-            classes[languages.index(r["lang"]), r["class"]] = r["n"]
-    out = []
-    for name in languages:
-        own = sorted((r["word"], r["n"]) for r in common if r["lang"] == name)
-        out.append((np.array([w for w, _ in own], dtype=np.int64), np.array([n / words[name] for _, n in own])))
+        classes[place[r["lang"]], r["class"]] = r["n"]
+    out = [(np.array([w for w, _ in sorted(own)], dtype=np.int64), np.array([n / words[x] for _, n in sorted(own)])) for x, own in common.items()]
     return References(languages, classes / classes.sum(1, keepdims=True), out)
 
 

@@ -76,8 +76,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_of().alias("size"))
-    found = mixing.copies(docs, ["doc_id"])
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", mixing.row_hash(docs).alias("row"), "source", mixing.size_of().alias("size"))
+    found = mixing.copies(docs, ["doc_id", "row"])
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 

@@ -5,7 +5,8 @@ terms; every term of the examples is in the index. Examples and texts are vector
 lift = (G2 / (G2 + half_lift)) ** 2, with G2 the likelihood ratio of the term between the classes, lies between 0 and 1 and sets no term
 to nothing unless the classes have it equally often. The k examples of greatest cosine vote, each with
 cosine ** sharpness times the weight of its class, against a prior of weight `prior_weight`, the share of toxic rows. A class's
-weight is its labelled rows over its examples, so the sample's balance doesn't shift the scores.
+weight is its labelled rows over its examples, so the sample's balance doesn't shift the scores. Votes become scores by a logistic map, fitted to
+the votes that examples get from an index of the other folds (see calibration), so that of rows that score s about s are toxic.
 
 The index keeps, for each term, its postings by blocks of BLOCK examples and its greatest weight in each block. A text's blocks are
 taken in order of their bounds until no bound reaches the k-th cosine found, so the neighbours are exact. Of equal cosines the
@@ -72,6 +73,8 @@ class Index:
     k: int
     sharpness: float
     prior_weight: float
+    slope: float = 1.0
+    shift: float = 0.0
 
     def build(self, term: np.ndarray, example: np.ndarray, value: np.ndarray) -> None:
         """Postings: the term at place term[i] has weight value[i] in example[i]."""
@@ -123,11 +126,20 @@ class Index:
         known = at >= 0
         width = max(1, len(self.scale))
         key, tf = np.unique(doc[known] * width + at[known], return_counts=True)
-        doc, at = key // width, key % width
+        return self.weighed(key % width, key // width, tf, len(texts))
+
+    def weighed(self, at: np.ndarray, doc: np.ndarray, tf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same from entries: text doc[j] of n, in order, has the term at place at[j] tf[j] times."""
         w = (1 + np.log(tf)) * self.scale[at]
-        norm = np.sqrt(np.bincount(doc, w * w, minlength=len(texts)))
+        norm = np.sqrt(np.bincount(doc, w * w, minlength=n))
         fits = w > 0
-        return np.searchsorted(doc[fits], np.arange(len(texts) + 1)), at[fits], (w[fits] / norm[doc[fits]])
+        return np.searchsorted(doc[fits], np.arange(n + 1)), at[fits], (w[fits] / norm[doc[fits]])
+
+    def vote(self, term: np.ndarray, row: np.ndarray, tf: np.ndarray, n: int) -> tuple[np.ndarray, list[list]]:
+        """(uncalibrated scores, evidence) of n texts given by their terms, in order of row."""
+        at = self.vocabulary.find(term)
+        known = at >= 0
+        return self.polled(*self.weighed(at[known], row[known], tf[known], n))
 
     def votes(self, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(scores, places and cosines of the k nearest, best first) of rows of cosines."""
@@ -138,9 +150,20 @@ class Index:
         return ((vote * self.toxic[near]).sum(1) + self.prior_weight * self.prior) / total, near, cosine
 
     def score(self, texts: Texts) -> tuple[np.ndarray, list[list]]:
-        bounds, at, w = self.vectors(texts)
-        out = np.full(len(texts), self.prior)
-        evidence: list[list] = [[]] * len(texts)
+        raw, evidence = self.polled(*self.vectors(texts))
+        return self.calibrated(raw), evidence
+
+    def calibrated(self, raw: np.ndarray) -> np.ndarray:
+        """Votes as shares of toxic rows; what only the prior speaks for stays the prior."""
+        p = np.clip(raw, 1e-4, 1 - 1e-4)
+        out = 1 / (1 + np.exp(-(self.slope * np.log(p / (1 - p)) + self.shift)))
+        return np.where(raw == self.prior, self.prior, out)
+
+    def polled(self, bounds: np.ndarray, at: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, list[list]]:
+        """(votes, evidence) of the texts with these vectors."""
+        n = len(bounds) - 1
+        out = np.full(n, self.prior)
+        evidence: list[list] = [[]] * n
         some = np.flatnonzero(np.diff(bounds)) if len(self.toxic) else np.zeros(0, dtype=np.int64)
         for i in range(0, len(some), AT_ONCE):
             own = some[i : i + AT_ONCE]
@@ -174,9 +197,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     hashed = stored(hashed, "labelled")
     # One row of each text: copies would fill the sample.
     single = hashed.groupBy("y", "h", F.coalesce("long", F.lit(False)).alias("long")).agg(F.min("id").alias("id"))
-    chosen = stored(least(single, "y", ["long", "h", "id"], rows_per_class).select("id", "y").distinct(), "chosen")
+    chosen = stored(least(single, "y", ["long", "h", "id"], rows_per_class).select(F.col("id").alias("chosen__id"), F.col("h").alias("chosen__h"), "y"), "chosen")
     counts = {r["y"]: r["n"] for r in hashed.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    some = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(chosen), "id")  # 2 x rows_per_class rows at most
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("h"), F.col(f"`{text_col}`").alias("text"))
+    met = rows.join(F.broadcast(chosen), (F.col("id") == F.col("chosen__id")) & (F.col("h") == F.col("chosen__h")))  # chosen: 2 x rows_per_class rows at most
+    some = met.groupBy("id", "h", "y").agg(F.first("text").alias("text")).drop("h")  # a row that is repeated counts once
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,8 +227,34 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not (y == 0).any() or not (y == 1).any():
         return empty
     flat, tf = (np.concatenate([np.asarray(x.flatten()) for x in got.column(c).chunks]) for c in ("term", "tf"))
-    row = np.repeat(np.arange(len(y)), size)
-    term, place = np.unique(flat, return_inverse=True)
+    sample = Sample(y, np.array([str(x) for x in got.column("id").to_pylist()], dtype=object), np.repeat(np.arange(len(y)), size), flat, tf)
+    how = {"counts": counts, "half_lift": half_lift, "k": k, "sharpness": sharpness, "prior_weight": prior_weight}
+    out = fit(sample, **how)
+    out.slope, out.shift = calibration(sample, how)
+    return out
+
+
+@dataclass
+class Sample:
+    """Labelled examples: label y and name of each; entry j says that example row[j] has the term[j] tf[j] times."""
+
+    y: np.ndarray
+    names: np.ndarray
+    row: np.ndarray
+    term: np.ndarray
+    tf: np.ndarray
+
+    def part(self, of: np.ndarray) -> Sample:
+        at = np.cumsum(of) - 1
+        own = of[self.row]
+        return Sample(self.y[of], self.names[of], at[self.row[own]], self.term[own], self.tf[own])
+
+
+def fit(sample: Sample, counts: dict[int, int], half_lift: float, k: int, sharpness: float, prior_weight: float) -> Index:
+    """The index of a sample with both classes; counts: labelled rows of each class."""
+    y, row, tf = sample.y, sample.row, sample.tf
+    held = sum(counts.values())
+    term, place = np.unique(sample.term, return_inverse=True)
     n0, n1 = (np.bincount(place[y[row] == c], minlength=len(term)).astype(float) for c in (0, 1))
     weigh = {c: counts[c] / (y == c).sum() for c in (0, 1)}
     ratio = likelihood_ratio(n1, n0, (y == 1).sum(), (y == 0).sum())
@@ -216,18 +267,51 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     leading = [np.full(len(y), -1), np.full(len(y), -1)]
     for lead, by in zip(leading, (df[place] * tf, value), strict=True):
         order = np.lexsort((place, by, row))
-        last = np.flatnonzero(np.append(row[order][1:] != row[order][:-1], True)) if len(row) else none
+        last = np.flatnonzero(np.append(row[order][1:] != row[order][:-1], True)) if len(row) else np.zeros(0, dtype=np.int64)
         lead[row[order][last]] = place[order][last]
-    names = [str(x) for x in got.column("id").to_pylist()]
-    ranks = np.lexsort((np.array(names), y, leading[1], leading[0]))
+    ranks = np.lexsort((sample.names.astype(str), y, leading[1], leading[0]))
     index_of = np.empty(len(y), dtype=np.int64)
     index_of[ranks] = np.arange(len(y))
-    out = Index(KeyTable(term), scale, y[ranks].astype(float), np.array([weigh[c] for c in y[ranks]]), [names[i] for i in ranks], share, k, sharpness, prior_weight)
+    out = Index(KeyTable(term), scale, y[ranks].astype(float), np.array([weigh[c] for c in y[ranks]]), [sample.names[i] for i in ranks], counts[1] / held, k, sharpness, prior_weight)
     fits = value > 0
     out.build(place[fits], index_of[row[fits]], value[fits])
     return out
 
 
+FOLDS = 5
+
+
+def calibration(sample: Sample, how: dict) -> tuple[float, float]:
+    """(slope, shift) of the logistic map from votes to the share of toxic rows, fitted to votes of examples that weren't in the index.
+
+    The examples are dealt into folds in the order of their names; those of a fold are scored by an index of the others. Rows weigh as
+    much as they stand for; targets are smoothed by the classes' sizes, and the slope is held to its start by one row, so that few examples change little.
+    """
+    raw = np.full(len(sample.y), np.nan)
+    fold = np.argsort(np.argsort(sample.names.astype(str), kind="stable"), kind="stable") % FOLDS
+    for f in range(FOLDS):
+        own, rest = sample.part(fold == f), sample.part(fold != f)
+        if (rest.y == 0).any() and (rest.y == 1).any() and len(own.y):
+            raw[fold == f] = fit(rest, **how).vote(own.term, own.row, own.tf, len(own.y))[0]
+    known = np.isfinite(raw)
+    y, raw = sample.y[known], np.clip(raw[known], 1e-4, 1 - 1e-4)
+    n0, n1 = (y == 0).sum(), (y == 1).sum()
+    if not n0 or not n1:
+        return 1.0, 0.0
+    weight = np.where(y == 1, how["counts"][1] / n1, how["counts"][0] / n0)
+    weight *= len(y) / weight.sum()
+    goal = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    x = np.stack([np.log(raw / (1 - raw)), np.ones(len(raw))], axis=1)
+    start = np.array([1.0, 0.0])
+    w = start.copy()
+    for _ in range(50):  # Newton's steps
+        p = 1 / (1 + np.exp(-(x @ w)))
+        slope = x.T @ (weight * (p - goal)) + (w - start)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(2), slope)
+        w = w - np.clip(step, -1, 1)
+    return max(float(w[0]), 0.05), float(w[1])
+
+
 RESULT = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.StringType()))])
 
 
