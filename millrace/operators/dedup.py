@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -147,36 +146,3 @@ def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, z: s + z)
     size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0), F.coalesce(F.try_divide(dot(a, b), size), F.lit(0.0))).otherwise(0.0)
-
-
-def vector_pairs(rows: DataFrame, threshold: float, name: str = "vec_id", vector: str = "embedding", block: int = 1024) -> DataFrame:
-    """(u, v, similarity) of all pairs u < v with cosine >= threshold, by blocks of a matrix product.
-
-    Rows are dealt into blocks; each pair of blocks is one unit of work whose memory the block size bounds.
-    """
-    total = rows.count()
-    blocks = max(1, -(-total // block))
-    dealt = rows.select(F.col(name).alias("id"), F.col(vector).alias("e")).withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    units = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("id", "e", "b", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"))
-
-    def run(pdf):
-
-        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-        both = [pdf[pdf["b"] == lo], pdf[pdf["b"] == hi]]
-        mats, ids = [], []
-        for p in both:
-            width = max((len(e) for e in p["e"]), default=1)
-            m = np.array([e if len(e) == width else np.zeros(width) for e in p["e"]], dtype=np.float64).reshape(len(p), width)
-            norm = np.linalg.norm(m, axis=1, keepdims=True)
-            mats.append(m / np.where(norm > 0, norm, 1))
-            ids.append(p["id"].to_numpy())
-        if not len(both[0]) or not len(both[1]):
-            return pd.DataFrame({"u": [], "v": [], "similarity": []}).astype({"u": "int64", "v": "int64", "similarity": "float64"})
-        s = mats[0] @ mats[1].T
-        i, j = np.nonzero(s >= threshold)
-        a, b = ids[0][i], ids[1][j]
-        keep = a < b if lo == hi else a != b
-        a, b, sim = a[keep], b[keep], s[i, j][keep]
-        return pd.DataFrame({"u": np.minimum(a, b), "v": np.maximum(a, b), "similarity": sim})
-
-    return units.groupBy("lo", "hi").applyInPandas(run, "u long, v long, similarity double")

@@ -9,7 +9,7 @@ from ..functions import text as t
 from ..operators import aggregates as ag
 from ..operators import dedup as dd
 from ..operators import incremental as inc
-from ..operators import setjoin
+from ..operators import metric, setjoin
 from ..operators import variants as va
 from ..sources import readers
 from ..sources.scratch import stored
@@ -224,14 +224,23 @@ def jaccard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT a.vec_id AS u, b.vec_id AS v FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.4")
 def semantic_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dd.vector_pairs(v.table(spark, sf_dir, "embeddings"), 0.4).select("u", "v")
+    return metric.pairs(v.table(spark, sf_dir, "embeddings"), 0.4).select("u", "v")
+
+
+@query(
+    """WITH p AS (SELECT a.vec_id AS vec_id, b.vec_id AS other FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.5)
+    SELECT vec_id, min(vec_id) OVER (PARTITION BY embedding) AS class_id, coalesce(n, 0) AS n_links FROM embeddings LEFT JOIN (SELECT vec_id, count(*) AS n FROM p GROUP BY vec_id) USING (vec_id)"""
+)
+def semantic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many vectors are like each vector; equal ones are a class."""
+    return metric.neighbours(v.table(spark, sf_dir, "embeddings"), 0.5)
 
 
 @query()
 def semantic_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors kept in order, each unlike all kept before it."""
     rows = v.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ord"), "embedding")
-    return dd.greedy_keep(rows.select("ord"), dd.vector_pairs(rows, 0.4, "ord")).select("ord", "kept")
+    return dd.greedy_keep(rows.select("ord"), metric.pairs(rows, 0.4, "ord")).select("ord", "kept")
 
 
 @query(

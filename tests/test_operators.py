@@ -251,14 +251,6 @@ def test_insertion_of_nothing(spark):
     assert kept.isEmpty() and pairs.isEmpty()
 
 
-def test_vector_pairs_by_blocks(spark):
-    rng = random.Random(1)
-    rows = [(i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(30)] + [(30, [0.0, 0.0, 0.0]), (31, [])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    whole = {(r.u, r.v) for r in dd.vector_pairs(df, 0.7).collect()}
-    assert whole and whole == {(r.u, r.v) for r in dd.vector_pairs(df, 0.7, block=7).collect()}
-
-
 def test_latest_run_key_wins(spark):
     df = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("b", 1, False), ("b", 2, True)], "k string, ord long, cut boolean")
     assert [r.k for r in inc.done_keys(df, ["k"], "ord", F.col("cut")).collect()] == ["a"]
