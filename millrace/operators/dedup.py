@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as t
 from ..sources.scratch import stored
-from ..sources.versions import append, read
+from ..sources import versions
 
 
 def mark_repeats(rows: DataFrame, key: Column, order: str = "ord") -> DataFrame:
@@ -60,13 +60,18 @@ def buckets(sigs: DataFrame, key: str = "ord", bands: int = 5, rows: int = 25) -
 
 
 def remember(placed: DataFrame, path: str, key: str = "ord") -> None:
-    """Add rows (key, bucket) to the index under path."""
-    append(placed.groupBy("bucket").agg(F.min(F.col(key).cast("string")).alias("seen")), path)
+    """Add rows (key, bucket) to the index under path, and keep its parts few: each bucket once a level, in order of bucket."""
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("bucket").agg(F.min("seen").alias("seen")).repartitionByRange("bucket").sortWithinPartitions("bucket")
+
+    versions.append(whole(placed.select("bucket", F.col(key).cast("string").alias("seen"))), path)
+    versions.compact(placed.sparkSession, path, SEEN, whole)
 
 
 def seen_before(placed: DataFrame, path: str, key: str = "ord") -> DataFrame:
     """(key, seen): for rows (key, bucket) the least key of the index that shares a bucket, else null. A missing index is empty."""
-    known = read(placed.sparkSession, path, SEEN).groupBy("bucket").agg(F.min("seen").alias("seen"))
+    known = versions.read(placed.sparkSession, path, SEEN).groupBy("bucket").agg(F.min("seen").alias("seen"))
     return placed.join(known, "bucket", "left").groupBy(key).agg(F.min("seen").alias("seen"))
 
 

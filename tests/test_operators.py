@@ -488,6 +488,7 @@ def test_versions_are_whole_and_indexes_go_stale(spark, tmp_path):
     versions.rewrite(versions.read(spark, path, rows.schema).distinct(), path)
     (tmp_path / "d" / "v-broken").mkdir()  # a writer that died before its version was named
     assert sorted(r.n for r in versions.read(spark, path, rows.schema).collect()) == [0, 1, 2]
+    assert versions.vacuum(spark, path, 0) == 0 or versions.read(spark, path, rows.schema).count() == 3
     docs = spark.createDataFrame([(1, "a b"), (2, "b c c"), (3, None)], "ord long, search_text string")
     index = se.build(docs)
     where = str(tmp_path / "index")
@@ -509,3 +510,46 @@ def test_unknown_styles_and_odd_responses(spark):
     got = one(spark, json.dumps({"choices": [{"message": {"content": None, "tool_calls": [{"function": {"name": "f", "arguments": {"x": 1}}}, {"id": 1}, {"function": {"name": "g", "arguments": "[1]"}}]}}]}), ms.chat_result)
     assert (got.thinking, got.answer, got.finish_reason) == (None, "", None)
     assert [c.name for c in got.tool_calls] == ["f", "<malformed>", "<malformed>"] and json.loads(got.tool_calls[0].arguments) == {"x": 1}
+
+
+def test_appends_at_the_same_time_all_stay(spark, tmp_path):
+    import threading
+
+    from millrace.sources import versions
+
+    path = str(tmp_path / "d")
+    writers = [threading.Thread(target=lambda i=i: [versions.append(spark.range(i * 10 + j, i * 10 + j + 1), path) for j in range(4)]) for i in range(4)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    kind = spark.range(1).schema
+    assert sorted(r.id for r in versions.read(spark, path, kind).collect()) == [i * 10 + j for i in range(4) for j in range(4)]
+    # A commit that another came before is refused, and taken anew.
+    number, parts, _ = versions._latest(spark, path)
+    assert not versions._create(spark, path, number, parts, "") and versions._latest(spark, path)[1] == parts
+
+
+def test_kept_indexes_have_few_parts(spark, tmp_path):
+    from millrace.sources import versions
+
+    path = str(tmp_path / "seen")
+    for i in range(20):
+        dd.remember(spark.createDataFrame([(100 - i, j) for j in range(i, i + 3)], "ord long, bucket long"), path)
+    assert len(versions.current(spark, path)) <= 3 * 3
+    kind = versions.read(spark, path, dd.SEEN)
+    want = {b: min(str(100 - i) for i in range(20) if i <= b < i + 3) for b in range(22)}
+    got = dd.seen_before(spark.createDataFrame([(b, b) for b in range(23)], "ord long, bucket long"), path)
+    assert {r.ord: r.seen for r in got.collect()} == want | {22: None} and kind.count() >= 22
+    before = versions.current(spark, path)
+    assert versions.vacuum(spark, path, 0) > 0 and versions.current(spark, path) == before
+    # Parts that were merged by another meanwhile are left to it.
+    for i in range(4):
+        versions.append(kind.limit(1), path)
+
+    def late(rows):
+        versions.rewrite(kind, path)
+        return rows
+
+    versions.compact(spark, path, dd.SEEN, late)
+    assert len(versions.current(spark, path)) == 1
