@@ -4,7 +4,8 @@ Each language has a tree of byte contexts of up to `order` bytes with frozen cou
 length under PPM with escape method C and no exclusions: the longest context that the tree knows is asked first; a byte
 that it has seen n times of T, among D kinds, costs -log2(n / (T + D)); else the escape costs -log2(D / (T + D)) and the
 next shorter context is asked; below the empty context a byte costs 8 bits. The language whose tree gives a text the
-shortest code wins, and the score is its share of exp(-code length).
+shortest code wins. Its score is its share of exp(-code length), times how well the text fits the language at all: what a byte costs, against what
+it costs in texts of the language (learned from one half of the sample under the trees of the other).
 
 Texts are lower-cased (A-Z) and each run of bytes that are neither ASCII letters nor part of a longer character counts
 as one space. The trees are learned from a bounded sample of whole texts and hold every gram of it. Of each language the sample
@@ -119,6 +120,10 @@ def _parts(texts: Texts, order: int) -> Iterator[tuple[Texts, int, np.ndarray]]:
         letter = bool(len(part.data)) and bool(_LETTER[part.data[-1] | 32 if 65 <= part.data[-1] <= 90 else part.data[-1]])
 
 
+#: A text that costs this many times what its language's texts cost a byte has half of the score; bits that aren't counted.
+FAR, SPARE = 1.5, 512.0
+
+
 @dataclass
 class Model:
     """keys[k]: grams of k + 1 bytes; cost[k][gram, language] in bits; escape[k][gram, language]: of the gram as a context."""
@@ -128,6 +133,8 @@ class Model:
     tables: list[KeyTable]
     cost: list[np.ndarray]
     escape: list[np.ndarray]
+    #: Bits a byte that a text of each language costs.
+    typical: np.ndarray | None = None
 
     def bits(self, keys: np.ndarray, k: int) -> np.ndarray:
         """[gram, language] code lengths of the last bytes of grams of k + 1 bytes."""
@@ -213,22 +220,34 @@ def sample(docs: DataFrame, text_col: str, lang_col: str, sample_bytes: int, lon
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = 4, sample_bytes: int = 2 << 20, long_bytes: int = 1 << 16, most_languages: int = 512) -> list[Model]:
     """The trees of all languages that docs names, GROUP languages a model. Counting runs on the executors; the driver gets the frozen counts."""
     chosen = sample(docs, text_col, lang_col, sample_bytes, long_bytes, most_languages)
+    chosen = stored(chosen.withColumn("half", F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(2)).cast("int")), "halves")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in sliced(batch, "text"):
                 names = piece.column(0).dictionary_encode()
-                index = np.asarray(names.indices)
+                index = np.asarray(names.indices) * 2 + np.asarray(piece.column(2))
                 for norm, i, full in _parts(texts, order):
                     which = np.repeat(index[i : i + len(norm)], np.diff(norm.offsets))
-                    for j, name in enumerate(names.dictionary.to_pylist()):
+                    for j in np.unique(which).tolist():
                         mine = full[which == j]
-                        for k in range(order + 1) if len(mine) else ():
+                        for k in range(order + 1):
                             grams, n = np.unique(mine & ((1 << (8 * (k + 1))) - 1), return_counts=True)
-                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array([k] * len(grams), pa.int32()), pa.array(grams), pa.array(n.astype(np.int64))], names=["lang", "k", "gram", "n"])
+                            name = names.dictionary[j // 2].as_py()
+                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array([j % 2] * len(grams), pa.int32()), pa.array([k] * len(grams), pa.int32()), pa.array(grams), pa.array(n.astype(np.int64))], names=["lang", "half", "k", "gram", "n"])
 
-    seen = chosen.mapInArrow(count, "lang string, k int, gram long, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
+    seen = chosen.mapInArrow(count, "lang string, half int, k int, gram long, n long").groupBy("lang", "half", "k", "gram").agg(F.sum("n").alias("n"))
     got = seen.toArrow()
+    half = got.column("half").to_numpy()
+    cost = _typical(chosen, _models(got.filter(pa.array(half == 0)), order)) if (half == 0).any() else {}
+    models = _models(got, order)
+    for m in models:
+        m.typical = np.array([cost.get(x, np.inf) for x in m.languages])
+    return models
+
+
+def _models(got: pa.Table, order: int) -> list[Model]:
+    """The frozen trees of rows (lang, k, gram, n); a gram may have several."""
     names, lang = np.unique(got.column("lang").to_numpy().astype(object), return_inverse=True) if len(got) else (np.zeros(0, dtype=object), np.zeros(0, dtype=int))
     k, gram, n = (got.column(c).to_numpy() for c in ("k", "gram", "n"))
     by_bytes = sorted(range(len(names)), key=lambda i: names[i].encode())
@@ -238,12 +257,29 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order
         for i in by_bytes[g : g + GROUP]:
             for o in range(order + 1):
                 at = np.flatnonzero((lang == i) & (k == o))
-                at = at[np.argsort(gram[at])]
-                counts.setdefault(o, {})[names[i]] = gram[at], n[at]
+                grams, place = np.unique(gram[at], return_inverse=True)
+                counts.setdefault(o, {})[names[i]] = grams, np.bincount(place, n[at], minlength=len(grams)).astype(np.int64)
         models.append(_build(counts, [names[i] for i in by_bytes[g : g + GROUP]], order))
     return models
 
 
+def _typical(chosen: DataFrame, models: list[Model]) -> dict[str, float]:
+    """Bits a byte that the texts of a language cost under its tree, on the half of the sample that the models haven't seen."""
+    shared = chosen.sparkSession.sparkContext.broadcast(models)  # bounded by the sample
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x for m in shared.value for x in m.languages]
+        place = {x: i for i, x in enumerate(names)}
+        for batch in batches:
+            for piece, texts in sliced(batch, "text"):
+                bits, size, _ = code_lengths(texts, shared.value)
+                own = [(x, float(bits[i, place[x]]), int(size[i])) for i, x in enumerate(piece.column(0).to_pylist()) if x in place]
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in own], type=kind) for j, kind in enumerate((pa.string(), pa.float64(), pa.int64()))], names=["lang", "bits", "size"])
+
+    rows = chosen.filter("half = 1").mapInArrow(run, "lang string, bits double, size long").groupBy("lang").agg(F.sum("bits").alias("bits"), F.sum("size").alias("size")).filter("size > 0")
+    return {r.lang: r.bits / r["size"] for r in rows.collect()}  # at most most_languages rows
+
+
 def _has_letter(raw: bytes) -> bool:
     reader = codecs.getincrementaldecoder("utf-8")("replace")
     return any(any(map(str.isalpha, reader.decode(raw[i : i + PIECE]))) for i in range(0, len(raw), PIECE))
@@ -267,7 +303,11 @@ def code_lengths(texts: Texts, models: list[Model]) -> tuple[np.ndarray, np.ndar
 
 
 def score(texts: Texts, models: list[Model]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the language or -1, its share, bits a byte) of each text."""
+    """(index of the language or -1, score, bits a byte) of each text.
+
+    The score is the language's share among the languages, by their code lengths, times how well the text fits it at all: 1 where it costs what texts of the language cost,
+    1/2 at FAR times that, SPARE bits more or less for what any short text may cost, and near 0 for other scripts, random letters and texts of which half is in another language.
+    """
     n = len(texts)
     if not models:
         return np.full(n, -1), np.zeros(n), np.zeros(n)
@@ -276,6 +316,9 @@ def score(texts: Texts, models: list[Model]) -> tuple[np.ndarray, np.ndarray, np
     low = total.min(1)
     share = 1 / np.exp2(np.maximum(low[:, None] - total, -1000)).sum(1)
     bits = low / np.maximum(size, 1)
+    typical = np.concatenate([np.full(len(m.languages), np.inf) if m.typical is None else m.typical for m in models])[best]
+    ratio = np.where(np.isfinite(typical), np.maximum(low - SPARE, 0) / np.maximum(size * typical, 1e-9), 0.0)
+    share = share / (1 + np.exp(np.clip((ratio - FAR) / 0.08, -50, 50)))
     # A text whose letters, if any, are all beyond ASCII is looked at by character: most signs there aren't letters.
     none = size == 0
     for i in np.flatnonzero((ascii_letters == 0) & ~none):

@@ -213,6 +213,20 @@ def test_language_accuracy_and_bounds(spark):
     assert langid.sample(docs, "text", "lang", 1 << 16, 1 << 16, 3).select("lang").distinct().count() == 3
 
 
+def test_language_score_tells_what_fits(spark):
+    """Clean texts score above a half; random letters, other scripts and texts of which half is in another language below."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models = langid.train(docs.filter(~langid.held_out()))
+    assert all(1 < x < 4 for m in models for x in m.typical)
+    clean = langid.predict(docs.select("doc_id", "text", "lang"), models)
+    assert clean.filter("score < 0.5").count() <= 3  # texts that mix two languages
+    by = {r.lang: r.t[:1500] for r in docs.filter("length(text) > 1500 AND NOT text LIKE '%$$$%'").groupBy("lang").agg(F.min_by("text", "doc_id").alias("t")).collect()}
+    whole = list(by.values())
+    odd = ["zzqx vvkj wwpq jjxz " * 10, "日本語のテキストです。" * 20, *[a[:400] + " " + b[400:800] for a, b in itertools.combinations(whole, 2)]]
+    got = [r.score for r in langid.predict(spark.createDataFrame([(x,) for x in [*odd, *whole, "the"]], "text string").coalesce(1), models).collect()]
+    assert max(got[: len(odd)]) < 0.5 < min(got[len(odd) :]), got
+
+
 def test_language_of_odd_texts(spark):
     docs = table(spark, ODD)
     model = langid.train(table(spark, [prose(50) for _ in range(5)]))
@@ -702,3 +716,50 @@ def test_pipeline_stages(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def plain_mix(rows):
+    """Rows (id, text, lang, source, n) as often as systematic sampling takes them; ids are unique."""
+    size = {r[0]: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows}
+    held = Counter()
+    for r in rows:
+        held[r[3]] += size[r[0]]
+    order = sorted((x for x in held if x is not None), key=lambda x: x.encode()) + [None] * (None in held)
+    weight = {x: (3, 1, 2)[i % 3] for i, x in enumerate(order)}
+    full, total = set(), 1.5 * sum(held.values())
+    while True:
+        free = [x for x in held if x not in full]
+        level = (total - sum(2 * held[x] for x in full)) / sum(weight[x] for x in free) if free else 0
+        over = {x for x in free if level * weight[x] > 2 * held[x]}
+        if not over:
+            break
+        full |= over
+    out = []
+    for x in held:
+        rate = (2 * held[x] if x in full else level * weight[x]) / held[x] if held[x] else 0
+        u = int(hashlib.md5(("9" if x is None else f"9:{x}").encode()).hexdigest()[:13], 16) / 2**52
+        for place, r in enumerate(sorted((r for r in rows if r[3] == x), key=lambda r: (size[r[0]], r[0]))):
+            out += [r] * (math.floor((place + 1) * rate + u) - math.floor(place * rate + u))
+    return out
+
+
+def test_pipeline_from_end_to_end(spark):
+    """run() against plain versions of its stages, each over what the one before keeps."""
+    import corpus_pipeline as cp
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs.filter(~langid.held_out()))).collect()
+    fits = {r.doc_id for r in found if r.lang_pred != "und" and r.score >= 0.5}
+    rows = [r for r in rows if r[0] in fits]
+    rows = [r for r, (i, (_, g, _)) in zip(rows, plain_join([(r[0], r[1]) for r in rows]).items(), strict=True) if i == g]
+    win = {tuple(w[j : j + 10]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() for w in [alnum(r.text)] for j in range(max(1, len(w) - 9)) if w}
+    sizes = {len(k) for k in win}
+    rows = [r for r in rows for w in [alnum(r[1])] if not any(tuple(w[a : a + n]) in win for n in sizes for a in range(len(w)))]
+    rows = plain_mix(rows)
+    shards = plain_shards([(r[0], r[1]) for r in rows], 1 << 20)
+    want = sorted((*r, shards[k][0]) for k, r in enumerate(rows))
+    got = cp.run(spark, sf)
+    assert sorted((r.doc_id, r.text, r.lang, r.source, r.n_chars, r.shard) for r in got.collect()) == want
+    assert 100 < len(want) and len(fits) > 190
