@@ -148,12 +148,3 @@ def judge_bias(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """One row: n, Pearson r (0 where undefined), mean difference."""
     r = F.corr(a, b)
     return pairs.agg(F.count(F.lit(1)).alias("n"), F.when(r.isNull() | F.isnan(r), 0.0).otherwise(r).alias("r"), F.avg(F.col(a) - F.col(b)).alias("mean_diff"))
-
-
-def streaks(events: DataFrame, is_empty: Column, by: list[str], order: list[str]) -> DataFrame:
-    """events with streak: how many empty ones, this included, have followed each other in their group."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    island = F.sum(F.when(is_empty, 0).otherwise(1)).over(w)
-    marked = events.withColumn("empty", is_empty).withColumn("island", island)
-    w2 = Window.partitionBy(*by, "island").orderBy(*order)
-    return marked.withColumn("streak", F.when(F.col("empty"), F.sum(F.col("empty").cast("int")).over(w2)).otherwise(0).cast("long")).drop("empty", "island")

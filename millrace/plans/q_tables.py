@@ -9,7 +9,7 @@ from ..functions import text as t
 from ..operators import aggregates as ag
 from ..operators import dedup as dd
 from ..operators import incremental as inc
-from ..operators import metric, setjoin
+from ..operators import metric, segments, setjoin
 from ..operators import variants as va
 from ..sources import readers
 from ..sources.scratch import stored
@@ -267,13 +267,14 @@ def tool_dedupe_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = v.table(spark, sf_dir, "events")
-    return ag.streaks(e, F.col("event_type") == "view", ["user_id"], ["ts", "event_id"]).select("event_id", "streak")
+    return segments.streaks(e, F.col("event_type") == "view", ["user_id"], ["ts", "event_id"]).select("event_id", "streak")
 
 
 @query("SELECT event_id, count(*) OVER (PARTITION BY user_id, event_type ORDER BY event_id) >= 2 AS aborts FROM events WHERE event_type = 'error'")
 def error_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id", "event_type").orderBy("event_id")
-    return v.table(spark, sf_dir, "events").filter("event_type = 'error'").select("event_id", (F.count(F.lit(1)).over(w) >= 2).alias("aborts"))
+    """The second error of a kind in a user's calls ends them, so all but the first."""
+    e = v.table(spark, sf_dir, "events").filter("event_type = 'error'").select(F.col("event_id").alias("ord"), "user_id", "event_type")
+    return dd.mark_repeats(e, F.struct("user_id", "event_type")).select(F.col("ord").alias("event_id"), F.col("is_dup").alias("aborts"))
 
 
 @query("SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 5")
@@ -284,8 +285,8 @@ def last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, coalesce(event_type <> lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id), true) AS changed FROM events")
 def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    return v.table(spark, sf_dir, "events").select("event_id", F.coalesce(F.col("event_type") != F.lag("event_type").over(w), F.lit(True)).alias("changed"))
+    e = v.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return segments.changed(e, F.col("event_type"), ["user_id"], ["event_id"]).select("event_id", "changed")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 50")
