@@ -148,3 +148,9 @@ def judge_bias(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """One row: n, Pearson r (0 where undefined), mean difference."""
     r = F.corr(a, b)
     return pairs.agg(F.count(F.lit(1)).alias("n"), F.when(r.isNull() | F.isnan(r), 0.0).otherwise(r).alias("r"), F.avg(F.col(a) - F.col(b)).alias("mean_diff"))
+
+
+def judge_bias_by(pairs: DataFrame, aspect: str, a: str, b: str) -> DataFrame:
+    """judge_bias for each aspect: (aspect, n, r, mean_diff)."""
+    r = F.corr(a, b)
+    return pairs.groupBy(aspect).agg(F.count(F.lit(1)).alias("n"), F.when(r.isNull() | F.isnan(r), 0.0).otherwise(r).alias("r"), F.avg(F.col(a) - F.col(b)).alias("mean_diff"))

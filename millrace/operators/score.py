@@ -139,3 +139,12 @@ def value_win_rate(rows: DataFrame, by: tuple[str, ...], order: str, value: str,
     won = F.when(F.col(value).isNull(), 0.5 * (F.col("group_n") - 1)).otherwise(F.col("ranges_below") + F.col("below") + 0.5 * (F.col("same_n") - 1 + F.col("null_n")))
     rates = placed.select(*by, value, F.when(F.col("group_n") > 1, F.try_divide(won, F.col("group_n") - 1)).otherwise(1.0).alias("win_rate"))
     return rows.alias("a").join(rates.alias("b"), same("a", "b", (*by, value))).select(f"a.{order}", "win_rate")
+
+
+def seeded_sample(rows: DataFrame, n: int, seed: int, key: Column, strata: list[str] | None = None) -> DataFrame:
+    """n rows, of each stratum if strata are named: those with the least md5 of "seed:key", ties by key. The same rows for a seed, however rows are dealt; rows beyond n go before anything moves."""
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary")), key]
+    if not strata:
+        return rows.orderBy(*order).limit(n)
+    nth = F.row_number().over(Window.partitionBy(*strata).orderBy(*order))
+    return rows.withColumn("sample__nth", nth).filter(F.col("sample__nth") <= n).drop("sample__nth")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import signals as sg
 from ..functions import text as t
 from ..operators import aggregates as ag
+from ..operators import score as sc
 from ..operators import variants as va
 from ..sources import sinks
 from . import views as v
@@ -133,11 +134,10 @@ def score_hist_by_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept(spark, sf_dir).groupBy("mode", ag.score_bin(F.col("final_score")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(f"{KEPT} SELECT ord, record_hash FROM kept WHERE NOT accepted ORDER BY md5('42:' || record_hash), record_hash LIMIT 20")
 def rejected_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty rejected rows, the same ones each time."""
-    rows = kept(spark, sf_dir).filter("NOT accepted")
-    return rows.orderBy(F.xxhash64("record_hash", F.lit(42))).limit(20).select("ord", "record_hash")
+    return sc.seeded_sample(kept(spark, sf_dir).filter("NOT accepted"), 20, 42, F.col("record_hash")).select("ord", "record_hash")
 
 
 @query(f"{LABELLED} SELECT label, count(ord) AS n, round_even(count(ord) / (SELECT count(*) FROM labelled), 4) AS rate FROM (SELECT unnest(['OK', 'REVIEW', 'NG']) AS label) LEFT JOIN labelled ON label = screening_label GROUP BY label")
@@ -280,6 +280,18 @@ def judge_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.judge_bias(s, "a", "b").select("n", v.r6("r").alias("r"), v.r6("mean_diff").alias("mean_diff"))
 
 
+@query(
+    f"""WITH {v.SCORED}, p AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY style_id ORDER BY md5('42:' || record_hash), record_hash) <= 200),
+    a AS (SELECT final_score, unnest(['LEN-A', 'TRUNC', 'LANG-JA', 'REPEAT-NG', 'END-WELL']) AS aspect, unnest([s1, s2, s3, s4, s5]) AS s FROM p)
+    SELECT aspect, count(*) AS n, round(CASE WHEN stddev_pop(s) > 0 AND stddev_pop(final_score) > 0 THEN corr(s, final_score) ELSE 0 END, 6) AS r, round(avg(s - final_score), 6) AS mean_diff FROM a GROUP BY aspect"""
+)
+def judge_bias_by_aspect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each signal against the composite, over a seeded sample of 200 rows a style."""
+    some = sc.seeded_sample(v.scored(spark, sf_dir), 200, 42, F.col("record_hash"), ["style_id"])
+    long = some.select("final_score", F.explode("signal_scores").alias("aspect", "s"))
+    return ag.judge_bias_by(long, "aspect", "s", "final_score").select("aspect", "n", v.r6("r").alias("r"), v.r6("mean_diff").alias("mean_diff"))
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, event_type LIMIT 20")
 def sort_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.top(v.table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("key")).agg(F.count(F.lit(1)).alias("n")), 20).withColumnRenamed("key", "event_type")

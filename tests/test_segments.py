@@ -35,3 +35,17 @@ def test_a_hot_user_over_many_tasks(spark, values):
     per = segments.dealt(df, ["who"], ["ord"], 8).groupBy(segments.PART).count().collect()
     assert len(per) == 8 and max(r["count"] for r in per) < 300
     assert segments.streaks(df.limit(0), F.col("kind") == "view", ["who"], ["ord"]).count() == 0
+
+
+def test_seeded_samples(spark):
+    from millrace.operators import score as sc
+
+    import hashlib
+
+    rows = [(i, f"h{i}", "ab"[i % 9 == 0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "ord long, h string, style string").repartition(7)
+    order = lambda r: (hashlib.md5(f"5:{r[1]}".encode()).hexdigest(), r[1])
+    assert sorted(r.ord for r in sc.seeded_sample(df, 20, 5, F.col("h")).collect()) == sorted(r[0] for r in sorted(rows, key=order)[:20])
+    got = sc.seeded_sample(df, 20, 5, F.col("h"), ["style"]).collect()
+    want = [r[0] for s in "ab" for r in sorted((r for r in rows if r[2] == s), key=order)[:20]]
+    assert sorted(r.ord for r in got) == sorted(want)
