@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -15,9 +15,13 @@ from ..sources.versions import read, rewrite
 K1, B, EPSILON = 1.5, 0.75, 0.25
 
 
+#: Folders that a kept index deals its terms into.
+BUCKETS = 64
+
+
 @dataclass
 class Index:
-    """postings (term, doc, tf), docs (doc, dl), terms (term, df, idf)."""
+    """postings (term, doc, tf, dl), docs (doc, dl), terms (term, df, idf); postings and terms of a kept index have the bucket of their term."""
 
     postings: DataFrame
     docs: DataFrame
@@ -31,7 +35,7 @@ def build(rows: DataFrame, doc: str = "ord", text: str = "search_text") -> Index
     # The index is what other queries read: it is written once. A document's terms are counted where it stands.
     counted = tokens.select("doc", F.size("tokens").alias("dl"), F.explode_outer("tokens").alias("term")).groupBy("doc", "dl", "term").agg(F.count("term").alias("tf"))
     counted = stored(counted, "postings")
-    postings = counted.filter("term IS NOT NULL").select("term", "doc", "tf")
+    postings = counted.filter("term IS NOT NULL").select("term", "doc", "tf", "dl")
     docs = counted.select("doc", "dl").distinct()
     n, average = docs.agg(F.count(F.lit(1)), F.avg("dl")).first()
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -41,16 +45,25 @@ def build(rows: DataFrame, doc: str = "ord", text: str = "search_text") -> Index
     return Index(postings, docs, terms, average or 1.0)
 
 
-TOKENIZER = "v1"
+TOKENIZER = "v2"
 _MANIFEST = "source string, tokenizer string, average double"
-_POSTINGS, _DOCS, _TERMS = "term string, doc long, tf long", "doc long, dl int", "term string, df long, idf double"
+_POSTINGS, _DOCS, _TERMS = "term string, doc long, tf long, dl int, bucket int", "doc long, dl int", "term string, df long, idf double, bucket int"
+
+
+def bucket_of(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
 def save(index: Index, path: str, source: str) -> None:
-    """Keep the index under path; source: what names the state of its records, such as a fingerprint of their files."""
+    """Keep the index under path; source: what names the state of its records, such as a fingerprint of their files.
+
+    Postings and terms lie in folders by the hash of the term, in order of term within a file, so a search reads the folders of its terms, and of these the row groups that can hold them.
+    """
     spark = index.postings.sparkSession
-    for name, df in (("postings", index.postings), ("docs", index.docs), ("terms", index.terms)):
-        rewrite(df, f"{path}/{name}")
+    for name, df in (("postings", index.postings), ("terms", index.terms)):
+        dealt = df.withColumn("bucket", bucket_of(F.col("term"))).repartition("bucket").sortWithinPartitions("bucket", "term")
+        rewrite(dealt, f"{path}/{name}", by=["bucket"])
+    rewrite(index.docs, f"{path}/docs")
     rewrite(spark.createDataFrame([(source, TOKENIZER, float(index.average))], _MANIFEST), f"{path}/manifest")
 
 
@@ -63,17 +76,25 @@ def load(spark: SparkSession, path: str, source: str) -> Index | None:
     return Index(postings, docs, terms, known.average)
 
 
+def asked_of(df: DataFrame, words: list) -> DataFrame:
+    """The rows of an index's table with one of some words (term, bucket); of a kept index only their folders are read."""
+    own = df.filter(F.col("term").isin(sorted({w.term for w in words})))
+    return own.filter(F.col("bucket").isin(sorted({w.bucket for w in words}))) if "bucket" in df.columns else own
+
+
 def search(index: Index, rows: DataFrame, query: str, doc: str = "ord", limit: int = 50, offset: int = 0) -> DataFrame:
     """rows, filtered already, with rank and score: best first, ties and unmatched rows in input order."""
     spark = rows.sparkSession
-    parts = [r[0] for r in spark.range(1).select(F.explode(t.tokenize(F.lit(query)))).collect()]  # the query's few words
+    word = spark.range(1).select(F.explode(t.tokenize(F.lit(query))).alias("term"))
+    words = word.select("term", bucket_of(F.col("term")).alias("bucket")).collect()  # the query's few words
+    parts = [r.term for r in words]
     if not query.strip():
         hits = rows.withColumn("score", F.lit(0.0))
     elif not parts:
         return rows.withColumn("score", F.lit(0.0)).limit(0)
     else:
         asked = spark.createDataFrame([(p,) for p in parts], "term string").groupBy("term").agg(F.count(F.lit(1)).alias("times"))
-        met = index.postings.join(F.broadcast(asked), "term").join(index.terms.select("term", "idf"), "term").join(index.docs, "doc")
+        met = asked_of(index.postings, words).join(F.broadcast(asked), "term").join(asked_of(index.terms, words).select("term", "idf"), "term")
         part = F.col("times") * F.col("idf") * (F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / index.average)))
         scores = met.groupBy("doc").agg(F.sum(part).alias("score"))
         hits = rows.join(scores, rows[doc] == scores["doc"], "left").drop("doc").withColumn("score", F.coalesce("score", F.lit(0.0)))

@@ -497,6 +497,10 @@ def test_versions_are_whole_and_indexes_go_stale(spark, tmp_path):
     assert se.load(spark, where, "s2") is None
     want, got = (se.search(i, docs, "c b").select("ord", "score").collect() for i in (index, se.load(spark, where, "s1")))
     assert want == got
+    kept = se.load(spark, where, "s1")
+    word = spark.createDataFrame([("c",)], "term string").select("term", se.bucket_of(F.col("term")).alias("bucket")).first()
+    plan = se.asked_of(kept.postings, [word])._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull(bucket" in plan and str(word.bucket) in plan and "EqualTo(term,c)" in plan
 
 
 def test_unknown_styles_and_odd_responses(spark):
