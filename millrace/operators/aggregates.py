@@ -59,9 +59,10 @@ def keep_cube(scores: DataFrame, keys: list[str]) -> DataFrame:
     return cube.select(*[F.when(F.col(f"g_{k}") == 1, "all").otherwise(F.col(k)).alias(k) for k in keys], "total", "kept", "keep_rate")
 
 
-def reasons(scores: DataFrame, n: int = 10) -> DataFrame:
-    each = scores.select(F.explode("rejected_by").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    return top(each, n)
+def reasons(scores: DataFrame, n: int = 10, order: str = "ord") -> DataFrame:
+    """(key, n) of the n most frequent reasons; of equally frequent ones the one that was seen first."""
+    each = scores.select(order, F.posexplode("rejected_by").alias("place", "key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order, "place")).alias("first"))
+    return each.orderBy(F.desc("n"), "first").limit(n).select("key", "n")
 
 
 def score_bin(score: Column) -> Column:

@@ -193,6 +193,13 @@ def style_presets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.presets(v.table(spark, sf_dir, "documents").filter("doc_id < 100").select("doc_id", F.col("lang").alias("style_id")), known).select("doc_id", "style_id", "instruction")
 
 
+@query("SELECT doc_id, lang AS style_id, 'style ' || lang AS instruction FROM documents")
+def style_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The presets of all records; an id that no preset has would be an error."""
+    known = spark.createDataFrame([(x, f"style {x}") for x in ("de", "en", "es", "fr")], "style_id string, instruction string")
+    return va.presets(v.table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("style_id")), known).select("doc_id", "style_id", "instruction")
+
+
 @query("WITH h AS (SELECT doc_id, md5(source || chr(10) || text) AS h FROM documents) SELECT doc_id, h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] AS id FROM h")
 def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.seed_rows(v.table(spark, sf_dir, "documents"), "text", "source").select("doc_id", "id")

@@ -85,9 +85,9 @@ def curation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.curation_totals(kept(spark, sf_dir))
 
 
-@query(f"{KEPT} SELECT unnest(rejected_by) AS key, count(*) AS n FROM kept GROUP BY 1 ORDER BY n DESC, key LIMIT 10")
+@query(f"{KEPT}, e AS (SELECT ord, unnest(rejected_by) AS key, generate_subscripts(rejected_by, 1) AS place FROM kept) SELECT key, count(*) AS n FROM e GROUP BY key ORDER BY n DESC, min(ord * 100 + place) LIMIT 3")
 def reasons_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ag.reasons(kept(spark, sf_dir))
+    return ag.reasons(kept(spark, sf_dir), 3)
 
 
 SAMPLING = "'t=' || temperature::VARCHAR || ',p=' || top_p::VARCHAR"
@@ -190,9 +190,11 @@ def domain_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.domain_gap(v.docs(spark, sf_dir).withColumnRenamed("category", "domain"), domains)
 
 
-@query(f"WITH {DOMAIN_SQL} SELECT domain, greatest(1, round_even(target * (1000::DOUBLE / (SELECT sum(target) FROM domains)), 0))::BIGINT AS target FROM domains")
+@query("WITH d AS (SELECT source AS domain, count(*) AS target FROM documents GROUP BY source) SELECT domain, greatest(1, round_even(target * (1000::DOUBLE / (SELECT sum(target) FROM d)), 0))::BIGINT AS target FROM d")
 def scale_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return va.scale_targets(spark.createDataFrame(DOMAINS, "domain string, target long"), 1000)
+    """What each source has, scaled to a thousand in all."""
+    d = v.table(spark, sf_dir, "documents").groupBy(F.col("source").alias("domain")).agg(F.count(F.lit(1)).alias("target"))
+    return va.scale_targets(d, 1000)
 
 
 MARKDOWN = r"""(trim(answer) <> '' AND (regexp_matches(answer, '(?m)^#{1,6}\s+\S') OR regexp_matches(answer, '(?m)^\s*[-*+]\s+\S') OR regexp_matches(answer, '(?m)^\s*\d+\.\s+\S')

@@ -155,10 +155,15 @@ def resolve_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.join(registry, "name", "left").select("doc_id", "name", F.col("description").isNotNull().alias("known"))
 
 
-@query("""SELECT 't' || i AS name, CASE WHEN i >= 4 THEN 'adhoc' ELSE 'registry' END AS origin, CASE WHEN i < 6 THEN 0 ELSE 1 END AS first_side, i AS first_ord FROM range(9) r(i)""")
+@query(
+    """WITH l AS (SELECT source AS name, min(doc_id) AS ord FROM documents WHERE lang = 'en' GROUP BY source), r AS (SELECT source AS name, min(doc_id) AS ord FROM documents WHERE lang = 'de' AND length(text) > 3000 GROUP BY source)
+    SELECT name, CASE WHEN r.ord IS NULL THEN 'registry' ELSE 'adhoc' END AS origin, CASE WHEN l.ord IS NULL THEN 1 ELSE 0 END AS first_side, coalesce(l.ord, r.ord) AS first_ord FROM l FULL JOIN r USING (name)"""
+)
 def merge_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    make = lambda ids, origin: spark.createDataFrame([(f"t{i}", origin, i) for i in ids], "name string, origin string, ord long")
-    return va.merge_by_name(make(range(6), "registry"), make(range(4, 9), "adhoc"))
+    """The sources of English documents as a registry, those of long German ones over it."""
+    d = v.table(spark, sf_dir, "documents")
+    make = lambda rows, origin: rows.groupBy(F.col("source").alias("name")).agg(F.lit(origin).alias("origin"), F.min("doc_id").alias("ord"))
+    return va.merge_by_name(make(d.filter("lang = 'en'"), "registry"), make(d.filter("lang = 'de' AND length(text) > 3000"), "adhoc"))
 
 
 @query(f"WITH {DOCS}, f AS (SELECT ord, min(ord) OVER (PARTITION BY {v.strip('answer')}) AS first_ord FROM docs) SELECT ord, first_ord, ord > first_ord AS is_dup FROM f")
@@ -349,8 +354,9 @@ def rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def locale_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = spark.createDataFrame([(x,) for x in ("いぬ", "アリ", "うし", "犬", "abc", "ア")], "name string")
-    return names.orderBy(F.collate("name", "ja"))
+    """The words that documents begin with, in the order of a language; DuckDB has no collations here."""
+    names = v.table(spark, sf_dir, "documents").select(F.substring_index("text", " ", 1).alias("name")).distinct()
+    return names.orderBy(F.collate("name", "fr"), "name")
 
 
 @query("SELECT source AS category, lang AS style_id, count(*) AS n FROM documents GROUP BY ALL ORDER BY category, style_id LIMIT 25 OFFSET 25")

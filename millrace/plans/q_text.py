@@ -100,11 +100,24 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return se.search(index, d.filter("style_id = 'en'"), "Of idiot of").select("ord", "score")
 
 
-@query("SELECT page_id, starts_with(url, 'https://') AS secure, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host, regexp_matches(url, '^https?://(localhost|127\\.|10\\.|192\\.168\\.)') AS private FROM pages")
+GUARDED = """u AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'http://172.' || length(html) % 40 || '.0.1/a#b' WHEN 1 THEN 'http://localhost' || CASE WHEN length(html) % 2 = 0 THEN '.example.org' ELSE '' END || '/x'
+WHEN 2 THEN 'https://192.168.' || length(html) % 256 || '.7:8080/#top' ELSE 'ftp://10.0.0.' || length(html) % 256 || '/f' END FROM pages)"""
+
+
+@query(
+    rf"""WITH {GUARDED} SELECT page_id, split_part(url, '#', 1) AS page, starts_with(url, 'https://') AS secure, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host,
+    regexp_matches(url, '^https?://(localhost([/?#:]|$)|127\.|10\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[01])\.)') AS private FROM u"""
+)
 def url_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of pages, and addresses of private networks made of their lengths: without anchors, whether they are secure, and whether they must not be fetched."""
+    p = v.table(spark, sf_dir, "pages")
+    d, n = F.col("page_id"), F.length("html")
+    made = F.when(d % 4 == 0, F.concat(F.lit("http://172."), n % 40, F.lit(".0.1/a#b"))).when(d % 4 == 1, F.concat(F.lit("http://localhost"), F.when(n % 2 == 0, ".example.org").otherwise(""), F.lit("/x")))
+    made = made.when(d % 4 == 2, F.concat(F.lit("https://192.168."), n % 256, F.lit(".7:8080/#top"))).otherwise(F.concat(F.lit("ftp://10.0.0."), n % 256, F.lit("/f")))
     u = F.col("url")
     host = F.regexp_extract(u, r"^https?://([^/?#:]+)", 1)
-    return v.table(spark, sf_dir, "pages").select("page_id", u.startswith("https://").alias("secure"), host.alias("host"), host.rlike(r"^(localhost$|127\.|10\.|192\.168\.|172\.(1[6-9]|2\d|3[01])\.)").alias("private"))
+    private = host.rlike(r"^(localhost$|127\.|10\.|192\.168\.|172\.(1[6-9]|2\d|3[01])\.)")
+    return p.select("page_id", "url").union(p.select("page_id", made)).select("page_id", F.substring_index("url", "#", 1).alias("page"), u.startswith("https://").alias("secure"), host.alias("host"), private.alias("private"))
 
 
 @query()
