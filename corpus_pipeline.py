@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from millrace.llm import decontam, langid, mixing, ngram_join, sharding
 from millrace.llm.common import stored
 
-#: Of a language's share of its text's code; below it no language stands out.
-LEAST_SCORE = 0.5
+#: Texts of two halves, random letters and other scripts score far below it; capitals with accents, keys and foreign passages in a clean text above.
+LEAST_SCORE = 0.01
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of which no learned language has half the score, go."""
+    """Documents without letters, or that fit no learned language, go."""
     model = langid.train(docs.filter(~langid.held_out()))
     found = langid.predict(docs.withColumnsRenamed({c: f"doc__{c}" for c in docs.columns if c != "text"}), model)
     kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
