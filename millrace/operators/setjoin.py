@@ -1,14 +1,14 @@
 """Exact Jaccard join of shingle sets by prefix filtering.
 
 Shingles are put into one global order, common ones last. Two sets of n and m shingles that share a part t of their union
-have a shingle in common among the first n - ceil(t n) + 1 of each, so only these prefixes are indexed. Sets of one bucket are candidates, and
-candidates are verified on their whole sets. Sets that are equal are one class from the start: its least key stands for all.
+have a shingle in common among the first n - ceil(t n) + 1 of each, so only these prefixes are indexed. A pair of one bucket is a candidate if the
+lengths allow t, if what is left behind the shared shingle allows it, and if it hasn't met in the bucket of an earlier one; candidates are verified on
+their whole sets. Sets that are equal are one class from the start: its least key stands for all.
 
 The order is right whatever it is made of, it only decides the cost: shingles that are met again within a slice of the table are counted
-there, all tasks' counts are summed, and the COMMON most frequent come last, by count; others are ordered by their hash. Candidates aren't
-listed as pairs: related sets are put into blocks of at most about BLOCK sets and UNIT shingles, and two blocks that meet in some bucket are one unit of work, which
-compares all their sets by products of tiles. Each pair of sets belongs to one unit, so links are counted there. Texts are cut into shingles
-where they are needed, in Arrow batches.
+there, all tasks' counts are summed, and the COMMON most frequent come last, by count; others are ordered by their hash. A
+bucket of more than BLOCK sets is dealt into blocks that meet in pairs, each pair of blocks a join key of its own; sets travel to verification once for each
+pair of blocks of related sets, not once for each pair. Texts are cut into shingles where they are needed, in Arrow batches, and only hashes move.
 
 Words are runs of characters that aren't ASCII white space; with chars, white space is collapsed first and every character counts. A text of less than n units is its
 own shingle; one without any has no set, is its own class and has no links. Shingles are compared as 64-bit hashes. Keys are unique and not null.
@@ -23,17 +23,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..sources.scratch import stored
 
-BLOCK = 1024
+BLOCK = 512
 COMMON = 1 << 17
 #: Shingles that are verified in one unit of work, for each of its two blocks.
-UNIT = 1 << 21
+UNIT = 1 << 20
+#: Buckets a pair is checked against before it meets in a later one; it may meet again beyond them.
+HEADS = 8
 #: Shingles of a tile when many pairs are verified.
 TILE = 4096
 SLICE = 1 << 20
@@ -130,107 +132,91 @@ def classes(rows: DataFrame, t: float, n: int, chars: bool) -> DataFrame:
     return each.join(alike, ["a", "b", "size"]).select("key", "rep", "members", "size", F.when(F.col("key") == F.col("rep"), F.col("first")).alias("first"))
 
 
-def related(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of reps (rep, size, first): blocks (rep, size, block) of those that have company in a bucket, and units (a, b), a <= b, of blocks that meet in some bucket.
-
-    Sets are put side by side by labels, the least rep that a set meets in its buckets: near copies share most buckets, so they share a label, and few
-    blocks meet; sets of one label beyond a block's size are dealt by hash.
-    """
-    bucket = Window.partitionBy("gram")
-    entry = reps.select("rep", "size", F.explode("first").alias("gram"))
-    cells = entry.withColumns({"held": F.count(F.lit(1)).over(bucket), "low": F.min("rep").over(bucket)}).filter("held > 1")
-    cells = stored(cells.select("rep", "size", "gram", "low"), "buckets")
-    placed = cells.groupBy("rep", "size").agg(F.min("low").alias("label"))
-    parts = placed.groupBy("label").agg(F.greatest(F.ceil(F.sum("size") / UNIT), F.ceil(F.count(F.lit(1)) / BLOCK)).alias("parts"))
-    blocks = stored(placed.join(parts, "label").select("rep", "size", F.xxhash64("label", F.pmod(F.xxhash64("rep"), "parts")).alias("block")), "blocks")
-    inside = blocks.groupBy("block").count().filter("count > 1").select(F.col("block").alias("a"), F.col("block").alias("b"))
-    there = cells.select("rep", "gram").join(blocks.select("rep", "block"), "rep").select("gram", "block").distinct()
-    mixed = there.withColumn("blocks", F.count(F.lit(1)).over(bucket)).filter("blocks > 1")
-    mixed = stored(mixed.select("gram", "block"), "mixed")
-    across = mixed.select("gram", F.col("block").alias("a")).join(mixed.select("gram", F.col("block").alias("b")), "gram").filter("a < b").select("a", "b").distinct()
-    return blocks, inside.union(across)
-
-
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """[left, right] how many shingles the sets share, by products of tiles, sets x shingles that several of them hold."""
-    both = [*left, *right]
-    _, column, held = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(both)), [len(g) for g in both])
+def candidates(reps: DataFrame, t: float) -> tuple[DataFrame, DataFrame]:
+    """Of reps (rep, size, first): pairs (u, v) that the filters leave, each once, and homes (rep, size, home), home the first bucket of a set that has company."""
+    entry = reps.select("rep", "size", F.posexplode("first").alias("pos", "gram"))
+    full = entry.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    met = entry.join(full, "gram").groupBy("rep", "size").agg(F.array_sort(F.collect_list(F.struct("pos", "gram", "held"))).alias("e"))
+    met = stored(met, "buckets")
+    placed = met.select("rep", "size", F.transform(F.slice("e", 1, HEADS), lambda x: x["gram"]).alias("heads"), F.posexplode("e").alias("i", "x"))
+    blocks = F.ceil(F.col("x.held") / BLOCK).cast("int")
+    placed = placed.select("rep", "size", F.col("x.gram").alias("gram"), F.col("x.pos").alias("pos"), F.slice("heads", F.lit(1), F.least("i", F.lit(HEADS))).alias("early"), blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
+    left = placed.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1))).select(F.col("gram"), F.col("block").alias("lo"), F.col("other").alias("hi"), *[F.col(c).alias(f"{c}1") for c in ("rep", "size", "pos", "early")])
+    right = placed.withColumn("other", F.explode(F.sequence(F.lit(0), "block"))).select(F.col("gram"), F.col("other").alias("lo"), F.col("block").alias("hi"), *[F.col(c).alias(f"{c}2") for c in ("rep", "size", "pos", "early")])
+    both = left.join(right, ["gram", "lo", "hi"]).filter((F.col("lo") < F.col("hi")) | (F.col("rep1") < F.col("rep2")))
+    need = F.lit(t / (1 + t)) * (F.col("size1") + F.col("size2")) - 1e-9
+    rest = F.least(F.col("size1") - F.col("pos1"), F.col("size2") - F.col("pos2"))
+    fit = (F.col("size1") >= F.col("size2") * t - 1e-9) & (F.col("size2") >= F.col("size1") * t - 1e-9) & (rest >= need)
+    pairs = both.filter(fit).filter(~F.arrays_overlap("early1", "early2")).select(F.least("rep1", "rep2").alias("u"), F.greatest("rep1", "rep2").alias("v")).distinct()
+    return pairs, met.select("rep", "size", F.col("e")[0]["gram"].alias("home"))
+
+
+def overlaps(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """How many shingles the sets u[i] and v[i] share. Few pairs are met one by one; many by products of tiles, sets x shingles that several hold."""
+    if len(u) <= 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(u, v, strict=True)], dtype=np.int64)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(g) for g in sets])
     several = held[column] > 1
-    row, column = row[several], (np.cumsum(held > 1) - 1)[column[several]]
+    place = np.cumsum(held > 1) - 1
+    row, column = row[several], place[column[several]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
     for lo in range(0, int(column.max(initial=-1)) + 1, TILE):
         i, j = np.searchsorted(column, [lo, lo + TILE])
-        tile = np.zeros((len(both), min(TILE, column[j - 1] - lo + 1)), dtype=np.float32)
+        tile = np.zeros((len(sets), TILE), dtype=np.float32)
         tile[row[i:j], column[i:j] - lo] = 1
-        out += (tile[: len(left)] @ tile[len(left) :].T).astype(np.int64)
-    return out
-
-
-def _near(texts: pa.StructArray, t: float, n: int, chars: bool) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, weights, i, j, jaccard) of a unit's pairs i, j at t or more; texts: (left, rep, w, text)."""
-    side, keys, weights, raw = texts.flatten()
-    side, weights = side.to_numpy(zero_copy_only=False), weights.to_numpy(zero_copy_only=False)
-    sets = [grams(x, n, chars) for x in raw.to_pylist()]
-    size = np.array([len(g) for g in sets])
-    one = np.flatnonzero(side)
-    two = np.flatnonzero(~side) if not side.all() else one
-    shared = overlaps([sets[i] for i in one], [sets[j] for j in two])
-    jaccard = shared / (size[one][:, None] + size[two] - shared)
-    i, j = np.nonzero(jaccard >= t - 1e-12)
-    if two is one:
-        i, j = i[i < j], j[i < j]
-    return keys.to_pylist(), weights, one[i], two[j], jaccard[i, j]
-
-
-def _units(rows: DataFrame, key: str, text: str, t: float, n: int, chars: bool) -> tuple[DataFrame, DataFrame]:
-    """(classes (key, rep, members, ...), units (texts): the texts of each unit of work)."""
-    rows = rows.select(F.col(f"`{key}`").alias("rep"), F.col(f"`{text}`").alias("text"))
-    every = stored(classes(rows, t, n, chars), "classes")
-    blocks, units = related(every.filter("key = rep").select("rep", "size", "first"))
-    held = stored(blocks.join(every.filter("key = rep").select("rep", F.col("members").alias("w")), "rep").select("rep", "w", "block"), "held")
-    units = stored(units, "units")
-    sent = units.join(held, F.col("a") == F.col("block")).select("a", "b", F.lit(True).alias("left"), "rep", "w")
-    sent = sent.union(units.filter("a < b").join(held, F.col("b") == F.col("block")).select("a", "b", F.lit(False), "rep", "w"))
-    # Texts travel, which pack better than hashes.
-    texts = sent.join(rows, "rep").groupBy("a", "b").agg(F.collect_list(F.struct("left", "rep", "w", "text")).alias("texts"))
-    return every, texts.select("texts")
+        both += tile @ tile.T
+    return both[u, v].astype(np.int64)
 
 
-def links(rows: DataFrame, key: str, text: str, t: float = 0.8, n: int = 5, chars: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(classes, pairs): (key, rep, members) of every text with a set, and (u, v, jaccard) of the pairs u < v of classes with jaccard >= t."""
-    kind = rows.schema[key].dataType
-    out = T.StructType([T.StructField("u", kind), T.StructField("v", kind), T.StructField("jaccard", T.DoubleType())])
-    every, units = _units(rows, key, text, t, n, chars)
+def _shared(work: DataFrame, n: int, chars: bool) -> DataFrame:
+    """(u, v, shared) of units of work (pairs, texts)."""
+    kind = work.schema["pairs"].dataType.elementType["u"].dataType
+    out = T.StructType([T.StructField("u", kind), T.StructField("v", kind), T.StructField("shared", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x in range(batch.num_rows):
-                keys, _, i, j, jaccard = _near(batch.column(0)[x].values, t, n, chars)
-                both = [sorted((keys[a], keys[b])) for a, b in zip(i, j, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in both], type=to_arrow_type(kind)), pa.array([p[1] for p in both], type=to_arrow_type(kind)), pa.array(jaccard)], names=["u", "v", "jaccard"])
+            for i in range(batch.num_rows):
+                (u, v), (keys, texts) = batch.column(0)[i].values.flatten(), batch.column(1)[i].values.flatten()
+                at = {k: j for j, k in enumerate(keys.to_pylist())}
+                sets = [grams(x, n, chars) for x in texts.to_pylist()]
+                a, b = (np.array([at[k] for k in c.to_pylist()], dtype=np.int64) for c in (u, v))
+                yield pa.RecordBatch.from_arrays([u, v, pa.array(overlaps(sets, a, b))], names=["u", "v", "shared"])
 
-    return every.select("key", "rep", "members"), units.mapInArrow(run, out)
+    return work.mapInArrow(run, out)
 
 
-def linked(rows: DataFrame, key: str, text: str, t: float = 0.8, n: int = 5, chars: bool = False) -> DataFrame:
-    """(key, class_id, n_links) of every row: the least key with an equal set, and how many other rows are at t or more. No pair leaves a unit of work."""
-    kind = rows.schema[key].dataType
-    out = T.StructType([T.StructField("rep", kind), T.StructField("near", T.LongType())])
-    every, units = _units(rows, key, text, t, n, chars)
+def links(rows: DataFrame, key: str, text: str, t: float = 0.8, n: int = 5, chars: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(classes, pairs): (key, rep, members) of every text with a set, and (u, v, jaccard) of the pairs u < v of classes with jaccard >= t."""
+    rows = rows.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
+    every = stored(classes(rows, t, n, chars), "classes")
+    pairs, homes = candidates(every.filter("key = rep").select("rep", "size", "first"), t)
+    pairs = stored(pairs, "candidates")
+    # Related sets are verified side by side: those of one home, in blocks of bounded size.
+    weight = homes.groupBy("home").agg(F.greatest(F.ceil(F.sum("size") / UNIT), F.ceil(F.count(F.lit(1)) / BLOCK)).alias("parts"))
+    asked = pairs.select(F.col("u").alias("rep")).union(pairs.select("v")).distinct()
+    block = stored(homes.join(asked, "rep", "left_semi").join(weight, "home").select("rep", "size", F.xxhash64("home", F.pmod(F.xxhash64("rep"), "parts")).alias("block")), "blocks")
+    one = block.select(F.col("rep").alias("u"), F.col("block").alias("bu"), F.col("size").alias("su"))
+    two = block.select(F.col("rep").alias("v"), F.col("block").alias("bv"), F.col("size").alias("sv"))
+    sent = stored(pairs.join(one, "u").join(two, "v"), "sent")
+    listed = sent.groupBy("bu", "bv").agg(F.collect_list(F.struct("u", "v")).alias("pairs"))
+    needed = sent.select("bu", "bv", F.col("u").alias("rep")).union(sent.select("bu", "bv", "v")).distinct()
+    # Texts travel, which pack better than hashes.
+    texts = needed.join(rows.toDF("rep", "text"), "rep").groupBy("bu", "bv").agg(F.collect_list(F.struct("rep", "text")).alias("texts"))
+    shared = _shared(listed.join(texts, ["bu", "bv"]).select("pairs", "texts"), n, chars).join(sent.select("u", "v", "su", "sv"), ["u", "v"])
+    jaccard = F.col("shared") / (F.col("su") + F.col("sv") - F.col("shared"))
+    found = shared.withColumn("jaccard", jaccard).filter(F.col("jaccard") >= t - 1e-12).select("u", "v", "jaccard")
+    return every.select("key", "rep", "members"), found
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x in range(batch.num_rows):
-                keys, weights, i, j, _ = _near(batch.column(0)[x].values, t, n, chars)
-                near = np.zeros(len(keys), dtype=np.int64)
-                np.add.at(near, i, weights[j])
-                np.add.at(near, j, weights[i])
-                some = np.flatnonzero(near)
-                yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in some], type=to_arrow_type(kind)), pa.array(near[some])], names=["rep", "near"])
-
-    near = units.mapInArrow(run, out).groupBy("rep").agg(F.sum("near").alias("near"))
+
+def linked(rows: DataFrame, key: str, text: str, t: float = 0.8, n: int = 5, chars: bool = False) -> DataFrame:
+    """(key, class_id, n_links) of every row: the least key with an equal set, and how many other rows are at t or more."""
+    every, pairs = links(rows, key, text, t, n, chars)
+    pairs = stored(pairs, "links")
+    size = every.filter("key = rep").select("rep", "members")
+    ends = pairs.select(F.col("u").alias("rep"), F.col("v").alias("to")).union(pairs.select("v", "u"))
+    near = ends.join(size.withColumnsRenamed({"rep": "to"}), "to").groupBy("rep").agg(F.sum("members").alias("near"))
     own = every.join(near, "rep", "left").select("key", F.col("rep").alias("class_id"), (F.col("members") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
     return rows.select(F.col(f"`{key}`").alias("key")).join(own, "key", "left").select(F.col("key").alias(key), F.coalesce("class_id", "key").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -59,15 +59,11 @@ def test_links_equal_all_pairs(spark, t, chars):
 
 
 def test_large_buckets_are_dealt_into_blocks(spark):
-    """More sets than a block in one bucket: blocks stay small, and each two sets meet in one unit."""
+    """More sets than a block in one bucket: every pair is a candidate once, in units that no bucket's size bounds."""
     n = 3 * setjoin.BLOCK // 2
-    reps = spark.createDataFrame([(i, 10, [1, 2, 100 + i]) for i in range(n)] + [(n, 3, [5]), (n + 1, 3, [6]), (n + 2, 3, [6])], "rep long, size long, first array<long>")
-    blocks, units = setjoin.related(reps)
-    of = {r.rep: r.block for r in blocks.collect()}
-    met = [(r.a, r.b) for r in units.collect()]
-    assert len(of) == n + 2 and n not in of and len(met) == len(set(met)) and all(a <= b for a, b in met)
-    assert {tuple(sorted((of[i], of[j]))) for i in range(n) for j in range(i)} | {(of[n + 1], of[n + 2])} == set(met)
-    assert max(list(of.values()).count(b) for b in set(of.values())) < setjoin.BLOCK * 1.2
+    reps = spark.createDataFrame([(i, 10, [1, 2, 100 + i]) for i in range(n)], "rep long, size long, first array<long>")
+    pairs, homes = setjoin.candidates(reps, 0.7)
+    assert pairs.count() == n * (n - 1) // 2 == pairs.filter("u < v").count() and homes.count() == n
 
 
 def test_pairs_carry_their_similarity(spark):
@@ -89,9 +85,10 @@ def test_prefix_holds_what_it_must():
     assert list(setjoin.prefix(np.arange(10), 0.8, np.arange(8), np.arange(8))) == [8, 9, 0]
 
 
-def test_overlaps_by_tiles(monkeypatch):
+def test_overlaps_one_by_one_and_by_tiles(monkeypatch):
     rng = np.random.default_rng(1)
     monkeypatch.setattr(setjoin, "TILE", 64)
-    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 60))) for _ in range(30)]
-    want = [[len(set(a) & set(b)) for b in sets[12:]] for a in sets[:12]]
-    assert setjoin.overlaps(sets[:12], sets[12:]).tolist() == want
+    sets = [np.unique(rng.integers(0, 400, rng.integers(0, 60))) for _ in range(30)]
+    u, v = map(np.array, zip(*[(i, j) for i in range(30) for j in range(i)]))
+    want = [len(set(sets[i]) & set(sets[j])) for i, j in zip(u, v)]
+    assert setjoin.overlaps(sets, u, v).tolist() == want and setjoin.overlaps(sets, u[:9], v[:9]).tolist() == want[:9]
