@@ -65,6 +65,13 @@ def reasons(scores: DataFrame, n: int = 10, order: str = "ord") -> DataFrame:
     return each.orderBy(F.desc("n"), "first").limit(n).select("key", "n")
 
 
+def exact_sum(c: Column) -> Column:
+    """The sum of doubles by their decimal values, rounded once, so that the order of rows doesn't matter; a plain sum where a value has more than 12 places or 26 digits before them."""
+    d = c.try_cast("decimal(38,12)")
+    odd = F.count_if(c.isNotNull() & F.coalesce(d.cast("double") != c, F.lit(True)))
+    return F.coalesce(F.when(odd == 0, F.try_sum(d).cast("double")), F.sum(c))
+
+
 def score_bin(score: Column) -> Column:
     """The lower end, in per cent, of a score's ten-point bin; 100 counts in the last."""
     pct = F.bround(score * 100)

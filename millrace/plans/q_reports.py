@@ -246,7 +246,7 @@ def turn_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def progress_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percent done, and seconds left at the mean pace, with seven to go."""
-    e = v.table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("done"), F.sum("value").alias("spent"))
+    e = v.table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("done"), ag.exact_sum(F.col("value")).alias("spent"))
     return e.select("user_id", F.floor(100 * F.col("done") / (F.col("done") + 7)).alias("percent"), F.floor(F.col("spent") / F.col("done") * 7).alias("remaining"))
 
 
