@@ -85,9 +85,9 @@ def curation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.curation_totals(kept(spark, sf_dir))
 
 
-@query(f"{KEPT}, e AS (SELECT ord, unnest(rejected_by) AS key, generate_subscripts(rejected_by, 1) AS place FROM kept) SELECT key, count(*) AS n FROM e GROUP BY key ORDER BY n DESC, min(ord * 100 + place) LIMIT 3")
+@query(f"{KEPT}, e AS (SELECT ord, unnest(rejected_by) AS key, generate_subscripts(rejected_by, 1) AS place FROM kept) SELECT key, count(*) AS n FROM e GROUP BY key ORDER BY n DESC, min(ord * 100 + place) LIMIT 10")
 def reasons_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ag.reasons(kept(spark, sf_dir), 3)
+    return ag.reasons(kept(spark, sf_dir))
 
 
 SAMPLING = "'t=' || temperature::VARCHAR || ',p=' || top_p::VARCHAR"
