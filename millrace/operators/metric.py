@@ -2,8 +2,9 @@
 
 The angle between vectors is a metric, so the triangle inequality says what can't be near. Every vector is a resident of the cell of its nearest
 pivot; a cell has a radius. A vector is a guest of a cell with a higher number only if neither the cell's radius nor the fact that its residents
-are nearer to their pivot than to the vector's own rules out an angle of t there. Residents meet residents and guests of their cell, as blocks of at most
-BLOCK vectors each, one pair of blocks a unit of work, so a crowded cell, a common vector or many guests spread over tasks. Pivots are the vectors with the least
+are nearer to their pivot than to the vector's own rules out an angle of t there. Residents meet residents and guests of their cell, as blocks of about
+BLOCK vectors each, one pair of blocks a unit of work, so a crowded cell, a common vector or many guests spread over tasks. A vector moves once for
+each block that it meets, so blocks are large; a unit compares them TILE vectors at a time. Pivots are the vectors with the least
 hashes of their ids, at most MOST_PIVOTS; what the driver holds is they and a few numbers a cell.
 
 Vectors of unlike length aren't similar, nor are empty and zero ones, and those with nulls, NaN or infinities. Ids are unique; t is above 0.
@@ -23,7 +24,9 @@ from pyspark.sql import types as T
 
 from ..sources.scratch import stored
 
-BLOCK = 1024
+BLOCK = 16384
+#: Vectors of a block that are compared at once, and that are dealt out at once.
+TILE = 512
 MOST_PIVOTS = 256
 #: What rounding may add to an angle near 0.
 SLACK = 1e-6
@@ -99,8 +102,8 @@ def units(vectors: DataFrame, cells: Cells, dims: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, BLOCK):
-                batch = whole.slice(at, BLOCK)
+            for at in range(0, whole.num_rows, TILE):
+                batch = whole.slice(at, TILE)
                 x = _unit(batch, dims)
                 home, which, cell = cells.visits(x)
                 dealt = batch.column(3).to_numpy(zero_copy_only=False)
@@ -112,8 +115,8 @@ def units(vectors: DataFrame, cells: Cells, dims: int) -> DataFrame:
                     rows += [(c, own, j, True, i) for j in range(int(rooms[c]))]
                 for i, c in zip(which.tolist(), cell.tolist(), strict=True):
                     rows += [(c, j, int(dealt[i] % rooms[c]), False, i) for j in range(int(blocks[c]))]
-                for lo in range(0, len(rows), 8 * BLOCK):
-                    a = np.array(rows[lo : lo + 8 * BLOCK], dtype=np.int64)
+                for lo in range(0, len(rows), 16 * TILE):
+                    a = np.array(rows[lo : lo + 16 * TILE], dtype=np.int64)
                     e = pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1) * dims, type=pa.int32()), pa.array(x[a[:, 4]].ravel()))
                     yield pa.RecordBatch.from_arrays([*[pa.array(a[:, j].astype(np.int32)) for j in range(3)], pa.array(a[:, 3].astype(bool)), batch.column(0).take(pa.array(a[:, 4])), batch.column(2).take(pa.array(a[:, 4])), e], names=out.fieldNames())
 
@@ -122,18 +125,23 @@ def units(vectors: DataFrame, cells: Cells, dims: int) -> DataFrame:
 
 def _met(pdf: pd.DataFrame, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(id, id, cosine) of the similar pairs of a unit."""
-    left, b = pdf["left"].to_numpy(), int(pdf["b"].iloc[0])
+    left, block = pdf["left"].to_numpy(), int(pdf["b"].iloc[0])
     ids, e = pdf["id"].to_numpy(), pdf["e"].to_numpy()
     one = np.flatnonzero(left)
-    two = one if b < 0 and -1 - b == int(pdf["a"].iloc[0]) else np.flatnonzero(~left)
+    two = one if block < 0 and -1 - block == int(pdf["a"].iloc[0]) else np.flatnonzero(~left)
     if not len(one) or not len(two):
         return ids[:0], ids[:0], np.zeros(0)
-    s = np.stack(e[one]) @ np.stack(e[two]).T
-    i, j = np.nonzero(s >= t)
-    if one is two:
-        keep = ids[one[i]] < ids[two[j]]
-        i, j = i[keep], j[keep]
-    return ids[one[i]], ids[two[j]], s[i, j]
+    a, b = ids[one], ids[two]
+    x, y = np.stack(e[one]), np.stack(e[two]).T
+    found = []
+    for lo in range(0, len(one), TILE):
+        s = x[lo : lo + TILE] @ y
+        i, j = np.nonzero(s >= t)
+        if one is two:
+            keep = a[lo + i] < b[j]
+            i, j = i[keep], j[keep]
+        found.append((a[lo + i], b[j], s[i, j]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
 def _good(rows: DataFrame, name: str, vector: str) -> DataFrame:
@@ -173,8 +181,8 @@ def neighbours(rows: DataFrame, t: float, name: str = "vec_id", vector: str = "e
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b, _ = _met(pdf, t)
-        weight = dict(zip(pdf["id"], pdf["w"], strict=True))
-        both = pd.DataFrame({"id": np.concatenate([a, b]), "n": [weight[x] for x in np.concatenate([b, a])]})
+        weight = pdf.drop_duplicates("id").set_index("id")["w"]
+        both = pd.DataFrame({"id": np.concatenate([a, b]), "n": weight.reindex(np.concatenate([b, a])).to_numpy(dtype=np.int64)})
         return both.groupby("id", as_index=False)["n"].sum()
 
     every = _good(rows, name, vector).withColumns({"x": F.xxhash64("e"), "y": F.xxhash64(F.lit(1), "e")})
