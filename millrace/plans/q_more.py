@@ -37,9 +37,9 @@ def dup_index_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dup_index_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by min-hash bands."""
     path = scratch(spark, "seen")
-    placed = dd.buckets(dd.signatures(v.docs(spark, sf_dir), "answer"))
-    dd.remember(placed.filter("ord % 2 = 0"), path)
-    return dd.seen_before(placed.filter("ord % 2 = 1"), path)
+    placed = lambda run: dd.buckets(dd.signatures(v.docs(spark, sf_dir).filter(run), "answer"))
+    dd.remember(placed("ord % 2 = 0"), path)
+    return dd.seen_before(placed("ord % 2 = 1"), path)
 
 
 @query(f"""WITH {DOCS}, k AS (SELECT ord, {KEY} AS k, min(ord) OVER (PARTITION BY {KEY}) AS f FROM docs)
