@@ -5,6 +5,9 @@ have a shingle in common among the first n - ceil(t n) + 1 of each, so only thes
 lengths allow t, if what is left behind the shared shingle allows it, and if it hasn't met in the bucket of an earlier one; candidates are verified on
 their whole sets. Sets that are equal are one class from the start: its least key stands for all.
 
+Most candidates share a passage or a chance shingle and little else. So that their texts needn't move, each set has a row of bits, of which each shingle turns one over:
+two rows differ in no more bits than the sets differ in shingles, which rules out pairs below t and no others (the bitmap filter of Sandes, Teodoro and Melo).
+
 The order is right whatever it is made of, it only decides the cost: shingles that are met again within a slice of the table are counted
 there, all tasks' counts are summed, and the COMMON most frequent come last, by count; others are ordered by their hash. A
 bucket of more than BLOCK sets is dealt into blocks that meet in pairs, each pair of blocks a join key of its own; sets travel to verification once for each
@@ -116,20 +119,40 @@ def prefix(g: np.ndarray, t: float, order: np.ndarray, rank: np.ndarray) -> np.n
     return g[first[: len(g) - int(np.ceil(t * len(g) - 1e-9)) + 1]]
 
 
-def classes(rows: DataFrame, t: float, n: int, chars: bool) -> DataFrame:
-    """(key, rep, members, size, first) of every text with a set: its class, and for the key that stands for it the prefix."""
+def bits(g: np.ndarray) -> bytes:
+    """A row of 2^k bits, one for one or two shingles and 64 at least; each shingle turns over the bit that its last k bits name."""
+    k = max(6, (len(g) - 1).bit_length() - 1)
+    return np.packbits((np.bincount(g & ((1 << k) - 1), minlength=1 << k) & 1).astype(np.uint8)).tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """In how many bits two rows differ, the longer one folded to the length of the other: at most the number of shingles that only one of the sets has."""
+    a, b = sorted((np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _prefixes(rows: DataFrame, t: float, n: int, chars: bool) -> DataFrame:
+    """(key, a, b, size, first, bits) of every text with a set: its digest, its size, its prefix and its row of bits."""
     common = _common(rows, n, chars)
     sort = np.argsort(common)
     order, rank = common[sort], sort
 
     def make(g: np.ndarray) -> list:
         both = np.frombuffer(blake2b(g.tobytes(), digest_size=16).digest(), dtype=np.int64).tolist()
-        return [*both, len(g), prefix(g, t, order, rank)]
+        return [*both, len(g), prefix(g, t, order, rank), bits(g)]
+
+    longs = [T.StructField(c, T.LongType()) for c in ("a", "b", "size")]
+    fields = [*longs, T.StructField("first", T.ArrayType(T.LongType())), T.StructField("bits", T.BinaryType())]
+    return _each(rows, make, fields, n, chars).withColumnRenamed(rows.columns[0], "key")
 
-    fields = [T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("size", T.LongType()), T.StructField("first", T.ArrayType(T.LongType()))]
-    each = stored(_each(rows, make, fields, n, chars).withColumnRenamed(rows.columns[0], "key"), "prefixes")
-    alike = each.groupBy("a", "b", "size").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("members"))
-    return each.join(alike, ["a", "b", "size"]).select("key", "rep", "members", "size", F.when(F.col("key") == F.col("rep"), F.col("first")).alias("first"))
+
+def classes(each: DataFrame) -> DataFrame:
+    """(key, rep, members, size) of rows (key, a, b, size): the class of each set."""
+    own = each.select("key", "a", "b", "size")
+    alike = own.groupBy("a", "b", "size").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("members"))
+    return own.join(alike, ["a", "b", "size"]).select("key", "rep", "members", "size")
 
 
 def candidates(reps: DataFrame, t: float) -> tuple[DataFrame, DataFrame]:
@@ -151,6 +174,18 @@ def candidates(reps: DataFrame, t: float) -> tuple[DataFrame, DataFrame]:
     return pairs, met.select("rep", "size", F.col("e")[0]["gram"].alias("home"))
 
 
+def likely(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+    """The pairs (u, v) that the rows of bits of their sets (rep, size, bits) leave."""
+    one, two = (sets.select(F.col("rep").alias(k), F.col("size").alias(f"s{k}"), F.col("bits").alias(f"b{k}")) for k in "uv")
+
+    @F.arrow_udf(T.LongType())
+    def differ(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([apart(a, b) for a, b in zip(x.to_pylist(), y.to_pylist(), strict=True)], type=pa.int64())
+
+    most = F.lit((1 - t) / (1 + t)) * (F.col("su") + F.col("sv")) + 1e-6
+    return pairs.join(one, "u").join(two, "v").filter(differ("bu", "bv") <= most).select("u", "v")
+
+
 def overlaps(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """How many shingles the sets u[i] and v[i] share. Few pairs are met one by one; many by products of tiles, sets x shingles that several hold."""
     if len(u) <= 4 * len(sets):
@@ -191,9 +226,12 @@ def _shared(work: DataFrame, n: int, chars: bool) -> DataFrame:
 def links(rows: DataFrame, key: str, text: str, t: float = 0.8, n: int = 5, chars: bool = False) -> tuple[DataFrame, DataFrame]:
     """(classes, pairs): (key, rep, members) of every text with a set, and (u, v, jaccard) of the pairs u < v of classes with jaccard >= t."""
     rows = rows.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
-    every = stored(classes(rows, t, n, chars), "classes")
-    pairs, homes = candidates(every.filter("key = rep").select("rep", "size", "first"), t)
-    pairs = stored(pairs, "candidates")
+    each = stored(_prefixes(rows, t, n, chars), "prefixes")
+    every = stored(classes(each), "classes")
+    # The keys of copies are few and narrow: prefixes needn't be dealt out to be rid of theirs.
+    reps = each.join(stored(every.filter("key <> rep").select("key"), "copies"), "key", "left_anti").withColumnRenamed("key", "rep")
+    pairs, homes = candidates(reps.select("rep", "size", "first"), t)
+    pairs = stored(likely(pairs, reps, t), "candidates")
     # Related sets are verified side by side: those of one home, in blocks of bounded size.
     weight = homes.groupBy("home").agg(F.greatest(F.ceil(F.sum("size") / UNIT), F.ceil(F.count(F.lit(1)) / BLOCK)).alias("parts"))
     asked = pairs.select(F.col("u").alias("rep")).union(pairs.select("v")).distinct()
