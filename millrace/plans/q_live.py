@@ -83,7 +83,7 @@ def guard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {TURNS} SELECT ord, conv_id FROM c QUALIFY coalesce(length(text) % 2 <> lag(length(text) % 2) OVER (PARTITION BY conv_id ORDER BY ord), true)")
 def changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turns at which the parity of the length of a conversation's texts changes."""
-    return _streamed(spark, _turns(spark, sf_dir), lambda s: guards.changes(s, ["conv_id"], F.length("text") % 2)).select("ord", "conv_id")
+    return _streamed(spark, _turns(spark, sf_dir), lambda s: guards.changes(s.select("ord", "conv_id", (F.length("text") % 2).alias("parity")), ["conv_id"], F.col("parity"))).select("ord", "conv_id")
 
 
 @query(

@@ -6,14 +6,16 @@ batch are thinned in the tasks that read them before they meet, so that a key wi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..sources import versions
@@ -71,34 +73,30 @@ def first_rows(stream: DataFrame, keys: dict[str, Column], most: int = 5, order:
 # Changes -------------------------------------------------------------------------------------------------------------
 
 
-class Changes(StatefulProcessor):
-    def __init__(self, columns: list[str], order: str, value: str):
-        self.columns, self.order, self.value = columns, order, value
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value string")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        whole = pd.concat(list(rows)).sort_values(self.order)
-        values = whole[self.value]
-        before = values.shift(1)
-        first = not self.last.exists()
-        if not first:
-            before.iloc[0] = self.last.get()[0]
-        differs = (values != before) & ~(values.isna() & before.isna())
-        differs.iloc[0] |= first
-        self.last.update((values.iloc[-1] if pd.notna(values.iloc[-1]) else None,))
+def _changed(columns: list[str], order: str, value: str) -> Callable[[Any, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """What a key's rows of a batch and the value of its last row before them let pass; the state comes and goes with the rows, many keys at once."""
+
+    def run(key: Any, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        parts = list(rows)
+        whole = parts[0] if len(parts) == 1 else pd.concat(parts)
+        place = np.argsort(whole[order].to_numpy(), kind="stable")
+        values = whole[value].to_numpy(dtype=object)[place]
+        values[pd.isna(values)] = None  # nulls are alike
+        differs = np.ones(len(values), dtype=bool)
+        differs[1:] = values[1:] != values[:-1]
+        if state.exists:
+            differs[0] = values[0] != state.get[0]
+        state.update((values[-1],))
         if differs.any():
-            yield whole.loc[differs.to_numpy(), self.columns]
+            yield whole[columns].iloc[place[differs]]
 
-    def close(self) -> None:
-        pass
+    return run
 
 
 def changes(stream: DataFrame, keys: list[str], value: Column, order: str = "ord") -> DataFrame:
     """The rows of a stream whose value isn't that of the row before of the same keys, and the first row of each; nulls are alike. The value is kept as a digest."""
     tagged = stream.withColumn("state_value", F.sha1(value.cast("string")))
-    return tagged.groupBy(*keys).transformWithStateInPandas(statefulProcessor=Changes(stream.columns, order, "state_value"), outputStructType=stream.schema, outputMode="append", timeMode="none")
+    return tagged.groupBy(*keys).applyInPandasWithState(_changed(stream.columns, order, "state_value"), stream.schema, "value string", "append", "NoTimeout")
 
 
 # Many streams as one -------------------------------------------------------------------------------------------------
