@@ -5,7 +5,8 @@ in ORC's run-length encoding. Stripes are `stripe_bytes` long, a row index entry
 doc_id has Bloom filters, so a reader can take stripes in parallel and skip those that can't hold an id (see lookup()).
 part is the place of the row's range among the ranges that the ids were dealt to.
 
-Encoding: the text is cut at ASCII white space, and before a full stop or comma that follows an ASCII letter. For a tokenizer
+Encoding: the text is cut at ASCII white space, and before an ASCII sign such as a comma that follows a letter up to U+00FF (not before ', |, <, >, _ or -); A-Z are
+lowered where an ASCII character follows, with which nothing composes, and where that makes no added token. For a tokenizer
 whose own splitting never crosses such a place the ids of the pieces, one after another, are the text's ids; a probe text and the
 first text of every task are encoded both ways, and where the ids differ texts stay whole. A task keeps the ids of pieces by their bytes, up to
 CACHE_BYTES, and drops them at its end.
@@ -41,7 +42,10 @@ _SLICE = 2 << 20
 _AT_ONCE = 1000
 _CUT = np.array([b not in b" \t\n\r" for b in range(256)])
 _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
-_STOP = np.array([b in b".," for b in range(256)])
+#: The second bytes of letters from U+00C0 on, of which the first is 0xC3.
+_LATIN = np.array([128 <= b < 192 and b not in (0x97, 0xB7) for b in range(256)])
+_CAPITAL = np.array([65 <= b <= 90 for b in range(256)])
+_STOP = np.array([b in b'!"#$%&()*+,./:;=?@' for b in range(256)])
 
 #: The characters that byte-level vocabularies write for bytes: printable ones stand for themselves, the others follow from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -49,7 +53,9 @@ _OTHERS = [b for b in range(256) if b not in _PRINTED]
 _BYTE_CHARS = "".join(chr(b if b in _PRINTED else 256 + _OTHERS.index(b)) for b in range(256))
 
 #: Text on which a tokenizer shows whether cutting leaves its ids alone.
-_PROBE = "It's The end, of.the  line.\n\nWe're 12.5, ok?,. \t A.B,C d'Or été, naïve. x,y.z <|endoftext|>. 　a b. é, f."
+_PROBE = "It's a=b c+d(e) f/g:h;i! j$$$ k%%% l&&& m### n\"o\" p@q r*s t_u v-w <x>y</x> It's The end, of.the  line.\n\nWe're 12.5, ok?,. \t A.B,C d'Or été, naïve. É! È$$ À×. x,y.z <|endoftext|>. 　a b. é, f."
+
+_FOLD = {c: c + 32 for c in range(65, 91)}
 
 
 def pieces(texts: Texts) -> Runs:
@@ -57,7 +63,9 @@ def pieces(texts: Texts) -> Runs:
     data = texts.data
     runs = texts.runs(_CUT)
     at = np.zeros(len(data), dtype=bool)
-    at[1:] = _STOP[data[1:]] & _LETTER[data[:-1]]
+    letter = _LETTER[data]
+    letter[1:] |= _LATIN[data[1:]] & (data[:-1] == 0xC3)
+    at[1:] = _STOP[data[1:]] & letter[:-1]
     at[texts.offsets[:-1][texts.offsets[:-1] < len(data)]] = False
     cuts = np.flatnonzero(at)
     starts = np.sort(np.concatenate([runs.starts, cuts]))
@@ -78,10 +86,23 @@ class Cache:
             self.young, self.old, self.held = {}, self.young, len(piece) + len(ids) + _ENTRY
         self.young[piece] = ids
 
+    def learn(self, pieces: list[bytes], ids: list[bytes]) -> None:
+        """put() of each, at once where all of them have room."""
+        size = sum(map(len, pieces)) + sum(map(len, ids)) + _ENTRY * len(pieces)
+        if self.held + size <= self.limit:
+            self.held += size
+            self.young.update(zip(pieces, ids, strict=True))
+        else:
+            for piece, own in zip(pieces, ids, strict=True):
+                self.put(piece, own)
+
     def find(self, pieces: list[bytes]) -> tuple[list[bytes | None], list[int]]:
         """The ids of the pieces, and the places of those that are unknown."""
         found, young, old, new = list(map(self.young.get, pieces)), self.young, self.old, []
-        for i in [i for i, x in enumerate(found) if x is None]:
+        unknown = [i for i, x in enumerate(found) if x is None]
+        if not old:
+            return found, unknown
+        for i in unknown:
             ids = young.get(pieces[i]) or old.get(pieces[i])
             if ids is None:
                 new.append(i)
@@ -101,6 +122,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.cache = Cache()
+        added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [x.lower().encode() for x in added]
+        self.folds = self.whole([_PROBE])[0] == self.whole([_PROBE.translate(_FOLD)])[0]
         self.cuts = self.agrees(_PROBE)
         self.plain = self.cuts and self._plain()
 
@@ -110,11 +134,21 @@ class Encoder:
             out += [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + _AT_ONCE], add_special_tokens=False)]
         return out
 
+    def folded(self, texts: Texts) -> Texts:
+        """The texts with capitals lowered, or as they are."""
+        if not self.folds:
+            return texts
+        capital = _CAPITAL[texts.data]
+        capital[:-1] &= texts.data[1:] < 128
+        data = texts.data | (capital.astype(np.uint8) << 5)
+        raw = data.tobytes()
+        return texts if any(x in raw for x in self.added) else Texts(data, texts.offsets)
+
     def agrees(self, text: str) -> bool:
         """Whether cutting leaves the ids of this text alone."""
         data = np.frombuffer(text.encode(), dtype=np.uint8)
-        runs = pieces(Texts(data, np.array([0, len(data)])))
-        parts = self.whole([data[a:b].tobytes().decode() for a, b in zip(runs.starts, runs.ends, strict=True)])
+        runs = pieces(self.folded(Texts(data, np.array([0, len(data)]))))
+        parts = self.whole([runs.texts.data[a:b].tobytes().decode() for a, b in zip(runs.starts, runs.ends, strict=True)])
         return [x for p in parts for x in p] == self.whole([text])[0]
 
     def _plain(self) -> bool:
@@ -128,7 +162,9 @@ class Encoder:
             return [t.id for t in self.tokenize(word.lower().decode())]
         if word.isascii():
             return None
-        low = normalize("NFC", word.decode()).lower()
+        text = word.decode()
+        # Up to this sign nothing is composed or decomposed.
+        low = (text if max(text) <= "\u024f" else normalize("NFC", text)).lower()
         if not low.isalpha() or max(low) > "\u024f":
             return None
         return [t.id for t in self.tokenize(charmap_decode(low.encode(), "strict", _BYTE_CHARS)[0])]
@@ -139,13 +175,13 @@ class Encoder:
             own = self.whole([texts.data[a:b].tobytes().decode() for a, b in zip(texts.offsets[:-1], texts.offsets[1:], strict=True)])
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int64)
             return np.array([i for x in own for i in x], dtype=np.int32), bounds
-        runs = pieces(texts)
+        runs = pieces(self.folded(texts))
         _, first, which = np.unique(runs.hashes(), return_index=True, return_inverse=True)
         odd = np.flatnonzero(~runs.same(np.arange(len(runs)), first[which]))
         if len(odd):  # other bytes under one hash: pieces of their own
             which[odd] = len(first) + np.arange(len(odd))
             first = np.concatenate([first, odd])
-        raw = texts.data.tobytes()
+        raw = runs.texts.data.tobytes()
         own = [raw[a:b] for a, b in zip(runs.starts[first].tolist(), runs.ends[first].tolist(), strict=True)]
         found, new = self.cache.find(own)
         for i, ids in zip(new, self._learn([own[i] for i in new]), strict=True):
@@ -165,8 +201,7 @@ class Encoder:
         for i, ids in zip(rest, self.whole([words[i].decode() for i in rest]), strict=True):
             out[i] = ids
         packed = [array("i", x).tobytes() for x in out]
-        for w, ids in zip(words, packed, strict=True):
-            self.cache.put(w, ids)
+        self.cache.learn(words, packed)
         return packed
 
 
