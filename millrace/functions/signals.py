@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from . import text as t
 TEMPLATE_LEAKS = (r"<\|im_start\|>", r"<\|redacted_im_end\|>", r"<\|endoftext\|>", r"<\|im_end\|>", r"\nim_start\|", r"\nassistant\n", r"\nuser\n")
 FACT_NUMBER = r"(?:\d+\s*℃|\d+\s*度|\d+\s*mm|\d+\s*%|\d{1,2}:\d{2})"
 VIRTUAL_DATA = r"(?:仮想データ|架空|推測値|（例）|\(例\)|サンプルデータ|ダミーデータ)"
+#: What that pattern matches, word by word; none of the characters has another case.
+VIRTUAL_WORDS = ("仮想データ", "架空", "推測値", "（例）", "(例)", "サンプルデータ", "ダミーデータ")
 PROSE_MARKS = r"(?:```|^\s*[-*+]\s|^\s*\d+\.\s|\|[^\n]+\||^\s*#{1,6}\s)"
 ACTION_CLAIM = r"(?:検索した|調べた|確認した|調査した|参照した|web(?:で|を|上で)|インターネットで|ネットで|I searched|I looked up|I found online|according to (?:my )?search)"
 TOOL_INTENT = (
@@ -203,8 +207,8 @@ def template_leak(c: Column) -> Column:
 
 
 def _virtual(x: Limits) -> tuple[Column, Column, Column]:
-    # Each of the words has a sign of these blocks.
-    said = answer().rlike(r"[\x{3000}-\x{ffff}]") & t.like(answer(), VIRTUAL_DATA, "i")
+    # Looking for bytes is many times faster than a pattern.
+    said = reduce(or_, (F.contains(answer(), F.lit(w)) for w in VIRTUAL_WORDS))
     return _yes(~said, F.when(said, t.full(F.regexp_extract(answer(), t.rx(f"({VIRTUAL_DATA})", "i"), 1))))
 
 
