@@ -8,9 +8,11 @@ cosine ** sharpness times the weight of its class, against a prior of weight `pr
 weight is its labelled rows over its examples, so the sample's balance doesn't shift the scores. Votes become scores by a logistic map, fitted to
 the votes that examples get from an index of the other folds (see calibration), so that of rows that score s about s are toxic.
 
-The index keeps, for each term, its postings by blocks of BLOCK examples and its greatest weight in each block. A text's blocks are
-taken in order of their bounds until no bound reaches the k-th cosine found, so the neighbours are exact. Of equal cosines the
-lower place in the index wins. Texts are taken AT_ONCE together, so that each step is an array operation.
+The index keeps, for each term, its postings by blocks of BLOCK examples and its greatest weight in each block. The FIRST blocks of a text
+in order of their bounds are compared, and then those whose bounds reach the k-th cosine found, so the neighbours are exact. Of equal
+cosines the lower place in the index wins. Texts are taken AT_ONCE together, so that each step is an array operation. The most
+frequent terms, which have most of the postings that a text meets, stand in a block as dense rows, so that a block's part of many texts' cosines
+is one product of matrices; the rows take WIDE * 8 bytes an example at most.
 
 Examples are at most `rows_per_class` different whole labelled texts of each class, those with the least text hash, texts
 longer than `long_bytes` last: both bound the index.
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +38,13 @@ from .langid import KeyTable
 
 BLOCK = 64
 #: Texts that are compared at once.
-AT_ONCE = 64
+AT_ONCE = 48
+#: Blocks of a text that are compared before the k-th cosine is looked at; those of the rest that may hold a neighbour follow at once.
+FIRST = 2
+#: The most frequent terms, at most WIDE and each in one of WIDE_PART examples at least, have a dense row in each block; the others have postings.
+WIDE, WIDE_PART = 1024, 24
+#: Cosines that differ by less than this rank as equal: the order in which a product is summed shows in its last bits.
+FINE = 2.0**-40
 PREFIXES = (4, 5, 6)
 
 
@@ -55,9 +63,16 @@ def terms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(which range, element) for the elements of the ranges lo[i]:hi[i], one after another."""
-    n = hi - lo
-    which = np.repeat(np.arange(len(n)), n)
-    return which, np.arange(len(which)) + np.repeat(lo - (np.cumsum(n) - n), n)
+    some = np.flatnonzero(hi > lo)
+    if not len(some):
+        return some, some
+    lo, hi = lo[some], hi[some]
+    ends = np.cumsum(hi - lo)
+    # Sums of steps: repeating each range's number costs far more where ranges are short.
+    which, element = np.zeros(ends[-1], dtype=np.int64), np.ones(ends[-1], dtype=np.int64)
+    which[0], element[0] = some[0], lo[0]
+    which[ends[:-1]], element[ends[:-1]] = np.diff(some), lo[1:] - hi[:-1] + 1
+    return np.cumsum(which, out=which), np.cumsum(element, out=element)
 
 
 @dataclass
@@ -78,9 +93,19 @@ class Index:
 
     def build(self, term: np.ndarray, example: np.ndarray, value: np.ndarray) -> None:
         """Postings: the term at place term[i] has weight value[i] in example[i]."""
+        n, self.blocks = len(self.toxic), -(-len(self.toxic) // BLOCK)
+        held = np.bincount(term, minlength=len(self.scale))
+        wide = np.argsort(-held, kind="stable")[:WIDE]
+        wide = np.sort(wide[held[wide] * WIDE_PART >= max(1, n)])
+        self.row = np.full(len(self.scale), -1, dtype=np.int32)
+        self.row[wide] = np.arange(len(wide))
+        tall = self.row[term] >= 0
+        self.tiles = np.zeros((self.blocks, len(wide), BLOCK))
+        self.tiles[example[tall] // BLOCK, self.row[term[tall]], example[tall] % BLOCK] = value[tall]
+        self.wide_most = np.ascontiguousarray(self.tiles.max(axis=2).T)
+        term, example, value = term[~tall], example[~tall], value[~tall]
         order = np.lexsort((example, term))
         term, self.example, self.value = term[order], example[order].astype(np.int32), value[order]
-        self.blocks = -(-len(self.toxic) // BLOCK)
         # Runs of postings of one term in one block, and where each term's runs begin.
         key = term * max(1, self.blocks) + self.example // BLOCK
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
@@ -92,31 +117,34 @@ class Index:
     def nearest(self, bounds: np.ndarray, at: np.ndarray, q: np.ndarray) -> np.ndarray:
         """[text, example] cosines, of every example that may be among the k nearest; -1 elsewhere. Text i has the terms at[bounds[i]:bounds[i + 1]] with weights q."""
         n, blocks = len(bounds) - 1, self.blocks
-        out = np.full((n, blocks * BLOCK), -1.0)
+        width = blocks * BLOCK
+        out = np.full((n, width), -1.0)
+        text, row = np.repeat(np.arange(n), np.diff(bounds)), self.row[at]
+        tall = row >= 0
+        wide = np.zeros((n, self.tiles.shape[1]))
+        wide[text[tall], row[tall]] = q[tall]
+        text, at, q = text[~tall], at[~tall], q[~tall]
         entry, run = _ranges(self.term_begin[at], self.term_begin[at + 1])
-        pair = np.repeat(np.arange(n), np.diff(bounds))[entry] * blocks + self.run_block[run]
-        most = np.bincount(pair, q[entry] * self.run_most[run], minlength=n * blocks).reshape(n, blocks)
-        order = np.argsort(pair, kind="stable")
-        entry, run, pair_begin = entry[order], run[order], np.searchsorted(pair[order], np.arange(n * blocks + 1))
+        weight = q[entry]
+        pair = (text * blocks)[entry] + self.run_block[run]
+        most = wide @ self.wide_most + np.bincount(pair, weight * self.run_most[run], minlength=n * blocks).reshape(n, blocks)
         ranked = np.argsort(-most, axis=1, kind="stable")
-        done, step = 0, 1
-        live = np.arange(n)
-        while done < blocks and len(live):
-            take = ranked[live, done : done + step]
-            full = out.shape[1] > self.k
-            kth = np.partition(out[live], -self.k, axis=1)[:, -self.k] if full else np.full(len(live), -1.0)
-            bound = np.take_along_axis(most[live], take, axis=1)
-            wanted = (bound > 0) & (bound >= kth[:, None] - 1e-9)
-            before, live = live, live[wanted[:, 0]]  # blocks come by falling bounds: where the first is too low, all are
-            text, block = np.broadcast_to(before[:, None], take.shape)[wanted], take[wanted]
-            own = text * blocks + block
-            which, e = _ranges(pair_begin[own], pair_begin[own + 1])
-            of, posting = _ranges(self.run_begin[run[e]], self.run_begin[run[e] + 1])
-            slot = which[of] * BLOCK + self.example[posting] % BLOCK
-            score = np.bincount(slot, q[entry[e]][of] * self.value[posting], minlength=len(own) * BLOCK).reshape(len(own), BLOCK)
-            out.reshape(n, blocks, BLOCK)[text, block] = score
+        bound = np.take_along_axis(most, ranked, axis=1)
+        kth, done = np.full(n, -1.0), 0
+        for step in (FIRST, blocks):
+            if done and width > self.k:
+                kth = np.partition(out, -self.k, axis=1)[:, -self.k]
+            near = bound[:, done : done + step]
+            chosen = np.zeros((n, blocks), dtype=bool)
+            np.put_along_axis(chosen, ranked[:, done : done + step], (near > 0) & (near >= kth[:, None] - 1e-9), axis=1)
+            for b in np.flatnonzero(chosen.any(axis=0)).tolist():
+                some = np.flatnonzero(chosen[:, b])
+                out[some, b * BLOCK : (b + 1) * BLOCK] = (wide if len(some) == n else wide[some]) @ self.tiles[b]
+            own = np.flatnonzero(chosen.reshape(-1)[pair])
+            of, posting = _ranges(self.run_begin[run[own]], self.run_begin[run[own] + 1])
+            slot = (pair[own] // blocks * width)[of] + self.example[posting]
+            out += np.bincount(slot, weight[own][of] * self.value[posting], minlength=n * width).reshape(n, width)
             done += step
-            step *= 2
         return out[:, : len(self.toxic)]
 
     def vectors(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,7 +171,7 @@ class Index:
 
     def votes(self, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(scores, places and cosines of the k nearest, best first) of rows of cosines."""
-        near = np.argsort(-cosines, axis=1, kind="stable")[:, : self.k]
+        near = np.argsort(-np.rint(cosines / FINE), axis=1, kind="stable")[:, : self.k]
         cosine = np.maximum(np.take_along_axis(cosines, near, axis=1), 0.0)
         vote = cosine**self.sharpness * self.weight[near]
         total = vote.sum(1) + self.prior_weight
@@ -230,7 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = Sample(y, np.array([str(x) for x in got.column("id").to_pylist()], dtype=object), np.repeat(np.arange(len(y)), size), flat, tf)
     how = {"counts": counts, "half_lift": half_lift, "k": k, "sharpness": sharpness, "prior_weight": prior_weight}
     out = fit(sample, **how)
-    out.slope, out.shift = calibration(sample, how)
+    out.slope, out.shift = calibration(sample, how, unseen(docs.sparkSession, sample, how))
     return out
 
 
@@ -281,18 +309,36 @@ def fit(sample: Sample, counts: dict[int, int], half_lift: float, k: int, sharpn
 FOLDS = 5
 
 
-def calibration(sample: Sample, how: dict) -> tuple[float, float]:
-    """(slope, shift) of the logistic map from votes to the share of toxic rows, fitted to votes of examples that weren't in the index.
+def unseen(spark: SparkSession, sample: Sample, how: dict) -> np.ndarray:
+    """The vote that each example gets from an index of the other folds, not a number where those lack a class.
 
-    The examples are dealt into folds in the order of their names; those of a fold are scored by an index of the others. Rows weigh as
-    much as they stand for; targets are smoothed by the classes' sizes, and the slope is held to its start by one row, so that few examples change little.
+    The examples are dealt into folds in the order of their names, each in a task of its own.
     """
-    raw = np.full(len(sample.y), np.nan)
     fold = np.argsort(np.argsort(sample.names.astype(str), kind="stable"), kind="stable") % FOLDS
-    for f in range(FOLDS):
-        own, rest = sample.part(fold == f), sample.part(fold != f)
-        if (rest.y == 0).any() and (rest.y == 1).any() and len(own.y):
-            raw[fold == f] = fit(rest, **how).vote(own.term, own.row, own.tf, len(own.y))[0]
+    shared = spark.sparkContext.broadcast((sample, how, fold))  # the bounded sample
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample, how, fold = shared.value
+        for batch in batches:
+            for f in batch.column(0).to_pylist():
+                own, rest = sample.part(fold == f), sample.part(fold != f)
+                if (rest.y == 0).any() and (rest.y == 1).any() and len(own.y):
+                    votes = fit(rest, **how).vote(own.term, own.row, own.tf, len(own.y))[0]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(fold == f)), pa.array(votes)], names=["place", "vote"])
+
+    kind = T.StructType([T.StructField("place", T.LongType()), T.StructField("vote", T.DoubleType())])
+    got = spark.range(0, FOLDS, 1, FOLDS).mapInArrow(run, kind).toArrow()  # a row for each example
+    shared.destroy()
+    out = np.full(len(sample.y), np.nan)
+    out[got.column("place").to_numpy()] = got.column("vote").to_numpy()
+    return out
+
+
+def calibration(sample: Sample, how: dict, raw: np.ndarray) -> tuple[float, float]:
+    """(slope, shift) of the logistic map from votes to the share of toxic rows, fitted to raw, votes of examples that weren't in the index.
+
+    Rows weigh as much as they stand for; targets are smoothed by the classes' sizes, and the slope is held to its start by one row, so that few examples change little.
+    """
     known = np.isfinite(raw)
     y, raw = sample.y[known], np.clip(raw[known], 1e-4, 1 - 1e-4)
     n0, n1 = (y == 0).sum(), (y == 1).sum()
